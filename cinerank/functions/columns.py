@@ -79,7 +79,12 @@ def column_type(df: DataFrame, name: str) -> T.DataType:
 
 
 def round_score(c, digits: int = SCORE_DIGITS) -> Column:
-    return F.round(col(c), digits)
+    """Round a double score to ``digits`` places, half away from zero.
+
+    The value is first fixed to 12 decimals, which absorbs binary noise, so a
+    score that is mathematically ``x.xxxxxx5`` rounds the same way whatever
+    the summation order or engine produced it."""
+    return F.round(col(c).cast("decimal(30,12)"), digits).cast("double")
 
 
 def sum_array(arr) -> Column:

@@ -47,6 +47,13 @@ def _normalised(vectors: DataFrame, id_col: str, vec_col: str, metric: str) -> D
     return vectors.select(F.col(id_col).cast("int").alias("id"), left.alias("lhs"), right.alias("rhs"))
 
 
+def round_half_away(x: np.ndarray, digits: int) -> np.ndarray:
+    """NumPy twin of :func:`cinerank.functions.columns.round_score`."""
+    fixed = np.round(x, 12)
+    scale = 10.0 ** digits
+    return np.sign(fixed) * np.floor(np.abs(fixed) * scale + 0.5) / scale
+
+
 def _best(scores: np.ndarray, ids: np.ndarray, k: int | None, min_score: float | None):
     """Row-wise selection: keep entries above ``min_score`` and, with ``k``,
     the k best by (score desc, id asc).  Returns (row_idx, col_idx)."""
@@ -68,7 +75,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int | None, min_score: float |
 
 
 def _block_kernel(k: int | None, min_score: float | None, digits: int):
-    def kernel(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def kernel(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(key[0]), int(key[1])
         out = []
         a = pdf[pdf["blk"] == lo]
@@ -82,7 +89,7 @@ def _block_kernel(k: int | None, min_score: float | None, digits: int):
         if lo != hi:
             directions.append((b_ids, a_ids, b_l @ a_r.T))
         for src, dst, s in directions:
-            s = np.round(s, digits)
+            s = round_half_away(s, digits)
             if lo == hi:
                 np.fill_diagonal(s, np.nan)  # no self pair
             r, c = _best(s, dst, k, min_score)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cinerank import config, schemas
 from cinerank.config import TableStore, scratch_dir
+from cinerank.functions.columns import round_score
 from cinerank.operators import collab, content, realtime, similarity, stats
 from cinerank.sources import delimited, tables
 from cinerank.sources import testdata as td
@@ -132,7 +133,7 @@ def als_predict(spark, d):
 
 def tfidf_terms(spark, d):
     t = content.tfidf_terms(td.movies(spark, d))
-    return t.select("mid", "term", "tf", "df", F.round("idf", 6).alias("idf"), F.round("tfidf", 6).alias("tfidf"))
+    return t.select("mid", "term", "tf", "df", round_score("idf").alias("idf"), round_score("tfidf").alias("tfidf"))
 
 
 def content_similarity(spark, d):
@@ -250,7 +251,7 @@ def rated_layout(spark, d):
     name = f"rating_by_uid_{int(time.time() * 1000)}"
     tables.write_clustered(td.ratings(spark, d), name, store, key="uid", buckets=8)
     r = spark.table(name)
-    return r.groupBy("uid").agg(F.count(F.lit(1)).alias("n_ratings"), F.round(F.avg("score"), 6).alias("avg_score"))
+    return r.groupBy("uid").agg(F.count(F.lit(1)).alias("n_ratings"), round_score(F.avg("score")).alias("avg_score"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -61,11 +61,11 @@ def _dense(metric: str, threshold: float) -> str:
     return f"""
 norms AS (
   SELECT mid, features, sqrt(list_dot_product(features, features)) AS n2,
-         list_sum(list_transform(features, x -> abs(x))) AS n1
+         list_sum(list_transform(features, lambda x: abs(x))) AS n1
   FROM item_vectors),
 pairs AS (
   SELECT a.mid AS mid, b.mid AS rec_mid,
-         round(CASE WHEN {den} > 0 THEN list_dot_product(a.features, b.features) / ({den}) ELSE 0 END, 6) AS score
+         CAST(round(CAST(CASE WHEN {den} > 0 THEN list_dot_product(a.features, b.features) / ({den}) ELSE 0 END AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
   FROM norms a JOIN norms b ON a.mid <> b.mid),
 kept AS (SELECT * FROM pairs WHERE score > {threshold})"""
 
@@ -108,8 +108,8 @@ cand AS (
   WHERE rank <= 20),
 scored AS (
   SELECT c.uid, c.mid,
-         round(avg(k.score * r.score) + log10(greatest(count_if(r.score > 3), 1))
-               - log10(greatest(count_if(r.score <= 3), 1)), 6) AS score
+         CAST(round(CAST(avg(k.score * r.score) + log10(greatest(count_if(r.score > 3), 1))
+               - log10(greatest(count_if(r.score <= 3), 1)) AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
   FROM cand c JOIN recent r ON r.uid = c.uid JOIN kept k ON k.mid = c.mid AND k.rec_mid = r.mid
   WHERE k.score > {score_threshold}
   GROUP BY c.uid, c.mid)"""
@@ -132,7 +132,7 @@ def _genre_top10() -> str:
 kw(genre) AS (VALUES {kws}),
 avgs AS (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid),
 matched AS (
-  SELECT kw.genre AS genres, m.mid, round(a.avg, 6) AS score
+  SELECT kw.genre AS genres, m.mid, CAST(round(CAST(a.avg AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
   FROM movies m JOIN avgs a ON a.mid = m.mid JOIN kw ON contains(lower(m.genres), lower(kw.genre)))
 SELECT genres, rank, mid, score FROM (
   SELECT genres, mid, score, row_number() OVER (PARTITION BY genres ORDER BY score DESC, mid) AS rank FROM matched)
@@ -181,7 +181,7 @@ dots AS (
   SELECT a.mid AS mid, b.mid AS rec_mid, sum(a.tfidf * b.tfidf) AS dot
   FROM tfidf a JOIN tfidf b ON a.term = b.term AND a.mid <> b.mid GROUP BY a.mid, b.mid),
 scored AS (
-  SELECT d.mid, d.rec_mid, round(CASE WHEN na.n * nb.n > 0 THEN d.dot / (na.n * nb.n) ELSE 0 END, 6) AS score
+  SELECT d.mid, d.rec_mid, CAST(round(CAST(CASE WHEN na.n * nb.n > 0 THEN d.dot / (na.n * nb.n) ELSE 0 END AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
   FROM dots d JOIN norms na ON na.mid = d.mid JOIN norms nb ON nb.mid = d.rec_mid)
 SELECT mid, rank, rec_mid, score FROM (
   SELECT mid, rec_mid, score, row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid) AS rank
@@ -218,7 +218,7 @@ FROM ratings GROUP BY uid"""),
         "item_similarity_dense": _dense_ranked("cosine", C.DENSE_LIST_THRESHOLD),
         "item_similarity_l1l2": _dense_ranked("l1l2", C.L1L2_THRESHOLD),
         "tfidf_terms": with_views(["movies"], TFIDF.lstrip() + """
-SELECT mid, term, tf, df, round(idf, 6) AS idf, round(tfidf, 6) AS tfidf FROM tfidf"""),
+SELECT mid, term, tf, df, CAST(round(CAST(idf AS DECIMAL(30,12)), 6) AS DOUBLE) AS idf, CAST(round(CAST(tfidf AS DECIMAL(30,12)), 6) AS DOUBLE) AS tfidf FROM tfidf"""),
         "content_similarity": _content_similarity(),
         "recent_ratings": with_views(["rating_events"], """x AS (SELECT 1)
 SELECT uid, rank, mid, score FROM (
@@ -235,5 +235,5 @@ SELECT event_id, message FROM messages WHERE message <> ''"""),
         "rating_republish": with_views(["log_lines"], LOG_MESSAGES + """
 SELECT 'logProcessor' AS key, message AS value FROM messages WHERE message <> ''"""),
         "rated_layout": with_views(["ratings"], """x AS (SELECT 1)
-SELECT uid, count(*) AS n_ratings, round(avg(score), 6) AS avg_score FROM ratings GROUP BY uid"""),
+SELECT uid, count(*) AS n_ratings, CAST(round(CAST(avg(score) AS DECIMAL(30,12)), 6) AS DOUBLE) AS avg_score FROM ratings GROUP BY uid"""),
     }
