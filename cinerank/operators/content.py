@@ -94,7 +94,7 @@ def hashed_tfidf(movies: DataFrame, buckets: int = config.TF_BUCKETS) -> DataFra
 
 
 def hashed_content_similarity(movies: DataFrame, k: int | None = 10, buckets: int = config.TF_BUCKETS,
-                              block_size: int = 512) -> DataFrame:
+                              block_size: int = 2048) -> DataFrame:
     """Cosine over hashed TF-IDF vectors: ``mid, rank, rec_mid, score``."""
     return dense_similarity(hashed_tfidf(movies, buckets), metric="cosine", min_score=0.0, k=k,
                             block_size=block_size)

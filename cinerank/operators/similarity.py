@@ -54,30 +54,30 @@ def round_half_away(x: np.ndarray, digits: int) -> np.ndarray:
     return np.sign(fixed) * np.floor(np.abs(fixed) * scale + 0.5) / scale
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int | None, min_score: float | None):
-    """Row-wise selection: keep entries above ``min_score`` and, with ``k``,
-    the k best by (score desc, id asc).  Returns (row_idx, col_idx)."""
+def _best(scores: np.ndarray, k: int | None, min_score: float | None):
+    """Row-wise selection, vectorised.  Keeps entries above ``min_score``
+    and, with ``k``, exactly the k best per row by (score desc, column asc);
+    columns are in ascending id order, so ties at the k-th score go to the
+    lowest ids -- never more than k per row, however many vectors are equal.
+    Returns (row_idx, col_idx)."""
     mask = np.isfinite(scores)
     if min_score is not None:
         mask &= scores > min_score
-    if k is None or scores.shape[1] <= k:
-        return np.nonzero(mask)
-    rows, cols = [], []
-    neg = np.where(mask, -scores, np.inf)
-    for r in range(scores.shape[0]):
-        order = np.lexsort((ids, neg[r]))[:k]
-        order = order[mask[r, order]]
-        rows.append(np.full(order.shape[0], r))
-        cols.append(order)
-    if not rows:
-        return np.array([], dtype=int), np.array([], dtype=int)
-    return np.concatenate(rows), np.concatenate(cols)
+    if k is not None and scores.shape[1] > k:
+        filled = np.where(mask, scores, -np.inf)
+        kth = -np.partition(-filled, k - 1, axis=1)[:, k - 1:k]
+        above = filled > kth
+        tied = (filled == kth) & mask
+        room = k - above.sum(axis=1, keepdims=True)
+        mask = above | (tied & (np.cumsum(tied, axis=1) <= room))
+    return np.nonzero(mask)
 
 
 def _block_kernel(k: int | None, min_score: float | None, digits: int):
     def kernel(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(key[0]), int(key[1])
         out = []
+        pdf = pdf.sort_values("id", kind="stable")
         a = pdf[pdf["blk"] == lo]
         b = a if lo == hi else pdf[pdf["blk"] == hi]
         if len(a) == 0 or len(b) == 0:
@@ -92,7 +92,7 @@ def _block_kernel(k: int | None, min_score: float | None, digits: int):
             s = round_half_away(s, digits)
             if lo == hi:
                 np.fill_diagonal(s, np.nan)  # no self pair
-            r, c = _best(s, dst, k, min_score)
+            r, c = _best(s, k, min_score)
             out.append(pd.DataFrame({"mid": src[r].astype("int32"), "rec_mid": dst[c].astype("int32"),
                                      "score": s[r, c].astype("float64")}))
         return pd.concat(out, ignore_index=True)
@@ -100,7 +100,7 @@ def _block_kernel(k: int | None, min_score: float | None, digits: int):
 
 
 def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features", metric: str = "cosine",
-                min_score: float | None = None, k: int | None = None, block_size: int = 512,
+                min_score: float | None = None, k: int | None = None, block_size: int = 2048,
                 n_blocks: int | None = None, digits: int = SCORE_DIGITS) -> DataFrame:
     """Directed pairs ``mid, rec_mid, score`` (score rounded to ``digits``),
     ``mid != rec_mid``, ``score > min_score`` when given; with ``k``, only
@@ -120,7 +120,7 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
 
 
 def dense_similarity(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features", metric: str = "cosine",
-                     min_score: float | None = None, k: int | None = None, block_size: int = 512,
+                     min_score: float | None = None, k: int | None = None, block_size: int = 2048,
                      n_blocks: int | None = None) -> DataFrame:
     """Ranked similarity lists in long form: ``mid, rank, rec_mid, score``."""
     pairs = dense_pairs(vectors, id_col, vec_col, metric, min_score, k, block_size, n_blocks)

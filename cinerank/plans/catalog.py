@@ -214,7 +214,7 @@ def stream_recs(spark, d):
     store = TableStore(f"{root}/tables")
     tables.write_table(_realtime_matrix(spark, d), "MovieRecsLong", store)
     sim = tables.read_table(spark, "MovieRecsLong", store, schemas.SIMILARITY)
-    src = spark.readStream.schema(STREAM_SOURCE_SCHEMA).option("maxFilesPerTrigger", 2).parquet(pattern)
+    src = spark.readStream.schema(STREAM_SOURCE_SCHEMA).option("maxFilesPerTrigger", 16).parquet(pattern)
     t = recommender.StreamTables(store.path("RatingLog"), store.path("StreamRecs"), store.path("Rejects"))
     q = recommender.start_recommender(spark, src, sim, t, f"{root}/ckpt", available_now=True,
                                       threshold=REALTIME_SCORE_THRESHOLD)
