@@ -75,6 +75,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def materialize(df, kind: str = "materialized"):
+    """Compute ``df`` once and cut its lineage by writing it as a Parquet
+    table under the shared checkpoint folder and reading it back.  Survives
+    executor loss (unlike a local checkpoint) and gives the optimizer real
+    file sizes for its join choices."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, kind)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, kind: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/cinerank/{kind}-{uuid.uuid4().hex}"

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinerank import config
+from cinerank.config import materialize
 from cinerank.operators.similarity import dense_similarity, sparse_pairs
 from cinerank.operators.topk import rank_within
 
@@ -73,6 +74,8 @@ def content_similarity(movies: DataFrame, k: int = 10) -> DataFrame:
               .groupBy("sig", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("n_movies").alias("n_movies")))
     doc_freq = sig_tf.groupBy("term").agg(F.sum("n_movies").alias("df"))
     weights = sig_tf.join(doc_freq, "term").select("sig", "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
+    # one row per (signature, term): read by both sides of the term self-join
+    weights = materialize(weights)
     sig_pairs = sparse_pairs(weights, id_col="sig", include_self=True).select(
         F.col("mid").alias("sig"), F.col("rec_mid").alias("nsig"), "score")
     members = rank_within(sig.select("sig", "mid"), ["sig"], [F.col("mid").asc()], k + 1).select(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinerank import config, schemas
-from cinerank.config import TableStore, scratch_dir
+from cinerank.config import TableStore, materialize, scratch_dir
 from cinerank.functions.columns import round_score
 from cinerank.operators import collab, content, realtime, similarity, stats
 from cinerank.sources import delimited, tables
@@ -146,7 +146,9 @@ def content_similarity_hashed(spark, d):
 
 # ---------------------------------------------------------------- real time (batch form)
 def _realtime_matrix(spark, d) -> DataFrame:
-    return similarity.dense_pairs(td.item_vectors(spark, d), metric="cosine", min_score=REALTIME_MATRIX_THRESHOLD)
+    """The item-similarity table the real-time path reads; computed once."""
+    return materialize(similarity.dense_pairs(td.item_vectors(spark, d), metric="cosine",
+                                              min_score=REALTIME_MATRIX_THRESHOLD))
 
 
 def recent_ratings(spark, d):
