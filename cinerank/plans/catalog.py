@@ -20,7 +20,7 @@ from cinerank.functions.columns import round_score
 from cinerank.operators import collab, content, realtime, similarity, stats
 from cinerank.sources import delimited, tables
 from cinerank.sources import testdata as td
-from cinerank.streaming import logs, recommender
+from cinerank.streaming import logs, recommender, sources, state
 
 # Parameters of the test vocabulary (the defaults stay the reference's).
 FIXTURE_GENRES = ("ECONOMY", "Promo", "standard", "gear", "ring", "rod", "widget", "gizmo", "old", "small", "War")
@@ -196,13 +196,12 @@ def _stream_input(spark, d, root: str, from_logs: bool, chunks: int = 3) -> str:
     return f"{root}/in/*/*.parquet"
 
 
-STREAM_SOURCE_SCHEMA = "event_id long, ts timestamp_ntz, value string"
 
 
 def rating_stream_parse(spark, d):
     root = scratch_dir(spark, "parse")
     pattern = _stream_input(spark, d, root, from_logs=True)
-    src = spark.readStream.schema(STREAM_SOURCE_SCHEMA).option("maxFilesPerTrigger", 4).parquet(pattern)
+    src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "4"})
     good, _ = recommender.parse_stream(src, keep=("event_id",))
     q = (good.writeStream.format("parquet").option("checkpointLocation", f"{root}/ckpt")
          .trigger(availableNow=True).start(f"{root}/out"))
@@ -216,7 +215,7 @@ def stream_recs(spark, d):
     store = TableStore(f"{root}/tables")
     tables.write_table(_realtime_matrix(spark, d), "MovieRecsLong", store)
     sim = tables.read_table(spark, "MovieRecsLong", store, schemas.SIMILARITY)
-    src = spark.readStream.schema(STREAM_SOURCE_SCHEMA).option("maxFilesPerTrigger", 16).parquet(pattern)
+    src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "16"})
     t = recommender.StreamTables(store.path("RatingLog"), store.path("StreamRecs"), store.path("Rejects"))
     q = recommender.start_recommender(spark, src, sim, t, f"{root}/ckpt", available_now=True,
                                       threshold=REALTIME_SCORE_THRESHOLD)
@@ -224,6 +223,24 @@ def stream_recs(spark, d):
     return tables.explode_recs(recommender.current_recs(spark, t.recs_path), "uid")
 
 
+def recent_ratings_stream(spark, d):
+    """Last-20 lists kept in keyed streaming state, fed by the rating stream."""
+    root = scratch_dir(spark, "state")
+    pattern = _stream_input(spark, d, root, from_logs=False)
+    src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "16"})
+    good, _ = recommender.parse_stream(src)
+    out = f"{root}/lists"
+
+    def write(batch, batch_id):
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out)
+
+    q = (state.recent_ratings_state(good, config.RECENT_RATINGS_K).writeStream.outputMode("update")
+         .foreachBatch(write).option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return state.current_lists(spark, out)
+
+
 def table_roundtrip(spark, d):
     store = TableStore(scratch_dir(spark, "tables"))
     movies, ratings, tags_df = td.movies(spark, d), td.ratings(spark, d), td.tags(spark, d)
@@ -284,6 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_filter": log_filter,
     "rating_stream_parse": rating_stream_parse,
     "stream_recs": stream_recs,
+    "recent_ratings_stream": recent_ratings_stream,
     "table_roundtrip": table_roundtrip,
     "rating_republish": rating_republish,
     "rated_layout": rated_layout,

@@ -231,6 +231,11 @@ WHERE rank <= 20"""),
 SELECT event_id, message FROM messages WHERE message <> ''"""),
         "rating_stream_parse": _parsed_stream(),
         "stream_recs": _realtime(RANKED_SCORES),
+        "recent_ratings_stream": with_views(["rating_events"], """x AS (SELECT 1)
+SELECT uid, rank, mid, score FROM (
+  SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS rank
+  FROM rating_events)
+WHERE rank <= 20"""),
         "table_roundtrip": _genre_top10(),
         "rating_republish": with_views(["log_lines"], LOG_MESSAGES + """
 SELECT 'logProcessor' AS key, message AS value FROM messages WHERE message <> ''"""),
