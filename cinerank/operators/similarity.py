@@ -31,6 +31,7 @@ from cinerank.functions.columns import l1_norm, l2_norm, round_score, scale_arra
 from cinerank.operators.topk import by_score, nest_ranked, rank_within
 
 PAIR_SCHEMA = "mid int, rec_mid int, score double"
+HEAVY_ROW_FACTOR = 4  # rows with more candidates than this many times k are partitioned first
 
 
 def _normalised(vectors: DataFrame, id_col: str, vec_col: str, metric: str) -> DataFrame:
@@ -54,47 +55,70 @@ def round_half_away(x: np.ndarray, digits: int) -> np.ndarray:
     return np.sign(fixed) * np.floor(np.abs(fixed) * scale + 0.5) / scale
 
 
-def _best(scores: np.ndarray, k: int | None, min_score: float | None):
-    """Row-wise selection, vectorised.  Keeps entries above ``min_score``
-    and, with ``k``, exactly the k best per row by (score desc, column asc);
-    columns are in ascending id order, so ties at the k-th score go to the
-    lowest ids -- never more than k per row, however many vectors are equal.
-    Returns (row_idx, col_idx)."""
-    mask = np.isfinite(scores)
+def _select(raw: np.ndarray, k: int | None, min_score: float | None, digits: int):
+    """Exact row-wise selection on rounded scores, rounding only candidates.
+
+    ``raw`` holds unrounded scores (NaN = excluded pair), columns in
+    ascending id order.  Rounding moves a value by at most h = half a unit of
+    the last digit, so an entry can only pass the rounded threshold if its raw
+    score exceeds ``min_score - h``, and can only be in a row's rounded top-k
+    if its raw score is within 2h of the row's k-th best raw score.  Those
+    candidates are rounded and cut exactly by (score desc, column asc); ties
+    at the boundary go to the lowest ids, never more than k per row.
+    Returns (row_idx, col_idx, rounded_scores)."""
+    h = 0.5 * 10.0 ** -digits
+    margin = 2.2 * h
+    mask = np.isfinite(raw)
     if min_score is not None:
-        mask &= scores > min_score
-    if k is not None and scores.shape[1] > k:
-        filled = np.where(mask, scores, -np.inf)
-        kth = -np.partition(-filled, k - 1, axis=1)[:, k - 1:k]
-        above = filled > kth
-        tied = (filled == kth) & mask
-        room = k - above.sum(axis=1, keepdims=True)
-        mask = above | (tied & (np.cumsum(tied, axis=1) <= room))
-    return np.nonzero(mask)
-
-
-def _block_kernel(k: int | None, min_score: float | None, digits: int):
+        mask &= raw > min_score - margin
+    if k is not None and raw.shape[1] > k:
+        # rows with many candidates are trimmed by a k-th-best partition first;
+        # sparse rows go straight to the exact cut below
+        heavy = np.flatnonzero(mask.sum(axis=1) > HEAVY_ROW_FACTOR * k)
+        if len(heavy):
+            sub = np.where(mask[heavy], raw[heavy], -np.inf)
+            kth = -np.partition(-sub, k - 1, axis=1)[:, k - 1:k]
+            mask[heavy] &= sub >= kth - margin
+    r, c = np.nonzero(mask)
+    sc = round_half_away(raw[r, c], digits)
+    if min_score is not None:
+        keep = sc > min_score
+        r, c, sc = r[keep], c[keep], sc[keep]
+    if k is not None and len(r):
+        order = np.lexsort((c, -sc, r))
+        r, c, sc = r[order], c[order], sc[order]
+        first = np.r_[True, r[1:] != r[:-1]]
+        starts = np.flatnonzero(first)
+        rank = np.arange(len(r)) - np.repeat(starts, np.diff(np.r_[starts, len(r)]))
+        keep = rank < k
+        r, c, sc = r[keep], c[keep], sc[keep]
+    return r, c, sc
+
+
+def _block_kernel(k: int | None, min_score: float | None, digits: int, symmetric: bool):
     def kernel(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(key[0]), int(key[1])
-        out = []
         pdf = pdf.sort_values("id", kind="stable")
         a = pdf[pdf["blk"] == lo]
         b = a if lo == hi else pdf[pdf["blk"] == hi]
         if len(a) == 0 or len(b) == 0:
             return pd.DataFrame({"mid": [], "rec_mid": [], "score": []})
         a_ids, b_ids = a["id"].to_numpy(), b["id"].to_numpy()
-        a_l, a_r = np.stack(a["lhs"].to_numpy()), np.stack(a["rhs"].to_numpy())
-        b_l, b_r = (a_l, a_r) if lo == hi else (np.stack(b["lhs"].to_numpy()), np.stack(b["rhs"].to_numpy()))
-        directions = [(a_ids, b_ids, a_l @ b_r.T)]
-        if lo != hi:
-            directions.append((b_ids, a_ids, b_l @ a_r.T))
-        for src, dst, s in directions:
-            s = round_half_away(s, digits)
-            if lo == hi:
-                np.fill_diagonal(s, np.nan)  # no self pair
-            r, c = _best(s, k, min_score)
+        a_r = np.stack(a["rhs"].to_numpy())
+        b_r = a_r if lo == hi else np.stack(b["rhs"].to_numpy())
+        a_l = a_r if symmetric else np.stack(a["lhs"].to_numpy())
+        ab = a_l @ b_r.T
+        if lo == hi:
+            np.fill_diagonal(ab, np.nan)  # no self pair
+            directions = [(a_ids, a_ids, ab)]
+        else:
+            b_l = b_r if symmetric else np.stack(b["lhs"].to_numpy())
+            directions = [(a_ids, b_ids, ab), (b_ids, a_ids, ab.T if symmetric else b_l @ a_r.T)]
+        out = []
+        for src, dst, raw in directions:
+            r, c, sc = _select(raw, k, min_score, digits)
             out.append(pd.DataFrame({"mid": src[r].astype("int32"), "rec_mid": dst[c].astype("int32"),
-                                     "score": s[r, c].astype("float64")}))
+                                     "score": sc.astype("float64")}))
         return pd.concat(out, ignore_index=True)
     return kernel
 
@@ -106,6 +130,8 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
     ``mid != rec_mid``, ``score > min_score`` when given; with ``k``, only
     candidates that can still be in a row's top-k."""
     norm = _normalised(vectors, id_col, vec_col, metric)
+    symmetric = metric == "cosine"
+    spark = vectors.sparkSession
     if n_blocks is None:
         n = vectors.count()
         n_blocks = max(1, math.ceil(n / block_size))
@@ -113,10 +139,17 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
     blk = F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")
     tagged = norm.withColumn("blk", blk)
     partner = F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("other")
+    vec_cols = ["rhs"] if symmetric else ["lhs", "rhs"]
     replicated = tagged.select("*", partner).select(
-        F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "id", "lhs", "rhs")
-    # every vector meets each other block exactly once (and its own block once)
-    return replicated.groupBy("lo", "hi").applyInPandas(_block_kernel(k, min_score, digits), PAIR_SCHEMA)
+        F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "id", *vec_cols)
+    # every vector meets each other block exactly once (and its own block once).
+    # An explicit partition count keeps one block pair per task slot instead of
+    # letting the runtime merge the (few, large) groups into fewer tasks.
+    n_pairs = b * (b + 1) // 2
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    replicated = replicated.repartition(min(n_pairs, slots), "lo", "hi")
+    kernel = _block_kernel(k, min_score, digits, symmetric)
+    return replicated.groupBy("lo", "hi").applyInPandas(kernel, PAIR_SCHEMA)
 
 
 def dense_similarity(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features", metric: str = "cosine",

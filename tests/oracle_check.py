@@ -53,7 +53,9 @@ def main():
     names = sys.argv[2:]
     import __spark_entry__ as E
     from cinerank.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    import os
+    extra = {"spark.sql.session.timeZone": os.environ["ORACLE_TZ"]} if os.environ.get("ORACLE_TZ") else None
+    spark = build_session("local[8]", shuffle_partitions=8, extra=extra)
     qs, sql = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
