@@ -42,3 +42,26 @@ def test_stream_equals_batch_small(spark):
     s = {tuple(r) for r in catalog.stream_recs(spark, d).collect()}
     b = {tuple(r) for r in catalog.realtime_scores(spark, d).collect()}
     assert s == b and len(b) > 0
+
+
+def test_restart_from_checkpoint_changes_nothing(spark, tmp_root):
+    import datetime as dt
+    from cinerank.streaming import sources
+    t0 = dt.datetime(2024, 1, 1)
+    sim = spark.createDataFrame([(10, 11, 0.9), (11, 10, 0.9)], "mid int, rec_mid int, score double")
+    tables = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
+    batch_df(spark, [(1, t0, "7|10|4.0|1")]).write.parquet(f"{tmp_root}/in/a")
+
+    def run():
+        src = sources.message_stream(spark, "parquet", f"{tmp_root}/in/*/*.parquet")
+        q = recommender.start_recommender(spark, src, sim, tables, f"{tmp_root}/ckpt", available_now=True,
+                                          threshold=0.5)
+        q.awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(tables.recs_path).collect()), key=str)
+
+    first = run()
+    assert run() == first                      # restart: no new input, nothing re-processed
+    batch_df(spark, [(2, t0 + dt.timedelta(seconds=3), "8|11|2.0|4")]).write.parquet(f"{tmp_root}/in/b")
+    after = run()                              # only the new file is processed
+    cur = {r["uid"]: [x["mid"] for x in r["recs"]] for r in recommender.current_recs(spark, tables.recs_path).collect()}
+    assert cur == {7: [11], 8: [10]} and len(after) == len(first) + 1
