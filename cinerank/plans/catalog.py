@@ -175,7 +175,8 @@ def log_filter(spark, d):
 
 def _stream_input(spark, d, root: str, from_logs: bool, chunks: int = 3) -> str:
     """Write rating messages as files in event-time order, one folder per time
-    slice, slice after slice (stand-in for the rating topic).  ``from_logs``
+    slice, slice after slice (stand-in for the rating topic); the queries read
+    one file per trigger, so each slice arrives as its own micro-batch.  ``from_logs``
     takes the messages the log filter publishes (malformed ones included),
     otherwise every rating event is rendered as a message."""
     ev = td.rating_events(spark, d)
@@ -201,7 +202,7 @@ def _stream_input(spark, d, root: str, from_logs: bool, chunks: int = 3) -> str:
 def rating_stream_parse(spark, d):
     root = scratch_dir(spark, "parse")
     pattern = _stream_input(spark, d, root, from_logs=True)
-    src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "4"})
+    src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "1"})
     good, _ = recommender.parse_stream(src, keep=("event_id",))
     q = (good.writeStream.format("parquet").option("checkpointLocation", f"{root}/ckpt")
          .trigger(availableNow=True).start(f"{root}/out"))
@@ -215,7 +216,7 @@ def stream_recs(spark, d):
     store = TableStore(f"{root}/tables")
     tables.write_table(_realtime_matrix(spark, d), "MovieRecsLong", store)
     sim = tables.read_table(spark, "MovieRecsLong", store, schemas.SIMILARITY)
-    src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "16"})
+    src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "1"})
     t = recommender.StreamTables(store.path("RatingLog"), store.path("StreamRecs"), store.path("Rejects"))
     q = recommender.start_recommender(spark, src, sim, t, f"{root}/ckpt", available_now=True,
                                       threshold=REALTIME_SCORE_THRESHOLD)
@@ -227,7 +228,7 @@ def recent_ratings_stream(spark, d):
     """Last-20 lists kept in keyed streaming state, fed by the rating stream."""
     root = scratch_dir(spark, "state")
     pattern = _stream_input(spark, d, root, from_logs=False)
-    src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "16"})
+    src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "1"})
     good, _ = recommender.parse_stream(src)
     out = f"{root}/lists"
 
