@@ -1,10 +1,10 @@
 """Item-to-item similarity without a full cross product.
 
 Dense vectors (embeddings, ALS factors, hashed TF-IDF)
-    Vectors are normalised once in Spark, then hashed into B blocks of about
-    ``block_size`` items.  Every vector is replicated to the B block pairs it
-    belongs to and ``groupBy(pair).applyInPandas`` multiplies the two blocks
-    with NumPy.  A group holds exactly two blocks, so memory per task is
+    Vectors are normalised once in Spark (and written, cutting lineage), then
+    hashed into B blocks of about ``block_size`` items.  Every vector is
+    replicated to the B block pairs it belongs to and
+    ``groupBy(pair).applyInPandas`` multiplies the two blocks with NumPy.  A group holds exactly two blocks, so memory per task is
     bounded by ``block_size`` whatever the catalogue size, and the work is
     spread over B(B+1)/2 independent tasks.  Thresholds and per-row top-k are
     applied inside the block pair; a final window merges the per-pair
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.config import SCORE_DIGITS
+from cinerank.config import SCORE_DIGITS, materialize
 from cinerank.functions.columns import l1_norm, l2_norm, round_score, scale_array
 from cinerank.operators.topk import by_score, nest_ranked, rank_within
 
@@ -129,12 +129,13 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
     """Directed pairs ``mid, rec_mid, score`` (score rounded to ``digits``),
     ``mid != rec_mid``, ``score > min_score`` when given; with ``k``, only
     candidates that can still be in a row's top-k."""
-    norm = _normalised(vectors, id_col, vec_col, metric)
+    # normalised once and written: the row count, the replication and any
+    # retried kernel task read the table instead of recomputing the inputs
+    norm = materialize(_normalised(vectors, id_col, vec_col, metric), "vectors")
     symmetric = metric == "cosine"
     spark = vectors.sparkSession
     if n_blocks is None:
-        n = vectors.count()
-        n_blocks = max(1, math.ceil(n / block_size))
+        n_blocks = max(1, math.ceil(norm.count() / block_size))
     b = n_blocks
     blk = F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")
     tagged = norm.withColumn("blk", blk)

@@ -20,9 +20,11 @@ def rating_counts(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("mid").agg(F.count("mid").alias("count"))
 
 
-def most_rated(ratings: DataFrame) -> DataFrame:
-    """Most-rated movies, most first (ties by mid)."""
-    return rating_counts(ratings).orderBy(F.col("count").desc(), F.col("mid").asc())
+def most_rated(ratings: DataFrame, as_written: bool = False) -> DataFrame:
+    """Most-rated movies, most first (ties by mid); ``as_written`` keeps the
+    reference's ascending order by count."""
+    count = F.col("count").asc() if as_written else F.col("count").desc()
+    return rating_counts(ratings).orderBy(count, F.col("mid").asc())
 
 
 def with_month(ratings: DataFrame) -> DataFrame:

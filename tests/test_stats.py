@@ -56,3 +56,8 @@ def test_grid_size_from_counts(spark):
     r = spark.createDataFrame([(1, 5, 1.0, 0), (1, 6, 1.0, 0), (2, 7, 1.0, 0), (2, 7, 2.0, 0)], schemas.RATING)
     got = {x["uid"]: (x["n_rated"], x["n_unrated"]) for x in stats.unrated_grid_size(r).collect()}
     assert got == {1: (2, 1), 2: (1, 2)}
+
+
+def test_most_rated_as_written_is_ascending(spark):
+    r = spark.createDataFrame([(1, 5, 1.0, 0), (2, 5, 1.0, 0), (1, 7, 1.0, 0)], schemas.RATING)
+    assert [tuple(x) for x in stats.most_rated(r, as_written=True).collect()] == [(7, 1), (5, 2)]
