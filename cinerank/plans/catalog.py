@@ -164,8 +164,9 @@ def candidate_items(spark, d):
 def realtime_scores(spark, d):
     ev = td.rating_events(spark, d)
     triggers = realtime.latest_per_user(ev).select("uid", "mid")
+    # every user triggers here, so the history needs no restriction
     return realtime.score_batch(triggers, ev, _realtime_matrix(spark, d), config.RECENT_RATINGS_K,
-                                config.CANDIDATES_K, REALTIME_SCORE_THRESHOLD)
+                                config.CANDIDATES_K, REALTIME_SCORE_THRESHOLD, restrict=False)
 
 
 # ---------------------------------------------------------------- streaming

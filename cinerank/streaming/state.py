@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,27 +24,26 @@ from cinerank.functions.columns import column_type, epoch_micros
 
 STATE_SCHEMA = "event_ids array<bigint>, ts array<bigint>, mids array<int>, scores array<double>"
 OUTPUT_SCHEMA = "uid int, rank int, mid int, score double"
-_COLS = ["event_id", "ts", "mid", "score"]
 
 
 def _fold(k: int):
     def fold(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if state.exists:
-            ids, ts, mids, scores = state.get
-            cur = pd.DataFrame({"event_id": list(ids), "ts": list(ts), "mid": list(mids), "score": list(scores)})
+            ids, ts, mids, scores = (np.asarray(x) for x in state.get)
         else:
-            cur = pd.DataFrame({c: pd.Series(dtype=t) for c, t in
-                                zip(_COLS, ["int64", "int64", "int32", "float64"])})
+            ids, ts = np.empty(0, "int64"), np.empty(0, "int64")
+            mids, scores = np.empty(0, "int32"), np.empty(0, "float64")
         for chunk in chunks:
-            cur = (pd.concat([cur, chunk[_COLS]], ignore_index=True)
-                   .drop_duplicates("event_id")
-                   .sort_values(["ts", "event_id"], ascending=False)
-                   .head(k))
-        state.update((cur["event_id"].astype("int64").tolist(), cur["ts"].astype("int64").tolist(),
-                      cur["mid"].astype("int32").tolist(), cur["score"].astype("float64").tolist()))
-        yield pd.DataFrame({"uid": [int(key[0])] * len(cur), "rank": list(range(1, len(cur) + 1)),
-                            "mid": cur["mid"].astype("int32").to_numpy(),
-                            "score": cur["score"].astype("float64").to_numpy()})
+            ids = np.concatenate([ids, chunk["event_id"].to_numpy("int64")])
+            ts = np.concatenate([ts, chunk["ts"].to_numpy("int64")])
+            mids = np.concatenate([mids, chunk["mid"].to_numpy("int32")])
+            scores = np.concatenate([scores, chunk["score"].to_numpy("float64")])
+            _, first = np.unique(ids, return_index=True)       # a replayed id counts once
+            order = first[np.lexsort((-ids[first], -ts[first]))][:k]  # newest first
+            ids, ts, mids, scores = ids[order], ts[order], mids[order], scores[order]
+        state.update((ids.tolist(), ts.tolist(), mids.tolist(), scores.tolist()))
+        yield pd.DataFrame({"uid": np.full(len(ids), int(key[0]), "int32"),
+                            "rank": np.arange(1, len(ids) + 1, dtype="int32"), "mid": mids, "score": scores})
     return fold
 
 
