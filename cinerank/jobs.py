@@ -2,8 +2,8 @@
 
     loader      text files -> Movie, Rating, Tag (+ rejects), MovieWithTags
     statistics  RateMoreMovies, RateMoreRecentMovies, AverageMovies, GenresTopMovies
-    offline     ALS -> MovieRecs (similar items > 0.6), UserRecs (top 20 per user)
-    content     ContentMovieRecs (TF-IDF cosine)
+    offline     ALS -> MovieRecs (similar items > 0.6, long ranked form), UserRecs (top 20)
+    content     ContentMovieRecs (TF-IDF cosine, long ranked form)
     logfilter   raw log stream -> rating-message stream (key, value)
     streaming   rating-message stream -> StreamRecs (per user, per micro-batch)
 
@@ -58,12 +58,22 @@ def statistics(spark: SparkSession, store: TableStore, genres=config.DEFAULT_GEN
     tables.write_table(stats.genre_top_nested(movies, ratings, genres, k, match), GENRES_TOP, store)
 
 
+def _write_similarity(ranked: DataFrame, name: str, store: TableStore, k: int | None) -> None:
+    """Similarity lists are stored long and ranked (``mid, rank, rec_mid,
+    score``), which any list length fits; the nested one-row-per-movie form
+    is written as ``<name>Nested`` only when lists are bounded by ``k``."""
+    tables.write_table(ranked.select("mid", F.col("rank").cast("int"), "rec_mid", "score"), name, store)
+    if k is not None:
+        tables.write_table(similarity.nest_similarity(ranked), f"{name}Nested", store)
+
+
 def offline(spark: SparkSession, store: TableStore, min_score: float = config.SIM_LIST_THRESHOLD,
             user_k: int = config.USER_RECS_K, item_k: int | None = None) -> None:
+    """ALS: MovieRecs (every pair above ``min_score``, or the top ``item_k``)
+    and UserRecs (top ``user_k`` per user, nested)."""
     ratings = tables.read_table(spark, RATING, store, schemas.RATING)
     model = collab.train(ratings)
-    tables.write_table(similarity.nest_similarity(collab.item_similarity(model, min_score, item_k)),
-                       MOVIE_RECS, store)
+    _write_similarity(collab.item_similarity(model, min_score, item_k), MOVIE_RECS, store, item_k)
     tables.write_table(collab.user_recs(model, user_k).transform(_nest_users), USER_RECS, store)
 
 
@@ -83,14 +93,18 @@ def content_job(spark: SparkSession, store: TableStore, k: int | None = None, ha
         ranked = rank_within(pairs, ["mid"], by_score("score", "rec_mid"))
     else:
         ranked = content.content_similarity(movies, k=k)
-    tables.write_table(similarity.nest_similarity(ranked), CONTENT_RECS, store)
+    _write_similarity(ranked, CONTENT_RECS, store, k)
 
 
 def similarity_long(spark: SparkSession, store: TableStore, name: str = MOVIE_RECS) -> DataFrame:
-    """Read a nested similarity table as ``mid, rec_mid, score`` (S6)."""
-    nested = tables.read_table(spark, name, store, schemas.MOVIE_RECS)
-    return nested.select(F.col("mid").alias("src"), F.explode("recs").alias("r")).select(
-        F.col("src").alias("mid"), F.col("r.mid").alias("rec_mid"), F.col("r.score").alias("score"))
+    """A similarity table as ``mid, rank, rec_mid, score`` (S6): the stored
+    long form as is, or a nested table exploded (lists are in rank order)."""
+    df = tables.read_table(spark, name, store)
+    if "recs" not in df.columns:
+        return tables.conform(df, schemas.RANKED_SIMILARITY)
+    return df.select(F.col("mid").alias("src"), F.posexplode("recs").alias("pos", "r")).select(
+        F.col("src").alias("mid"), (F.col("pos") + 1).cast("int").alias("rank"),
+        F.col("r.mid").alias("rec_mid"), F.col("r.score").alias("score"))
 
 
 def logfilter(spark: SparkSession, source_format: str, source_path: str | None, sink_format: str,

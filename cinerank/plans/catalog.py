@@ -146,9 +146,10 @@ def content_similarity_hashed(spark, d):
 
 # ---------------------------------------------------------------- real time (batch form)
 def _realtime_matrix(spark, d) -> DataFrame:
-    """The item-similarity table the real-time path reads; computed once."""
-    return materialize(similarity.dense_pairs(td.item_vectors(spark, d), metric="cosine",
-                                              min_score=REALTIME_MATRIX_THRESHOLD))
+    """The ranked item-similarity table the real-time path reads
+    (``mid, rank, rec_mid, score``); computed once."""
+    return materialize(similarity.dense_similarity(td.item_vectors(spark, d), metric="cosine",
+                                                   min_score=REALTIME_MATRIX_THRESHOLD))
 
 
 def recent_ratings(spark, d):
@@ -216,7 +217,7 @@ def stream_recs(spark, d):
     pattern = _stream_input(spark, d, root, from_logs=False)
     store = TableStore(f"{root}/tables")
     tables.write_table(_realtime_matrix(spark, d), "MovieRecsLong", store)
-    sim = tables.read_table(spark, "MovieRecsLong", store, schemas.SIMILARITY)
+    sim = tables.read_table(spark, "MovieRecsLong", store, schemas.RANKED_SIMILARITY)
     src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "1"})
     t = recommender.StreamTables(store.path("RatingLog"), store.path("StreamRecs"), store.path("Rejects"))
     q = recommender.start_recommender(spark, src, sim, t, f"{root}/ckpt", available_now=True,

@@ -31,28 +31,36 @@ def test_batch_jobs_end_to_end(spark, tmp_root):
     assert {r["genres"] for r in g} == {"ring", "gear"} and all(0 < len(r["recs"]) <= 10 for r in g)
     assert tables.read_table(spark, "RateMoreRecentMovies", store).columns == ["yyyymm", "mid", "count"]
 
-    jobs.offline(spark, store, min_score=0.6)
-    recs = tables.read_table(spark, "MovieRecs", store, schemas.MOVIE_RECS).collect()
+    jobs.offline(spark, store, min_score=0.6, item_k=30)
+    recs = tables.read_table(spark, "MovieRecsNested", store, schemas.MOVIE_RECS).collect()
     for r in recs:
         scores = [x["score"] for x in r["recs"]]
-        assert scores == sorted(scores, reverse=True) and all(s > 0.6 for s in scores)
+        assert scores == sorted(scores, reverse=True) and all(s > 0.6 for s in scores) and len(scores) <= 30
         assert r["mid"] not in {x["mid"] for x in r["recs"]}
+    long_recs = jobs.similarity_long(spark, store, "MovieRecs")
+    assert long_recs.count() == sum(len(r["recs"]) for r in recs)
     users = tables.read_table(spark, "UserRecs", store, schemas.USER_RECS).collect()
     assert users and all(len(u["recs"]) <= 20 for u in users)
 
     jobs.content_job(spark, store, k=5)
-    c = tables.read_table(spark, "ContentMovieRecs", store, schemas.MOVIE_RECS).collect()
+    c = tables.read_table(spark, "ContentMovieRecsNested", store, schemas.MOVIE_RECS).collect()
     assert c and all(len(r["recs"]) <= 5 for r in c)
-    long_form = jobs.similarity_long(spark, store, "ContentMovieRecs")
-    assert long_form.columns == ["mid", "rec_mid", "score"]
+    long_form = jobs.similarity_long(spark, store, "ContentMovieRecsNested")
+    assert long_form.columns == ["mid", "rank", "rec_mid", "score"]
     assert long_form.count() == sum(len(r["recs"]) for r in c)
+    stored = sorted(map(tuple, jobs.similarity_long(spark, store, "ContentMovieRecs").collect()))
+    assert stored == sorted(map(tuple, long_form.collect()))
+
+    jobs.content_job(spark, store)            # unbounded lists: long form only
+    full = jobs.similarity_long(spark, store, "ContentMovieRecs")
+    assert full.where("score <= 0").count() == 0 and full.count() >= len(stored)
 
 
 def test_streaming_job_with_base_ratings(spark, tmp_root):
     store = TableStore(f"{tmp_root}/tables")
     tables.write_table(spark.createDataFrame([(7, 10, 5.0, 100)], schemas.RATING), "Rating", store)
-    sim = spark.createDataFrame([(11, [(10, 0.9), (12, 0.8)]), (10, [(11, 0.9)]), (12, [(11, 0.8)])],
-                                schemas.MOVIE_RECS)
+    sim = spark.createDataFrame([(11, 1, 10, 0.9), (11, 2, 12, 0.8), (10, 1, 11, 0.9), (12, 1, 11, 0.8)],
+                                schemas.RANKED_SIMILARITY)
     tables.write_table(sim, "MovieRecs", store)
     src = f"{tmp_root}/in"
     import datetime as dt
