@@ -72,7 +72,7 @@ kept AS (SELECT * FROM pairs WHERE score > {threshold})"""
 
 def _dense_ranked(metric: str, threshold: float) -> str:
     return with_views(["item_vectors"], _dense(metric, threshold).lstrip() + """
-SELECT mid, row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid) AS rank, rec_mid, score
+SELECT mid, CAST(row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid) AS INTEGER) AS rank, rec_mid, score
 FROM kept""")
 
 
@@ -102,7 +102,7 @@ recent AS (
 cand AS (
   SELECT uid, rank, mid, sim FROM (
     SELECT t.uid, k.rec_mid AS mid, k.score AS sim,
-           row_number() OVER (PARTITION BY t.uid ORDER BY k.score DESC, k.rec_mid) AS rank
+           CAST(row_number() OVER (PARTITION BY t.uid ORDER BY k.score DESC, k.rec_mid) AS INTEGER) AS rank
     FROM trig t JOIN kept k ON k.mid = t.mid
     WHERE NOT EXISTS (SELECT 1 FROM rating_events h WHERE h.uid = t.uid AND h.mid = k.rec_mid))
   WHERE rank <= 20),
@@ -135,7 +135,7 @@ matched AS (
   SELECT kw.genre AS genres, m.mid, CAST(round(CAST(a.avg AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
   FROM movies m JOIN avgs a ON a.mid = m.mid JOIN kw ON contains(lower(m.genres), lower(kw.genre)))
 SELECT genres, rank, mid, score FROM (
-  SELECT genres, mid, score, row_number() OVER (PARTITION BY genres ORDER BY score DESC, mid) AS rank FROM matched)
+  SELECT genres, mid, score, CAST(row_number() OVER (PARTITION BY genres ORDER BY score DESC, mid) AS INTEGER) AS rank FROM matched)
 WHERE rank <= 10""")
 
 
@@ -170,7 +170,7 @@ def _realtime(select: str) -> str:
     return with_views(["item_vectors", "rating_events"], body)
 
 
-RANKED_SCORES = """SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS rank, mid, score
+RANKED_SCORES = """SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INTEGER) AS rank, mid, score
 FROM scored"""
 
 
@@ -184,7 +184,7 @@ scored AS (
   SELECT d.mid, d.rec_mid, CAST(round(CAST(CASE WHEN na.n * nb.n > 0 THEN d.dot / (na.n * nb.n) ELSE 0 END AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
   FROM dots d JOIN norms na ON na.mid = d.mid JOIN norms nb ON nb.mid = d.rec_mid)
 SELECT mid, rank, rec_mid, score FROM (
-  SELECT mid, rec_mid, score, row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid) AS rank
+  SELECT mid, rec_mid, score, CAST(row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid) AS INTEGER) AS rank
   FROM scored WHERE score > 0)
 WHERE rank <= 10""")
 
@@ -222,7 +222,7 @@ SELECT mid, term, tf, df, CAST(round(CAST(idf AS DECIMAL(30,12)), 6) AS DOUBLE)
         "content_similarity": _content_similarity(),
         "recent_ratings": with_views(["rating_events"], """x AS (SELECT 1)
 SELECT uid, rank, mid, score FROM (
-  SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS rank
+  SELECT uid, mid, score, CAST(row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rank
   FROM rating_events)
 WHERE rank <= 20"""),
         "candidate_items": _realtime("SELECT uid, rank, mid, sim FROM cand"),
@@ -233,7 +233,7 @@ SELECT event_id, message FROM messages WHERE message <> ''"""),
         "stream_recs": _realtime(RANKED_SCORES),
         "recent_ratings_stream": with_views(["rating_events"], """x AS (SELECT 1)
 SELECT uid, rank, mid, score FROM (
-  SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS rank
+  SELECT uid, mid, score, CAST(row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rank
   FROM rating_events)
 WHERE rank <= 20"""),
         "table_roundtrip": _genre_top10(),
