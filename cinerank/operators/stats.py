@@ -75,26 +75,31 @@ def genre_matches(movies: DataFrame, genres: list[str] | tuple, match: str = "su
 
     ``substring`` (default) is the reference's case-insensitive containment
     over the whole string; ``token`` matches whole ``|``-separated genres.
-    The keyword list is a parameter of a handful of rows, so it is broadcast
-    and the join is one linear pass over the movies.
+    The keyword list is a parameter, so it is inlined as one predicate per
+    keyword and the matches are exploded: a single linear pass over the
+    movies, with no join.
     """
-    spark = movies.sparkSession
-    kw = spark.createDataFrame([(g,) for g in genres], "genre string")
-    kw = F.broadcast(kw.withColumn("kw", F.lower("genre")))
-    m = movies.select("mid", F.lower("genres").alias("lg"))
+    lg = F.col("lg")
+    tokens = F.col("tokens")
+    hits = []
+    for g in genres:
+        kw = F.lit(g.lower())
+        cond = F.array_contains(tokens, kw) if match == "token" else lg.contains(kw)
+        hits.append(F.when(cond, F.lit(g)))
+    found = F.filter(F.array(*hits), lambda x: x.isNotNull())
+    lowered = movies.select("mid", F.lower(F.col("genres")).alias("lg"))
     if match == "token":
-        cond = F.array_contains(F.split(m.lg, r"\|"), kw.kw)
-    else:
-        cond = m.lg.contains(kw.kw)
-    return m.join(kw, cond).select("genre", "mid")
+        lowered = lowered.withColumn("tokens", F.split("lg", r"\|"))
+    return lowered.select("mid", F.explode(found).alias("genre")).select("genre", "mid")
 
 
 def genre_top(movies: DataFrame, ratings: DataFrame, genres=config.DEFAULT_GENRES,
               k: int = config.GENRE_TOP_K, match: str = "substring") -> DataFrame:
     """Top-k movies per genre keyword by average score: ``genres, rank, mid, score``.
 
-    Movies are joined to their averages (inner: unrated movies drop out),
-    then a per-genre ``row_number`` keeps k rows, trimmed before the shuffle.
+    Matched movies are joined to their averages (inner: unrated movies drop
+    out), then a per-genre ``row_number`` keeps k rows, trimmed before the
+    shuffle.
     """
     avg = average_scores(ratings)
     scored = genre_matches(movies, genres, match).join(avg, "mid").select(
