@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from cinerank import config
 from cinerank.config import materialize
-from cinerank.operators.similarity import dense_similarity, sparse_pairs
-from cinerank.operators.topk import rank_within
+from cinerank.operators.similarity import dense_pairs, expand_groups, sparse_pairs
 
 
 def genre_text(movies: DataFrame) -> DataFrame:
@@ -59,11 +58,9 @@ def content_similarity(movies: DataFrame, k: int = 10) -> DataFrame:
 
     Movies with the same term multiset have the same TF-IDF vector, so the
     similarity join runs between distinct *signatures* (sorted term lists),
-    and is expanded to movies only for the top (k+1) per signature.  This is
-    exact for any input: a movie's top-k list over all other movies is the
-    first k entries of its signature's ranked list once the movie itself is
-    removed, and that list only ever contains the k+1 lowest ids of each
-    neighbouring signature.
+    each identified by its smallest movie id, and is expanded to movies by
+    :func:`~cinerank.operators.similarity.expand_groups` -- exact for any
+    input.
     """
     n_docs = movies.select(F.count(F.lit(1))).scalar()
     w = words(movies)
@@ -76,28 +73,45 @@ def content_similarity(movies: DataFrame, k: int = 10) -> DataFrame:
     weights = sig_tf.join(doc_freq, "term").select("sig", "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
     # one row per (signature, term): read by both sides of the term self-join
     weights = materialize(weights)
-    sig_pairs = sparse_pairs(weights, id_col="sig", include_self=True).select(
-        F.col("mid").alias("sig"), F.col("rec_mid").alias("nsig"), "score")
-    members = rank_within(sig.select("sig", "mid"), ["sig"], [F.col("mid").asc()], k + 1).select(
-        F.col("sig").alias("nsig"), F.col("mid").alias("rec_mid"))
-    per_sig = rank_within(sig_pairs.join(members, "nsig"), ["sig"],
-                          [F.col("score").desc(), F.col("rec_mid").asc()], k + 1).select("sig", "rec_mid", "score")
-    per_movie = sig.select("mid", "sig").join(per_sig, "sig").where(F.col("mid") != F.col("rec_mid"))
-    return rank_within(per_movie, ["mid"], [F.col("score").desc(), F.col("rec_mid").asc()], k).select(
-        "mid", "rank", "rec_mid", "score")
+    gid = sig.groupBy("sig").agg(F.min("mid").alias("gid"))
+    members = sig.join(gid, "sig").select("mid", "gid")
+    by_gid = weights.join(gid, "sig").select("gid", "term", "w")
+    group_pairs = sparse_pairs(by_gid, id_col="gid", include_self=True).select(
+        F.col("mid").alias("gid"), F.col("rec_mid").alias("ngid"), "score")
+    return expand_groups(group_pairs, members, k)
+
+
+def _tokens(movies: DataFrame) -> DataFrame:
+    """``mid, words``: the reference's tokenizer (lower case, split on single
+    whitespace characters)."""
+    return Tokenizer(inputCol="genres", outputCol="words").transform(genre_text(movies)).select("mid", "words")
 
 
 def hashed_tfidf(movies: DataFrame, buckets: int = config.TF_BUCKETS) -> DataFrame:
     """The reference's feature pipeline: ``mid, features array<double>``."""
-    text = genre_text(movies)
-    tok = Tokenizer(inputCol="genres", outputCol="words").transform(text)
-    tf = HashingTF(inputCol="words", outputCol="raw", numFeatures=buckets).transform(tok)
+    tf = HashingTF(inputCol="words", outputCol="raw", numFeatures=buckets).transform(_tokens(movies))
     model = IDF(inputCol="raw", outputCol="tfidf").fit(tf)
     return model.transform(tf).select("mid", vector_to_array("tfidf").alias("features"))
 
 
-def hashed_content_similarity(movies: DataFrame, k: int | None = 10, buckets: int = config.TF_BUCKETS,
+def hashed_content_similarity(movies: DataFrame, k: int = 10, buckets: int = config.TF_BUCKETS,
                               block_size: int = 2048) -> DataFrame:
-    """Cosine over hashed TF-IDF vectors: ``mid, rank, rec_mid, score``."""
-    return dense_similarity(hashed_tfidf(movies, buckets), metric="cosine", min_score=0.0, k=k,
-                            block_size=block_size)
+    """Top-k cosine neighbours over hashed TF-IDF vectors:
+    ``mid, rank, rec_mid, score`` (score > 0).
+
+    The IDF is fitted on all movies; vectors and the blocked similarity are
+    then computed once per distinct token multiset (identified by its
+    smallest movie id) and expanded with
+    :func:`~cinerank.operators.similarity.expand_groups`.
+    """
+    hashing = HashingTF(inputCol="words", outputCol="raw", numFeatures=buckets)
+    tokens = _tokens(movies).withColumn("sig", F.array_sort("words"))
+    model = IDF(inputCol="raw", outputCol="tfidf").fit(hashing.transform(tokens))
+    groups = tokens.groupBy("sig").agg(F.min("mid").alias("gid"))
+    members = tokens.join(groups, "sig").select("mid", "gid")
+    vectors = model.transform(hashing.transform(groups.select("gid", F.col("sig").alias("words")))).select(
+        "gid", vector_to_array("tfidf").alias("features"))
+    group_pairs = dense_pairs(vectors, id_col="gid", metric="cosine", min_score=0.0, k=k + 1,
+                              block_size=block_size, include_self=True).select(
+        F.col("mid").alias("gid"), F.col("rec_mid").alias("ngid"), "score")
+    return expand_groups(group_pairs, members, k)

@@ -95,7 +95,8 @@ def _select(raw: np.ndarray, k: int | None, min_score: float | None, digits: int
     return r, c, sc
 
 
-def _block_kernel(k: int | None, min_score: float | None, digits: int, symmetric: bool):
+def _block_kernel(k: int | None, min_score: float | None, digits: int, symmetric: bool,
+                  include_self: bool = False):
     def kernel(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(key[0]), int(key[1])
         pdf = pdf.sort_values("id", kind="stable")
@@ -109,7 +110,8 @@ def _block_kernel(k: int | None, min_score: float | None, digits: int, symmetric
         a_l = a_r if symmetric else np.stack(a["lhs"].to_numpy())
         ab = a_l @ b_r.T
         if lo == hi:
-            np.fill_diagonal(ab, np.nan)  # no self pair
+            if not include_self:
+                np.fill_diagonal(ab, np.nan)  # no self pair
             directions = [(a_ids, a_ids, ab)]
         else:
             b_l = b_r if symmetric else np.stack(b["lhs"].to_numpy())
@@ -125,10 +127,10 @@ def _block_kernel(k: int | None, min_score: float | None, digits: int, symmetric
 
 def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features", metric: str = "cosine",
                 min_score: float | None = None, k: int | None = None, block_size: int = 2048,
-                n_blocks: int | None = None, digits: int = SCORE_DIGITS) -> DataFrame:
+                n_blocks: int | None = None, digits: int = SCORE_DIGITS, include_self: bool = False) -> DataFrame:
     """Directed pairs ``mid, rec_mid, score`` (score rounded to ``digits``),
-    ``mid != rec_mid``, ``score > min_score`` when given; with ``k``, only
-    candidates that can still be in a row's top-k."""
+    ``mid != rec_mid`` unless ``include_self``, ``score > min_score`` when
+    given; with ``k``, the exact top-k of each row by (score desc, id asc)."""
     # normalised once and written: the row count, the replication and any
     # retried kernel task read the table instead of recomputing the inputs
     norm = materialize(_normalised(vectors, id_col, vec_col, metric), "vectors")
@@ -149,7 +151,7 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
     n_pairs = b * (b + 1) // 2
     slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     replicated = replicated.repartition(min(n_pairs, slots), "lo", "hi")
-    kernel = _block_kernel(k, min_score, digits, symmetric)
+    kernel = _block_kernel(k, min_score, digits, symmetric, include_self)
     return replicated.groupBy("lo", "hi").applyInPandas(kernel, PAIR_SCHEMA)
 
 
@@ -190,3 +192,28 @@ def sparse_pairs(weights: DataFrame, id_col: str = "mid", term_col: str = "term"
     if min_score is not None:
         scored = scored.where(F.col("score") > min_score)
     return scored
+
+
+def expand_groups(group_pairs: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """Item top-k lists from similarities between groups of identical items.
+
+    ``members`` maps ``mid -> gid`` where every member of a group has the
+    same vector and ``gid`` is the group's smallest member id;
+    ``group_pairs`` holds ``gid, ngid, score`` -- including a group with
+    itself -- and, per ``gid``, at least the top (k+1) neighbour groups by
+    (score desc, ngid asc).  Result: ``mid, rank, rec_mid, score`` with the
+    top k other items of each item by (score desc, rec_mid asc).
+
+    Exact: a group ranked after k+1 others always has k+1 better members
+    (each earlier group's smallest member), so only the top (k+1) groups and
+    the (k+1) smallest members of each can reach a list; an item's own list
+    is its group's list without itself.  Work grows with the number of
+    distinct vectors, and each item reads only k+1 rows.
+    """
+    firsts = rank_within(members.select("gid", "mid"), ["gid"], [F.col("mid").asc()], k + 1).select(
+        F.col("gid").alias("ngid"), F.col("mid").alias("rec_mid"))
+    per_group = rank_within(group_pairs.join(firsts, "ngid"), ["gid"],
+                            [F.col("score").desc(), F.col("rec_mid").asc()], k + 1).select("gid", "rec_mid", "score")
+    per_item = members.select("mid", "gid").join(per_group, "gid").where(F.col("mid") != F.col("rec_mid"))
+    return rank_within(per_item, ["mid"], [F.col("score").desc(), F.col("rec_mid").asc()], k).select(
+        "mid", "rank", "rec_mid", "score")

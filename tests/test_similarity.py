@@ -83,3 +83,25 @@ def test_nested_lists_sorted(spark):
     for r in nested:
         scores = [x["score"] for x in r["recs"]]
         assert scores == sorted(scores, reverse=True)
+
+
+def test_expand_groups_matches_brute_force_with_duplicates(spark):
+    # 30 items over 6 distinct vectors (group sizes vary), ties across groups
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 3, size=(6, 3)).astype(float)
+    base[5] = 0.0
+    assign = [0] * 9 + [1] * 7 + [2] * 5 + [3] * 4 + [4] * 3 + [5] * 2
+    rng.shuffle(assign)
+    items = [(i + 1, base[g]) for i, g in enumerate(assign)]
+    v = vecs(spark, items)
+    brute = {(r["mid"], r["rank"]): (r["rec_mid"], r["score"])
+             for r in similarity.dense_similarity(v, min_score=0.0, k=4).collect()}
+    members = spark.createDataFrame([(m, g) for m, g in zip(range(1, 31), assign)], "mid int, g int")
+    gid = members.groupBy("g").agg(F.min("mid").alias("gid"))
+    members = members.join(gid, "g").select("mid", "gid")
+    gvec = vecs(spark, [(int(min(m for m, a in zip(range(1, 31), assign) if a == g)), base[g]) for g in set(assign)])
+    pairs = similarity.dense_pairs(gvec, min_score=0.0, k=5, include_self=True).select(
+        F.col("mid").alias("gid"), F.col("rec_mid").alias("ngid"), "score")
+    got = {(r["mid"], r["rank"]): (r["rec_mid"], r["score"])
+           for r in similarity.expand_groups(pairs, members, 4).collect()}
+    assert got == brute
