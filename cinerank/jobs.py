@@ -81,9 +81,12 @@ def _nest_users(df: DataFrame) -> DataFrame:
     return nest_ranked(df, "uid")
 
 
-def content_job(spark: SparkSession, store: TableStore, k: int | None = None, hashed: bool = False) -> None:
+def content_job(spark: SparkSession, store: TableStore, k: int | None = None, hashed: bool = False,
+                include_zero: bool = False) -> None:
     """Content similarity lists; exact vocabulary by default (``k`` = list
-    length, ``None`` keeps every positive pair), or the hashed 50-bucket path."""
+    length, ``None`` keeps every positive pair), or the hashed 50-bucket path.
+    ``include_zero`` (bounded ``k`` only) completes short lists with
+    zero-score movies."""
     movies = tables.read_table(spark, MOVIE, store, schemas.MOVIE)
     if hashed:
         ranked = content.hashed_content_similarity(movies, k=k)
@@ -92,7 +95,7 @@ def content_job(spark: SparkSession, store: TableStore, k: int | None = None, ha
         pairs = similarity.sparse_pairs(weights)
         ranked = rank_within(pairs, ["mid"], by_score("score", "rec_mid"))
     else:
-        ranked = content.content_similarity(movies, k=k)
+        ranked = content.content_similarity(movies, k=k, include_zero=include_zero)
     _write_similarity(ranked, CONTENT_RECS, store, k)
 
 

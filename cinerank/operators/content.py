@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cinerank import config
 from cinerank.config import materialize
-from cinerank.operators.similarity import dense_pairs, expand_groups, sparse_pairs
+from cinerank.operators.similarity import dense_pairs, expand_groups, fill_with_zeros, sparse_pairs
 
 
 def genre_text(movies: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def tfidf_terms(movies: DataFrame) -> DataFrame:
     return out.select("mid", "term", "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
-def content_similarity(movies: DataFrame, k: int = 10) -> DataFrame:
+def content_similarity(movies: DataFrame, k: int = 10, include_zero: bool = False) -> DataFrame:
     """Top-k content neighbours per movie by exact TF-IDF cosine:
     ``mid, rank, rec_mid, score`` (score rounded, > 0, ties by rec_mid).
 
@@ -60,7 +60,8 @@ def content_similarity(movies: DataFrame, k: int = 10) -> DataFrame:
     similarity join runs between distinct *signatures* (sorted term lists),
     each identified by its smallest movie id, and is expanded to movies by
     :func:`~cinerank.operators.similarity.expand_groups` -- exact for any
-    input.
+    input.  ``include_zero`` completes short lists with zero-score movies, as
+    the reference's full lists do.
     """
     n_docs = movies.select(F.count(F.lit(1))).scalar()
     w = words(movies)
@@ -78,7 +79,8 @@ def content_similarity(movies: DataFrame, k: int = 10) -> DataFrame:
     by_gid = weights.join(gid, "sig").select("gid", "term", "w")
     group_pairs = sparse_pairs(by_gid, id_col="gid", include_self=True).select(
         F.col("mid").alias("gid"), F.col("rec_mid").alias("ngid"), "score")
-    return expand_groups(group_pairs, members, k)
+    ranked = expand_groups(group_pairs, members, k)
+    return fill_with_zeros(ranked, movies, k) if include_zero else ranked
 
 
 def _tokens(movies: DataFrame) -> DataFrame:

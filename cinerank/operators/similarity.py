@@ -217,3 +217,21 @@ def expand_groups(group_pairs: DataFrame, members: DataFrame, k: int) -> DataFra
     per_item = members.select("mid", "gid").join(per_group, "gid").where(F.col("mid") != F.col("rec_mid"))
     return rank_within(per_item, ["mid"], [F.col("score").desc(), F.col("rec_mid").asc()], k).select(
         "mid", "rank", "rec_mid", "score")
+
+
+def fill_with_zeros(ranked: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """Complete top-k lists with zero-score items (the reference also lists
+    pairs that share nothing): ``mid, rank, rec_mid, score`` for every item.
+
+    A list with p < k positive entries is completed by the smallest other
+    ids not already listed, so the 2k+1 smallest ids overall always suffice;
+    they are fetched once (a bounded top-(2k+1), as a scalar subquery) and
+    exploded per item -- no join, nothing unbounded in one task.
+    """
+    ids = items.select("mid").distinct()
+    smallest = ids.orderBy("mid").limit(2 * k + 1).agg(F.collect_list("mid").alias("ids")).scalar()
+    zeros = ids.select("mid", F.explode(smallest).alias("rec_mid")).where(F.col("mid") != F.col("rec_mid")) \
+        .select("mid", "rec_mid", F.lit(0.0).alias("score"))
+    merged = (ranked.select("mid", "rec_mid", "score").unionByName(zeros)
+              .groupBy("mid", "rec_mid").agg(F.max("score").alias("score")))
+    return rank_within(merged, ["mid"], by_score("score", "rec_mid"), k).select("mid", "rank", "rec_mid", "score")

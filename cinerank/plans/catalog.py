@@ -140,6 +140,12 @@ def content_similarity(spark, d):
     return content.content_similarity(td.movies(spark, d), k=CONTENT_K)
 
 
+def content_similarity_with_zeros(spark, d):
+    """Top-10 content neighbours as the reference's full lists rank them:
+    pairs sharing no term score 0 and still fill a short list."""
+    return content.content_similarity(td.movies(spark, d), k=CONTENT_K, include_zero=True)
+
+
 def content_similarity_hashed(spark, d):
     return content.hashed_content_similarity(td.movies(spark, d), k=CONTENT_K)
 
@@ -297,6 +303,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_predict": als_predict,
     "tfidf_terms": tfidf_terms,
     "content_similarity": content_similarity,
+    "content_similarity_with_zeros": content_similarity_with_zeros,
     "content_similarity_hashed": content_similarity_hashed,
     "recent_ratings": recent_ratings,
     "candidate_items": candidate_items,

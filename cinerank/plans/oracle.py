@@ -189,6 +189,26 @@ SELECT mid, rank, rec_mid, score FROM (
 WHERE rank <= 10""")
 
 
+def _content_similarity_with_zeros() -> str:
+    return with_views(["movies"], TFIDF.lstrip() + """,
+norms AS (SELECT mid, sqrt(sum(tfidf * tfidf)) AS n FROM tfidf GROUP BY mid),
+dots AS (
+  SELECT a.mid AS mid, b.mid AS rec_mid, sum(a.tfidf * b.tfidf) AS dot
+  FROM tfidf a JOIN tfidf b ON a.term = b.term AND a.mid <> b.mid GROUP BY a.mid, b.mid),
+allpairs AS (SELECT a.mid AS mid, b.mid AS rec_mid FROM movies a JOIN movies b ON a.mid <> b.mid),
+scored AS (
+  SELECT p.mid, p.rec_mid,
+         CAST(round(CAST(CASE WHEN na.n * nb.n > 0 THEN coalesce(d.dot, 0) / (na.n * nb.n) ELSE 0 END
+                         AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
+  FROM allpairs p LEFT JOIN dots d ON d.mid = p.mid AND d.rec_mid = p.rec_mid
+       LEFT JOIN norms na ON na.mid = p.mid LEFT JOIN norms nb ON nb.mid = p.rec_mid)
+SELECT mid, rank, rec_mid, score FROM (
+  SELECT mid, rec_mid, score,
+         CAST(row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid) AS INTEGER) AS rank
+  FROM scored)
+WHERE rank <= 10""")
+
+
 def statements() -> dict[str, str]:
     movie_cols = "mid, name, descri, timelong, shoot, issue, language, genres, director, actors"
     month = "CAST(strftime(to_timestamp(\"timestamp\") AT TIME ZONE 'UTC', '%Y%m') AS INT)"
@@ -220,6 +240,7 @@ FROM ratings GROUP BY uid"""),
         "tfidf_terms": with_views(["movies"], TFIDF.lstrip() + """
 SELECT mid, term, tf, df, CAST(round(CAST(idf AS DECIMAL(30,12)), 6) AS DOUBLE) AS idf, CAST(round(CAST(tfidf AS DECIMAL(30,12)), 6) AS DOUBLE) AS tfidf FROM tfidf"""),
         "content_similarity": _content_similarity(),
+        "content_similarity_with_zeros": _content_similarity_with_zeros(),
         "recent_ratings": with_views(["rating_events"], """x AS (SELECT 1)
 SELECT uid, rank, mid, score FROM (
   SELECT uid, mid, score, CAST(row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rank

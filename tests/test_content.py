@@ -28,3 +28,34 @@ def test_identical_genre_strings_score_one_and_rank_by_id(spark):
     got = [(r["rank"], r["rec_mid"], r["score"]) for r in content.content_similarity(mv, k=3).collect()
            if r["mid"] == 9]
     assert sorted(got)[:2] == [(1, 3, 1.0), (2, 5, 1.0)]
+
+
+def test_include_zero_completes_lists_like_brute_force(spark):
+    import itertools
+    import math
+    mv_rows = [(1, "a"), (2, "b"), (3, "a|c"), (4, ""), (5, "d"), (6, "b|d"), (7, "e")]
+    mv = movies(spark, mv_rows)
+    k = 4
+    got = {(r["mid"], r["rank"]): (r["rec_mid"], r["score"])
+           for r in content.content_similarity(mv, k=k, include_zero=True).collect()}
+    # brute force: tf-idf cosine over all pairs, zeros kept, (score desc, id asc)
+    docs = {m: [t for t in g.lower().replace("|", " ").split(" ") if t] for m, g in mv_rows}
+    n = len(docs)
+    df = {}
+    for ts in docs.values():
+        for t in set(ts):
+            df[t] = df.get(t, 0) + 1
+    vec = {m: {t: ts.count(t) * math.log((n + 1) / (df[t] + 1)) for t in set(ts)} for m, ts in docs.items()}
+    norm = {m: math.sqrt(sum(w * w for w in v.values())) for m, v in vec.items()}
+    exp = {}
+    for a in docs:
+        scored = []
+        for b in docs:
+            if a == b:
+                continue
+            dot = sum(w * vec[b].get(t, 0.0) for t, w in vec[a].items())
+            s = round(dot / (norm[a] * norm[b]), 6) if norm[a] * norm[b] > 0 else 0.0
+            scored.append((-s, b))
+        for rank, (ns, b) in enumerate(sorted(scored)[:k], start=1):
+            exp[(a, rank)] = (b, -ns + 0.0)
+    assert got == exp
