@@ -31,7 +31,6 @@ def test_identical_genre_strings_score_one_and_rank_by_id(spark):
 
 
 def test_include_zero_completes_lists_like_brute_force(spark):
-    import itertools
     import math
     mv_rows = [(1, "a"), (2, "b"), (3, "a|c"), (4, ""), (5, "d"), (6, "b|d"), (7, "e")]
     mv = movies(spark, mv_rows)

@@ -1,6 +1,5 @@
 """End-to-end: fixture rows written as the reference's text files, then the jobs."""
 
-from pyspark.sql import functions as F
 
 from cinerank import jobs, schemas
 from cinerank.config import TableStore

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from cinerank import schemas
 from cinerank.functions.columns import register_change_date, yyyymm_of_epoch

@@ -1,6 +1,3 @@
-from pyspark.sql import functions as F
-
-from cinerank.operators import realtime
 from cinerank.streaming import recommender
 
 
