@@ -184,7 +184,8 @@ def log_filter(spark, d):
 def _stream_input(spark, d, root: str, from_logs: bool, chunks: int = 3) -> str:
     """Write rating messages as files in event-time order, one folder per time
     slice, slice after slice (stand-in for the rating topic); the queries read
-    one file per trigger, so each slice arrives as its own micro-batch.  ``from_logs``
+    one file per trigger, so the stream arrives in several micro-batches in
+    event-time order.  ``from_logs``
     takes the messages the log filter publishes (malformed ones included),
     otherwise every rating event is rendered as a message."""
     ev = td.rating_events(spark, d)

@@ -77,3 +77,24 @@ def recommender_current(spark, store):
     from cinerank.streaming import recommender
     rows = recommender.current_recs(spark, store.path("StreamRecs")).collect()
     return {r["uid"]: [x["mid"] for x in r["recs"]] for r in rows}
+
+
+def test_command_line_entry(spark, tmp_root):
+    raw = f"{tmp_root}/raw"
+    spark.createDataFrame([("1^Heat^d^t^s^i^l^Action|Crime^x^y",), ("2^Up^d^t^s^i^l^Animation^x^y",)],
+                          "value string").write.text(f"{raw}/movies")
+    spark.createDataFrame([("7,1,4.5,1425168000",), ("8,1,3.0,1425167999",), ("8,2,5.0,1425168000",)],
+                          "value string").write.text(f"{raw}/ratings")
+    spark.createDataFrame([("7,1,heist,1",)], "value string").write.text(f"{raw}/tags")
+    root = f"{tmp_root}/tables"
+    jobs.main(["loader", "--root", root, "--movies", f"{raw}/movies", "--ratings", f"{raw}/ratings",
+               "--tags", f"{raw}/tags"])
+    jobs.main(["statistics", "--root", root])
+    store = TableStore(root)
+    months = {tuple(r) for r in tables.read_table(spark, "RateMoreRecentMovies", store).collect()}
+    assert months == {(201503, 1, 1), (201502, 1, 1), (201503, 2, 1)}
+    top = {r["genres"]: [x["mid"] for x in r["recs"]]
+           for r in tables.read_table(spark, "GenresTopMovies", store, schemas.GENRE_RECS).collect()}
+    assert top == {"Action": [1], "Crime": [1], "Animation": [2]}
+    docs = {r["mid"]: r["tags"] for r in tables.read_table(spark, "MovieWithTags", store).collect()}
+    assert docs == {1: "heist", 2: None}
