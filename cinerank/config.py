@@ -57,21 +57,37 @@ class TableStore:
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Connect sessions raise here
+        return None
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots to plan for: the cluster's default parallelism, else the
+    session's shuffle partition count."""
+    sc = _context(spark)
+    if sc is not None:
+        return int(sc.defaultParallelism)
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir``).  Only when the setting
     is absent -- local tests -- a private folder is created and registered.
     """
+    sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="cinerank-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

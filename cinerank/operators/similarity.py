@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.config import SCORE_DIGITS, materialize
+from cinerank.config import SCORE_DIGITS, materialize, parallelism
 from cinerank.functions.columns import l1_norm, l2_norm, round_score, scale_array
 from cinerank.operators.topk import by_score, nest_ranked, rank_within
 
@@ -149,7 +149,7 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
     # An explicit partition count keeps one block pair per task slot instead of
     # letting the runtime merge the (few, large) groups into fewer tasks.
     n_pairs = b * (b + 1) // 2
-    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
     replicated = replicated.repartition(min(n_pairs, slots), "lo", "hi")
     kernel = _block_kernel(k, min_score, digits, symmetric, include_self)
     return replicated.groupBy("lo", "hi").applyInPandas(kernel, PAIR_SCHEMA)

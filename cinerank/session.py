@@ -31,5 +31,8 @@ def build_session(master: str | None = None, app: str = "cinerank",
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 -- no SparkContext under Spark Connect
+        pass
     return spark
