@@ -4,12 +4,14 @@ Dense vectors (embeddings, ALS factors, hashed TF-IDF)
     Vectors are normalised once in Spark (and written, cutting lineage), then
     hashed into B blocks of about ``block_size`` items.  Every vector is
     replicated to the B block pairs it belongs to and
-    ``groupBy(pair).applyInPandas`` multiplies the two blocks with NumPy.  A group holds exactly two blocks, so memory per task is
-    bounded by ``block_size`` whatever the catalogue size, and the work is
-    spread over B(B+1)/2 independent tasks.  Thresholds and per-row top-k are
-    applied inside the block pair; a final window merges the per-pair
-    top-k, which is exact because the final order (score desc, id asc) is a
-    total order.
+    ``groupBy(pair).applyInPandas`` multiplies the two blocks with NumPy, in
+    row chunks.  A group holds exactly two blocks and the score matrix is
+    built chunk x block at a time, so memory per task is bounded by
+    ``block_size`` whatever the catalogue size; shuffle volume is the input
+    times B, and the work is spread over B(B+1)/2 independent tasks.
+    Thresholds and per-row top-k are applied inside the block pair; a final
+    window merges the per-pair top-k, which is exact because the final order
+    (score desc, id asc) is a total order.
 
 Sparse vectors (exact-vocabulary TF-IDF)
     An inverted index: ``(item, term, weight)`` rows self-joined on ``term``,
@@ -96,7 +98,7 @@ def _select(raw: np.ndarray, k: int | None, min_score: float | None, digits: int
 
 
 def _block_kernel(k: int | None, min_score: float | None, digits: int, symmetric: bool,
-                  include_self: bool = False):
+                  include_self: bool = False, chunk: int = 1024):
     def kernel(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(key[0]), int(key[1])
         pdf = pdf.sort_values("id", kind="stable")
@@ -108,25 +110,28 @@ def _block_kernel(k: int | None, min_score: float | None, digits: int, symmetric
         a_r = np.stack(a["rhs"].to_numpy())
         b_r = a_r if lo == hi else np.stack(b["rhs"].to_numpy())
         a_l = a_r if symmetric else np.stack(a["lhs"].to_numpy())
-        ab = a_l @ b_r.T
-        if lo == hi:
-            if not include_self:
-                np.fill_diagonal(ab, np.nan)  # no self pair
-            directions = [(a_ids, a_ids, ab)]
-        else:
-            b_l = b_r if symmetric else np.stack(b["lhs"].to_numpy())
-            directions = [(a_ids, b_ids, ab), (b_ids, a_ids, ab.T if symmetric else b_l @ a_r.T)]
+        b_l = b_r if symmetric else (a_l if lo == hi else np.stack(b["lhs"].to_numpy()))
+        directions = [(a_ids, a_l, b_ids, b_r)]
+        if lo != hi:
+            directions.append((b_ids, b_l, a_ids, a_r))
         out = []
-        for src, dst, raw in directions:
-            r, c, sc = _select(raw, k, min_score, digits)
-            out.append(pd.DataFrame({"mid": src[r].astype("int32"), "rec_mid": dst[c].astype("int32"),
-                                     "score": sc.astype("float64")}))
+        for src_ids, src, dst_ids, dst in directions:
+            # row chunks bound the score matrix to chunk x block columns
+            for s0 in range(0, len(src_ids), chunk):
+                raw = src[s0:s0 + chunk] @ dst.T
+                if lo == hi and not include_self:
+                    rows = np.arange(raw.shape[0])
+                    raw[rows, rows + s0] = np.nan  # no self pair
+                r, c, sc = _select(raw, k, min_score, digits)
+                out.append(pd.DataFrame({"mid": src_ids[s0 + r].astype("int32"),
+                                         "rec_mid": dst_ids[c].astype("int32"),
+                                         "score": sc.astype("float64")}))
         return pd.concat(out, ignore_index=True)
     return kernel
 
 
 def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features", metric: str = "cosine",
-                min_score: float | None = None, k: int | None = None, block_size: int = 2048,
+                min_score: float | None = None, k: int | None = None, block_size: int = 4096,
                 n_blocks: int | None = None, digits: int = SCORE_DIGITS, include_self: bool = False) -> DataFrame:
     """Directed pairs ``mid, rec_mid, score`` (score rounded to ``digits``),
     ``mid != rec_mid`` unless ``include_self``, ``score > min_score`` when
@@ -156,7 +161,7 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
 
 
 def dense_similarity(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features", metric: str = "cosine",
-                     min_score: float | None = None, k: int | None = None, block_size: int = 2048,
+                     min_score: float | None = None, k: int | None = None, block_size: int = 4096,
                      n_blocks: int | None = None) -> DataFrame:
     """Ranked similarity lists in long form: ``mid, rank, rec_mid, score``."""
     pairs = dense_pairs(vectors, id_col, vec_col, metric, min_score, k, block_size, n_blocks)
