@@ -62,3 +62,25 @@ def test_restart_from_checkpoint_changes_nothing(spark, tmp_root):
     after = run()                              # only the new file is processed
     cur = {r["uid"]: [x["mid"] for x in r["recs"]] for r in recommender.current_recs(spark, tables.recs_path).collect()}
     assert cur == {7: [11], 8: [10]} and len(after) == len(first) + 1
+
+
+def test_late_and_duplicate_messages(spark, tmp_root):
+    import datetime as dt
+    from cinerank.streaming import sources
+    t0 = dt.datetime(2024, 1, 10)
+    sim = spark.createDataFrame([(20, 21, 0.9), (20, 11, 0.8), (21, 20, 0.9), (11, 10, 0.8)],
+                                "mid int, rec_mid int, score double")
+    tables = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
+    batch_df(spark, [(1, t0, "7|20|4.0|1")]).write.parquet(f"{tmp_root}/in/a")
+    # two days late in event time, and a second delivery of event 1
+    batch_df(spark, [(2, t0 - dt.timedelta(days=2), "7|10|5.0|0"), (1, t0, "7|20|4.0|1")]) \
+        .write.parquet(f"{tmp_root}/in/b")
+    src = sources.message_stream(spark, "parquet", f"{tmp_root}/in/*/*.parquet", {"maxFilesPerTrigger": "1"})
+    q = recommender.start_recommender(spark, src, sim, tables, f"{tmp_root}/ckpt", available_now=True, threshold=0.5)
+    q.awaitTermination()
+    assert {r["event_id"] for r in spark.read.parquet(tables.log_path).collect()} == {1, 2}  # late one kept
+    cur = {r["uid"]: [(x["mid"], x["score"]) for x in r["recs"]]
+           for r in recommender.current_recs(spark, tables.recs_path).collect()}
+    # trigger stays the newest event (item 20); 11 scores 0.8*5.0 = 4.0 from the late rating;
+    # 21 scores 0.9*4.0 = 3.6 -- event 1 counted once (twice would add log10(2))
+    assert cur == {7: [(11, 4.0), (21, 3.6)]}
