@@ -77,7 +77,7 @@ def content_similarity(movies: DataFrame, k: int = 10, include_zero: bool = Fals
     gid = sig.groupBy("sig").agg(F.min("mid").alias("gid"))
     members = sig.join(gid, "sig").select("mid", "gid")
     by_gid = weights.join(gid, "sig").select("gid", "term", "w")
-    group_pairs = sparse_pairs(by_gid, id_col="gid", include_self=True).select(
+    group_pairs = sparse_pairs(by_gid, id_col="gid", k=k + 1, include_self=True).select(
         F.col("mid").alias("gid"), F.col("rec_mid").alias("ngid"), "score")
     ranked = expand_groups(group_pairs, members, k)
     return fill_with_zeros(ranked, movies, k) if include_zero else ranked

@@ -14,9 +14,10 @@ Dense vectors (embeddings, ALS factors, hashed TF-IDF)
     (score desc, id asc) is a total order.
 
 Sparse vectors (exact-vocabulary TF-IDF)
-    An inverted index: ``(item, term, weight)`` rows self-joined on ``term``,
-    dot products summed per pair, divided by the norms.  Pairs that share no
-    term score 0 and are never produced.
+    The same blocking; inside a block pair a local inverted index (NumPy)
+    accumulates dot products.  No term-level self-join: pairs sharing a hot
+    term are never emitted as rows, only each row's result.  Pairs that share
+    no term score 0 and are not produced.
 """
 
 from __future__ import annotations
@@ -135,7 +136,9 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
                 n_blocks: int | None = None, digits: int = SCORE_DIGITS, include_self: bool = False) -> DataFrame:
     """Directed pairs ``mid, rec_mid, score`` (score rounded to ``digits``),
     ``mid != rec_mid`` unless ``include_self``, ``score > min_score`` when
-    given; with ``k``, the exact top-k of each row by (score desc, id asc)."""
+    given.  With ``k`` every block pair keeps each row's exact top-k by
+    (score desc, id asc): a superset of the row's overall top-k (at most k
+    per block), which a final ranking cuts -- see :func:`dense_similarity`."""
     # normalised once and written: the row count, the replication and any
     # retried kernel task read the table instead of recomputing the inputs
     norm = materialize(_normalised(vectors, id_col, vec_col, metric), "vectors")
@@ -173,30 +176,98 @@ def nest_similarity(ranked: DataFrame) -> DataFrame:
     return nest_ranked(ranked, "mid", mid="rec_mid")
 
 
-def sparse_pairs(weights: DataFrame, id_col: str = "mid", term_col: str = "term", w_col: str = "w",
-                 min_score: float | None = 0.0, include_self: bool = False) -> DataFrame:
-    """Cosine over sparse vectors by an inverted index: ``mid, rec_mid, score``.
+SPARSE_SCHEMA = "mid int, rec_mid int, score double"
+
+
+def _flatten(part: pd.DataFrame):
+    lengths = part["terms"].map(len).to_numpy()
+    rows = np.repeat(np.arange(len(part)), lengths)
+    terms = np.concatenate(part["terms"].to_numpy()) if len(rows) else np.empty(0, dtype=object)
+    ws = np.concatenate(part["ws"].to_numpy()).astype("float64") if len(rows) else np.empty(0)
+    return rows, terms, ws
+
+
+def _sparse_kernel(k: int | None, min_score: float | None, digits: int, include_self: bool, chunk: int = 1024):
+    def kernel(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = int(key[0]), int(key[1])
+        pdf = pdf.sort_values("id", kind="stable")
+        a = pdf[pdf["blk"] == lo]
+        b = a if lo == hi else pdf[pdf["blk"] == hi]
+        if len(a) == 0 or len(b) == 0:
+            return pd.DataFrame({"mid": [], "rec_mid": [], "score": []})
+        parts = [(a["id"].to_numpy(), *_flatten(a))]
+        if lo != hi:
+            parts.append((b["id"].to_numpy(), *_flatten(b)))
+        # local vocabulary of the block pair -> integer term ids
+        vocab, inv = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        coded, at = [], 0
+        for ids, rows, terms, ws in parts:
+            coded.append((ids, rows, inv[at:at + len(terms)], ws))
+            at += len(terms)
+        directions = [(coded[0], coded[0])] if lo == hi else [(coded[0], coded[1]), (coded[1], coded[0])]
+        out = []
+        for (src_ids, s_rows, s_terms, s_ws), (dst_ids, d_rows, d_terms, d_ws) in directions:
+            order = np.argsort(d_terms, kind="stable")          # postings of the destination block
+            d_terms_sorted, d_rows_sorted, d_ws_sorted = d_terms[order], d_rows[order], d_ws[order]
+            for s0 in range(0, len(src_ids), chunk):
+                n_rows = min(chunk, len(src_ids) - s0)
+                scores = np.zeros((n_rows, len(dst_ids)))
+                sel = (s_rows >= s0) & (s_rows < s0 + n_rows)
+                c_rows, c_terms, c_ws = s_rows[sel] - s0, s_terms[sel], s_ws[sel]
+                by_term = np.argsort(c_terms, kind="stable")
+                c_rows, c_terms, c_ws = c_rows[by_term], c_terms[by_term], c_ws[by_term]
+                starts = np.flatnonzero(np.r_[True, c_terms[1:] != c_terms[:-1]]) if len(c_terms) else []
+                ends = np.r_[starts[1:], len(c_terms)] if len(c_terms) else []
+                for i0, i1 in zip(starts, ends):
+                    t = c_terms[i0]
+                    j0, j1 = np.searchsorted(d_terms_sorted, [t, t + 1])
+                    if j0 == j1:
+                        continue
+                    scores[np.ix_(c_rows[i0:i1], d_rows_sorted[j0:j1])] += np.outer(c_ws[i0:i1], d_ws_sorted[j0:j1])
+                if lo == hi and not include_self:
+                    r = np.arange(n_rows)
+                    scores[r, r + s0] = np.nan  # no self pair
+                r, c, sc = _select(scores, k, min_score, digits)
+                out.append(pd.DataFrame({"mid": src_ids[s0 + r].astype("int32"),
+                                         "rec_mid": dst_ids[c].astype("int32"), "score": sc.astype("float64")}))
+        return pd.concat(out, ignore_index=True)
+    return kernel
+
 
-    ``weights`` holds one row per (item, term).  Only pairs sharing a term
-    are generated; ``min_score`` (strict) defaults to dropping zero scores.
+def sparse_pairs(weights: DataFrame, id_col: str = "mid", term_col: str = "term", w_col: str = "w",
+                 min_score: float | None = 0.0, k: int | None = None, include_self: bool = False,
+                 block_size: int = 4096, n_blocks: int | None = None, digits: int = SCORE_DIGITS) -> DataFrame:
+    """Cosine over sparse vectors: ``mid, rec_mid, score`` (rounded).
+
+    ``weights`` holds one row per (item, term).  Vectors are L2-normalised in
+    Spark, each item's terms and weights become one row, and items are
+    blocked and paired exactly like the dense kernel; inside a block pair a
+    local inverted index accumulates dot products into a bounded
+    chunk x block score matrix.  Pairs never become rows: only entries above
+    ``min_score`` (strict, default: drop zero scores) and, with ``k``, each
+    row's exact top-k within the block pair leave the task (a superset of
+    the row's overall top-k, cut by a final ranking).  Zero vectors produce
+    nothing.
     """
-    w = weights.select(F.col(id_col).alias("id"), F.col(term_col).alias("term"), F.col(w_col).cast("double").alias("w"))
+    w = (weights.select(F.col(id_col).cast("int").alias("id"), F.col(term_col).cast("string").alias("term"),
+                        F.col(w_col).cast("double").alias("w"))
+         .groupBy("id", "term").agg(F.sum("w").alias("w")))
     norms = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    a = w.select(F.col("id").alias("a"), "term", F.col("w").alias("wa"))
-    b = w.select(F.col("id").alias("b"), "term", F.col("w").alias("wb"))
-    pairs = a.join(b, "term")
-    if not include_self:
-        pairs = pairs.where(F.col("a") != F.col("b"))
-    dots = pairs.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
-    na = norms.select(F.col("id").alias("a"), F.col("norm").alias("na"))
-    nb = norms.select(F.col("id").alias("b"), F.col("norm").alias("nb"))
-    scored = dots.join(na, "a").join(nb, "b").select(
-        F.col("a").alias("mid"), F.col("b").alias("rec_mid"),
-        round_score(F.when(F.col("na") * F.col("nb") > 0, F.col("dot") / (F.col("na") * F.col("nb")))
-                    .otherwise(F.lit(0.0))).alias("score"))
-    if min_score is not None:
-        scored = scored.where(F.col("score") > min_score)
-    return scored
+    docs = (w.join(norms.where(F.col("norm") > 0), "id")
+            .groupBy("id").agg(F.collect_list("term").alias("terms"),
+                                F.collect_list(F.col("w") / F.col("norm")).alias("ws")))
+    docs = materialize(docs, "sparse-vectors")
+    spark = weights.sparkSession
+    if n_blocks is None:
+        n_blocks = max(1, math.ceil(docs.count() / block_size))
+    b = n_blocks
+    partner = F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("other")
+    replicated = docs.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")).select("*", partner).select(
+        F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "id", "terms", "ws")
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
+    replicated = replicated.repartition(min(b * (b + 1) // 2, slots), "lo", "hi")
+    kernel = _sparse_kernel(k, min_score, digits, include_self)
+    return replicated.groupBy("lo", "hi").applyInPandas(kernel, SPARSE_SCHEMA)
 
 
 def expand_groups(group_pairs: DataFrame, members: DataFrame, k: int) -> DataFrame:

@@ -105,3 +105,38 @@ def test_expand_groups_matches_brute_force_with_duplicates(spark):
     got = {(r["mid"], r["rank"]): (r["rec_mid"], r["score"])
            for r in similarity.expand_groups(pairs, members, 4).collect()}
     assert got == brute
+
+
+@pytest.mark.parametrize("k,include_self", [(None, False), (3, False), (2, True)])
+def test_sparse_blocked_equals_brute_force(spark, k, include_self):
+    rng = np.random.default_rng(3)
+    vocab = ["hot", "a", "b", "c", "d", "e"]
+    rows = []
+    for i in range(40):
+        terms = {"hot"} if i % 3 else set()          # a term shared by two thirds of the items
+        terms |= set(rng.choice(vocab[1:], size=int(rng.integers(0, 3)), replace=False))
+        rows += [(i, t, float(rng.integers(1, 4))) for t in terms]
+    w = spark.createDataFrame(rows, "mid int, term string, w double")
+    pairs = similarity.sparse_pairs(w, k=k, include_self=include_self, n_blocks=3)
+    if k is not None:  # per block pair the kernel keeps a superset; cut to the final top-k
+        from cinerank.operators.topk import by_score, rank_within
+        pairs = rank_within(pairs, ["mid"], by_score("score", "rec_mid"), k)
+    got = pairs_of(pairs)
+    vec = {}
+    for i, t, x in rows:
+        vec.setdefault(i, {})[t] = x
+    exp = {}
+    for a in vec:
+        na = math.sqrt(sum(x * x for x in vec[a].values()))
+        cand = []
+        for b in vec:
+            if a == b and not include_self:
+                continue
+            nb = math.sqrt(sum(x * x for x in vec[b].values()))
+            dot = sum(x * vec[b].get(t, 0.0) for t, x in vec[a].items())
+            s = float(similarity.round_half_away(np.array([dot / (na * nb)]), 6)[0])
+            if s > 0:
+                cand.append((-s, b))
+        for ns, b in (sorted(cand) if k is None else sorted(cand)[:k]):
+            exp[(a, b)] = -ns
+    assert got == exp
