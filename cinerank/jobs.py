@@ -88,7 +88,9 @@ def content_job(spark: SparkSession, store: TableStore, k: int | None = None, ha
     ``include_zero`` (bounded ``k`` only) completes short lists with
     zero-score movies."""
     movies = tables.read_table(spark, MOVIE, store, schemas.MOVIE)
-    if hashed:
+    if hashed and k is None:
+        ranked = similarity.dense_similarity(content.hashed_tfidf(movies), min_score=0.0)
+    elif hashed:
         ranked = content.hashed_content_similarity(movies, k=k)
     elif k is None:
         weights = content.tfidf_terms(movies).select("mid", "term", F.col("tfidf").alias("w"))

@@ -98,3 +98,15 @@ def test_command_line_entry(spark, tmp_root):
     assert top == {"Action": [1], "Crime": [1], "Animation": [2]}
     docs = {r["mid"]: r["tags"] for r in tables.read_table(spark, "MovieWithTags", store).collect()}
     assert docs == {1: "heist", 2: None}
+
+
+def test_content_job_hashed_paths(spark, tmp_root):
+    store = TableStore(f"{tmp_root}/tables")
+    tables.write_table(td.movies(spark, D), "Movie", store)
+    jobs.content_job(spark, store, k=3, hashed=True)
+    bounded = jobs.similarity_long(spark, store, "ContentMovieRecs")
+    assert bounded.groupBy("mid").count().where("count > 3").count() == 0
+    n_bounded = bounded.count()
+    jobs.content_job(spark, store, hashed=True)
+    full = jobs.similarity_long(spark, store, "ContentMovieRecs")
+    assert full.count() >= n_bounded and full.where("score <= 0").count() == 0
