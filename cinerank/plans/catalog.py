@@ -151,11 +151,16 @@ def content_similarity_hashed(spark, d):
 
 
 # ---------------------------------------------------------------- real time (batch form)
+def _ranked_matrix(spark, d) -> DataFrame:
+    """The ranked item-similarity lists the real-time path reads
+    (``mid, rank, rec_mid, score``)."""
+    return similarity.dense_similarity(td.item_vectors(spark, d), metric="cosine",
+                                       min_score=REALTIME_MATRIX_THRESHOLD)
+
+
 def _realtime_matrix(spark, d) -> DataFrame:
-    """The ranked item-similarity table the real-time path reads
-    (``mid, rank, rec_mid, score``); computed once."""
-    return materialize(similarity.dense_similarity(td.item_vectors(spark, d), metric="cosine",
-                                                   min_score=REALTIME_MATRIX_THRESHOLD))
+    """:func:`_ranked_matrix`, computed once (read by two joins)."""
+    return materialize(_ranked_matrix(spark, d))
 
 
 def recent_ratings(spark, d):
@@ -223,7 +228,7 @@ def stream_recs(spark, d):
     root = scratch_dir(spark, "stream")
     pattern = _stream_input(spark, d, root, from_logs=False)
     store = TableStore(f"{root}/tables")
-    tables.write_table(_realtime_matrix(spark, d), "MovieRecsLong", store)
+    tables.write_table(_ranked_matrix(spark, d), "MovieRecsLong", store)
     sim = tables.read_table(spark, "MovieRecsLong", store, schemas.RANKED_SIMILARITY)
     src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "1"})
     t = recommender.StreamTables(store.path("RatingLog"), store.path("StreamRecs"), store.path("Rejects"))
