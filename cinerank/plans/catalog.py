@@ -8,7 +8,7 @@ forms are available from the operator modules.
 
 from __future__ import annotations
 
-import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -282,7 +282,7 @@ def rating_republish(spark, d):
 
 def rated_layout(spark, d):
     store = TableStore(scratch_dir(spark, "layout"))
-    name = f"rating_by_uid_{int(time.time() * 1000)}"
+    name = f"rating_by_uid_{uuid.uuid4().hex}"
     tables.write_clustered(td.ratings(spark, d), name, store, key="uid", buckets=8)
     r = spark.table(name)
     return r.groupBy("uid").agg(F.count(F.lit(1)).alias("n_ratings"), round_score(F.avg("score")).alias("avg_score"))
