@@ -156,6 +156,13 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint")
     p.add_argument("--option", action="append", default=[], help="source option key=value")
     p.add_argument("--sink-option", action="append", default=[], help="sink option key=value")
+    p.add_argument("--k", type=int, default=None, help="similarity list length (offline/content)")
+    p.add_argument("--min-score", type=float, default=config.SIM_LIST_THRESHOLD,
+                   help="offline similarity threshold (strict)")
+    p.add_argument("--hashed", action="store_true", help="content: hashed 50-bucket features")
+    p.add_argument("--include-zero", action="store_true", help="content: fill short lists with zero scores")
+    p.add_argument("--score-threshold", type=float, default=config.SIM_SCORE_THRESHOLD,
+                   help="streaming: similarity threshold of the priority formula (strict)")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"cinerank-{a.job}").getOrCreate()
     store = TableStore(a.root, a.format)
@@ -166,15 +173,16 @@ def main(argv=None) -> None:
     elif a.job == "statistics":
         statistics(spark, store)
     elif a.job == "offline":
-        offline(spark, store)
+        offline(spark, store, min_score=a.min_score, item_k=a.k)
     elif a.job == "content":
-        content_job(spark, store)
+        content_job(spark, store, k=a.k, hashed=a.hashed, include_zero=a.include_zero)
     elif a.job == "logfilter":
         logfilter(spark, a.source_format, a.source_path, a.sink_format, a.sink_path,
                   a.checkpoint or config.scratch_dir(spark, "logfilter-ckpt"), opts, sink_opts).awaitTermination()
     else:
         streaming(spark, store, a.source_format, a.source_path,
-                  a.checkpoint or config.scratch_dir(spark, "streaming-ckpt"), opts).awaitTermination()
+                  a.checkpoint or config.scratch_dir(spark, "streaming-ckpt"), opts,
+                  threshold=a.score_threshold).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -90,6 +90,7 @@ def test_command_line_entry(spark, tmp_root):
     jobs.main(["loader", "--root", root, "--movies", f"{raw}/movies", "--ratings", f"{raw}/ratings",
                "--tags", f"{raw}/tags"])
     jobs.main(["statistics", "--root", root])
+    jobs.main(["content", "--root", root, "--k", "1", "--include-zero"])
     store = TableStore(root)
     months = {tuple(r) for r in tables.read_table(spark, "RateMoreRecentMovies", store).collect()}
     assert months == {(201503, 1, 1), (201502, 1, 1), (201503, 2, 1)}
@@ -98,6 +99,8 @@ def test_command_line_entry(spark, tmp_root):
     assert top == {"Action": [1], "Crime": [1], "Animation": [2]}
     docs = {r["mid"]: r["tags"] for r in tables.read_table(spark, "MovieWithTags", store).collect()}
     assert docs == {1: "heist", 2: None}
+    lists = {tuple(r) for r in jobs.similarity_long(spark, store, "ContentMovieRecs").collect()}
+    assert lists == {(1, 1, 2, 0.0), (2, 1, 1, 0.0)}          # no shared genre: zero-score fill
 
 
 def test_content_job_hashed_paths(spark, tmp_root):
