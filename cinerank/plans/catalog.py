@@ -187,27 +187,20 @@ def log_filter(spark, d):
 
 
 def _stream_input(spark, d, root: str, from_logs: bool, chunks: int = 3) -> str:
-    """Write rating messages as files in event-time order, one folder per time
-    slice, slice after slice (stand-in for the rating topic); the queries read
-    one file per trigger, so the stream arrives in several micro-batches in
-    event-time order.  ``from_logs``
-    takes the messages the log filter publishes (malformed ones included),
-    otherwise every rating event is rendered as a message."""
+    """Write rating messages as ``chunks`` files, one per event-time range, in
+    one job (stand-in for the rating topic); the queries read one file per
+    trigger, so the stream arrives in several micro-batches.  Their order is
+    not relied on: the streaming job's result does not depend on it.
+    ``from_logs`` takes the messages the log filter publishes (malformed ones
+    included), otherwise every rating event is rendered as a message."""
     ev = td.rating_events(spark, d)
     if from_logs:
         msgs = logs.extract_messages(td.log_lines(spark, d), keep=("event_id",)).join(
             ev.select("event_id", "ts"), "event_id")
     else:
         msgs = ev.select("event_id", "ts", delimited.render_column(delimited.MESSAGES).alias("message"))
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    lo = ev.select(F.min(micros)).scalar()
-    hi = ev.select(F.max(micros)).scalar()
-    sliced = msgs.select("event_id", "ts", F.col("message").alias("value"),
-                         F.floor((micros - lo) * chunks / (hi - lo + 1)).cast("int").alias("slice"))
-    sliced = sliced.persist()
-    for i in range(chunks):
-        sliced.where(F.col("slice") == i).drop("slice").write.mode("overwrite").parquet(f"{root}/in/slice_{i:04d}")
-    sliced.unpersist()
+    (msgs.select("event_id", "ts", F.col("message").alias("value"))
+         .repartitionByRange(chunks, "ts", "event_id").write.mode("overwrite").parquet(f"{root}/in/all"))
     return f"{root}/in/*/*.parquet"
 
 
