@@ -91,7 +91,7 @@ def content_job(spark: SparkSession, store: TableStore, k: int | None = None, ha
     if hashed and k is None:
         ranked = similarity.dense_similarity(content.hashed_tfidf(movies), min_score=0.0)
     elif hashed:
-        ranked = content.hashed_content_similarity(movies, k=k)
+        ranked = content.hashed_content_similarity(movies, k=k, include_zero=include_zero)
     elif k is None:
         weights = content.tfidf_terms(movies).select("mid", "term", F.col("tfidf").alias("w"))
         pairs = similarity.sparse_pairs(weights)

@@ -97,14 +97,15 @@ def hashed_tfidf(movies: DataFrame, buckets: int = config.TF_BUCKETS) -> DataFra
 
 
 def hashed_content_similarity(movies: DataFrame, k: int = 10, buckets: int = config.TF_BUCKETS,
-                              block_size: int = 4096) -> DataFrame:
+                              block_size: int = 4096, include_zero: bool = False) -> DataFrame:
     """Top-k cosine neighbours over hashed TF-IDF vectors:
     ``mid, rank, rec_mid, score`` (score > 0).
 
     The IDF is fitted on all movies; vectors and the blocked similarity are
     then computed once per distinct token multiset (identified by its
     smallest movie id) and expanded with
-    :func:`~cinerank.operators.similarity.expand_groups`.
+    :func:`~cinerank.operators.similarity.expand_groups`; ``include_zero``
+    completes short lists with zero-score movies, as the reference does.
     """
     hashing = HashingTF(inputCol="words", outputCol="raw", numFeatures=buckets)
     tokens = _tokens(movies).withColumn("sig", F.array_sort("words"))
@@ -116,4 +117,5 @@ def hashed_content_similarity(movies: DataFrame, k: int = 10, buckets: int = con
     group_pairs = dense_pairs(vectors, id_col="gid", metric="cosine", min_score=0.0, k=k + 1,
                               block_size=block_size, include_self=True).select(
         F.col("mid").alias("gid"), F.col("rec_mid").alias("ngid"), "score")
-    return expand_groups(group_pairs, members, k)
+    ranked = expand_groups(group_pairs, members, k)
+    return fill_with_zeros(ranked, movies, k) if include_zero else ranked

@@ -29,3 +29,11 @@ def test_als_item_similarity_equals_numpy_brute_force(spark):
         exp |= {(int(a), r + 1, int(b), -ns) for r, (ns, b) in enumerate(cand)}
     got = {tuple(r) for r in collab.item_similarity(model, min_score=0.6, k=20).collect()}
     assert got == exp
+
+
+def test_hashed_include_zero_equals_all_items_kernel(spark):
+    movies = td.movies(spark, D)
+    filled = sorted(map(tuple, content.hashed_content_similarity(movies, k=10, include_zero=True).collect()))
+    direct = sorted(map(tuple, similarity.dense_similarity(content.hashed_tfidf(movies), min_score=None,
+                                                           k=10).collect()))
+    assert filled == direct
