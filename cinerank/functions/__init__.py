@@ -1,0 +1 @@
+"""Column expressions shared by all jobs (built-in Spark functions only)."""

@@ -1,0 +1 @@
+"""Registered queries and their independent SQL oracles."""

@@ -1,0 +1 @@
+"""Structured Streaming: log filter, message sources, recommender and keyed state."""
