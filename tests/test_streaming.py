@@ -109,3 +109,15 @@ def test_stream_result_independent_of_arrival_order(spark, tmp_root):
     stream = {tuple(r) for r in tables.explode_recs(recommender.current_recs(spark, t.recs_path), "uid").collect()}
     batch = {tuple(r) for r in catalog.realtime_scores(spark, d).collect()}
     assert stream == batch and len(batch) > 0
+
+
+def test_bus_records_normalised(spark):
+    import datetime as dt
+    from cinerank.streaming import sources
+    recs = spark.createDataFrame(
+        [(0, 5, dt.datetime(2024, 1, 1), bytearray(b"7|10|4.0|1")), (1, 5, dt.datetime(2024, 1, 2), bytearray(b"x"))],
+        "partition int, offset long, timestamp timestamp, value binary")
+    rows = sorted(map(tuple, sources.from_bus_records(recs).collect()))
+    assert [(r[0], r[2]) for r in rows] == [(5, "7|10|4.0|1"), ((1 << 40) + 5, "x")]
+    good, rejected = recommender.parse_stream(sources.from_bus_records(recs))
+    assert [tuple(r)[2:] for r in good.collect()] == [(7, 10, 4.0, 1)] and rejected.count() == 1
