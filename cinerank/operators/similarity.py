@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinerank.config import SCORE_DIGITS, materialize, parallelism
-from cinerank.functions.columns import l1_norm, l2_norm, round_score, scale_array
+from cinerank.functions.columns import l1_norm, l2_norm, scale_array
 from cinerank.operators.topk import by_score, nest_ranked, rank_within
 
 PAIR_SCHEMA = "mid int, rec_mid int, score double"
