@@ -127,7 +127,9 @@ def streaming(spark: SparkSession, store: TableStore, source_format: str, source
     awaits it).  The base Rating table, when present, is part of every user's
     history (a negative, content-derived ``event_id`` that orders below every
     stream id; event time from its epoch seconds)."""
-    sim = similarity_long(spark, store, sim_table)
+    # static for the life of the query: read once for all micro-batches
+    # (MEMORY_AND_DISK; a lost block is re-read from the table)
+    sim = similarity_long(spark, store, sim_table).persist()
     base = None
     if with_base_ratings:
         r = tables.read_table(spark, RATING, store, schemas.RATING)
