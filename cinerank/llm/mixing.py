@@ -87,6 +87,7 @@ def pair_up(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> np.ndarray:
     p = p.copy()
     rest_squares = np.append(np.cumsum((size ** 2)[::-1])[::-1], 0.0)
     rest_words = np.append(np.cumsum(size[::-1])[::-1], 0.0)
+    again = (u * 2.0 ** 20) % 1.0           # a second draw: the lower bits of the first
     held = -1
     for i in range(len(p)):
         if _settle(p, i):
@@ -98,7 +99,7 @@ def pair_up(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> np.ndarray:
             words = rest_words[i]
             gain = min((1 - p[held]) * size[held], p[i:].min() * words)
             loss = min(p[held] * size[held], (1 - p[i:].max()) * words)
-            move = gain if u[held] * (gain + loss) < loss else -loss
+            move = gain if again[i] * (gain + loss) < loss else -loss
             p[held] += move / size[held]
             p[i:] -= move / words
             if _settle(p, held):
