@@ -52,6 +52,38 @@ def maybe_in(rows: DataFrame, key: Column, bitmap: DataFrame, bits: int) -> Data
     at = F.pmod(key, F.lit(bits))
     cols = rows.columns
     marked = rows.withColumn("block__", F.floor(at / BLOCK_BITS)).withColumn("bit__", (at % BLOCK_BITS).cast("int"))
+    return marked.join(F.broadcast(bitmap), "block__").filter(_bit_set()).select(*cols)
+
+
+def _bit_set() -> Column:
+    """Whether bit ``bit__`` of ``bitmap__`` is set; null where there is no bitmap."""
     byte = F.conv(F.hex(F.expr("substring(bitmap__, bit__ div 8 + 1, 1)")), 16, 10).cast("int")
     power = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), F.col("bit__") % 8 + 1)
-    return (marked.join(F.broadcast(bitmap), "block__").filter(byte.bitwiseAND(power) != 0).select(*cols))
+    return byte.bitwiseAND(power) != 0
+
+
+FILTER_BITS = 1 << 23    # 1 MB: size of the bitmaps that keep rows out of a shuffle
+
+
+def without(rows: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
+    """Rows whose ``key`` (null never matches) is not in the one column of ``dropped``.  Rows
+    the bitmap clears pass where they are; only the few it cannot clear are joined."""
+    bits, name = FILTER_BITS, dropped.columns[0]
+    cols = rows.columns
+    keyed = rows.withColumn("key__", key)
+    hashed = F.xxhash64("key__")
+    bitmap = key_bitmap(dropped, F.xxhash64(name), bits)
+    blocks = F.broadcast(bitmap)
+    at = F.pmod(hashed, F.lit(bits))
+    marked = (keyed.withColumn("block__", F.floor(at / BLOCK_BITS)).withColumn("bit__", (at % BLOCK_BITS).cast("int"))
+              .join(blocks, "block__", "left"))
+    suspect = _bit_set().eqNullSafe(F.lit(True))
+    clear = marked.filter(~suspect).select(*cols)
+    rest = maybe_in(keyed, hashed, bitmap, bits).join(dropped.withColumnRenamed(name, "key__"), "key__", "left_anti")
+    return clear.unionByName(rest.select(*cols))
+
+
+def row_identity(df: DataFrame, id_col: str) -> Column:
+    """Text naming a row by its id and all its values; equal only for rows that repeat."""
+    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")),
+                       F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))

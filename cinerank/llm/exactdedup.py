@@ -21,11 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinerank.config import materialize, parallelism, scratch_dir
-from cinerank.llm.common import key_bitmap, maybe_in, text_of
+from cinerank.llm.common import FILTER_BITS, key_bitmap, maybe_in, row_identity, text_of, without
 
 CAPACITY = 65_536        # keys a bucket may hold before it is split
 MAX_DEPTH = 16           # most key bits the directory uses: 65,536 slots at most
-FILTER_BITS = 1 << 23    # bitmap over chained keys: 1 MB at most, sent to every task
 
 
 def key_of(text: Column) -> Column:
@@ -107,3 +106,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return joined.select(F.col("id").alias(id_col), keep.alias("keep_id"),
                          F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
                          keep.eqNullSafe(F.col("id")).alias("kept"), F.col("digest").alias("text_sha256"))
+
+
+def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of equal texts: the largest id, then the largest
+    row identity; rows that repeat in every column leave one.  Columns are unchanged.
+
+    Texts of rows that simply stay are not shuffled."""
+    order = F.struct(F.col(id_col).alias("id"), row_identity(docs, id_col).alias("row"))
+    rows = docs.select(order.alias("rid"), F.col(text_col).alias("text"))
+    groups = exact_groups(rows, "rid", "text")
+    judged = groups.groupBy("rid").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).select(
+        F.col("rid.row").alias("row"), "kept", "n")
+    special = materialize(judged.filter("not kept or n > 1"), "dropped-rows")
+    stays = without(docs, row_identity(docs, id_col), special.select("row"))
+    repeated = special.filter("kept").select(F.col("row").alias("row__"))
+    keyed = docs.withColumn("row__", row_identity(docs, id_col))
+    again = maybe_in(keyed, F.xxhash64("row__"), key_bitmap(repeated, F.xxhash64("row__"), FILTER_BITS), FILTER_BITS)
+    one = again.join(repeated, "row__", "left_semi").dropDuplicates(["row__"]).select(*docs.columns)
+    return stays.unionByName(one)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinerank.config import materialize
-from cinerank.llm.common import key_bitmap, maybe_in, text_of
+from cinerank.llm.common import FILTER_BITS, key_bitmap, maybe_in, text_of, without
 from cinerank.llm.components import connected_components
 
 BANDS, ROWS = 40, 5
@@ -39,7 +39,6 @@ PERMS = BANDS * ROWS
 BATCH = 40               # hashes compared at a time
 MISS = 1e-8              # chosen chance of dropping a pair at the threshold in one comparison
 THRESHOLD = 80           # percent
-FILTER_BITS = 1 << 23    # bitmap over the ids whose sets are needed: 1 MB at most
 SLICE = 4096             # shingles hashed at a time, so a long text needs no more memory
 
 _rng = np.random.default_rng(20240229)
@@ -203,3 +202,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return member.join(lookup, "rep", "left").select(
         F.col("id").alias(id_col), "n_shingles", comp.alias("component_id"),
         F.coalesce(comp == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+              percent: int = THRESHOLD) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, the smallest id; rows
+    that share an id are one document and stay or go together.  Rows with a null id and
+    texts without words stay.  Columns are unchanged."""
+    judged = near_duplicates(docs, id_col, text_col, width, percent)
+    gone = materialize(judged.filter(~F.col("kept")).select(F.col(id_col).cast("long").alias("gone")).distinct(), "near-copies")
+    return without(docs, F.col(id_col).cast("long"), gone)

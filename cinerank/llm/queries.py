@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import chat, exactdedup, mixing, neardup, secrets, topk, urlfilter
+from cinerank.llm import bpe, chat, exactdedup, mixing, neardup, quality, secrets, topk, toxicity, urlfilter
 from cinerank.llm.common import table
 from cinerank.llm.oracle import ORACLE
 
@@ -39,6 +40,11 @@ def op2_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op4_chat_format(spark: SparkSession, d: str) -> DataFrame:
     """All conversations and conversation -7, formatted and read back from the format."""
     own = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
@@ -57,6 +63,18 @@ def op5_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, d, "pages"), urlfilter.rule_table(spark, URL_RULES))
 
 
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op7_bpe(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of every document and their decoding, as digests."""
+    out = bpe.encode_documents(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op8_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Near duplicates of all documents on 2-word shingles."""
     return neardup.near_duplicates(table(spark, d, "documents"), width=2)
@@ -75,8 +93,11 @@ def op10_top_k(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mix_sources": op2_mix_sources,
+    "op3_quality": op3_quality,
     "op4_chat_format": op4_chat_format,
     "op5_url_filter": op5_url_filter,
+    "op6_toxicity": op6_toxicity,
+    "op7_bpe": op7_bpe,
     "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_top_k": op10_top_k,
