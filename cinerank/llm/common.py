@@ -65,22 +65,23 @@ def _bit_set() -> Column:
 FILTER_BITS = 1 << 23    # 1 MB: size of the bitmaps that keep rows out of a shuffle
 
 
+def packed(rows: DataFrame, key: Column) -> DataFrame:
+    """(row, key): all columns of ``rows`` as one struct, so that no name can clash."""
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), key.alias("key"))
+
+
 def without(rows: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
     """Rows whose ``key`` (null never matches) is not in the one column of ``dropped``.  Rows
     the bitmap clears pass where they are; only the few it cannot clear are joined."""
-    bits, name = FILTER_BITS, dropped.columns[0]
-    cols = rows.columns
-    keyed = rows.withColumn("key__", key)
-    hashed = F.xxhash64("key__")
-    bitmap = key_bitmap(dropped, F.xxhash64(name), bits)
-    blocks = F.broadcast(bitmap)
-    at = F.pmod(hashed, F.lit(bits))
-    marked = (keyed.withColumn("block__", F.floor(at / BLOCK_BITS)).withColumn("bit__", (at % BLOCK_BITS).cast("int"))
-              .join(blocks, "block__", "left"))
-    suspect = _bit_set().eqNullSafe(F.lit(True))
-    clear = marked.filter(~suspect).select(*cols)
-    rest = maybe_in(keyed, hashed, bitmap, bits).join(dropped.withColumnRenamed(name, "key__"), "key__", "left_anti")
-    return clear.unionByName(rest.select(*cols))
+    keys = dropped.toDF("key")
+    pairs, hashed = packed(rows, key), F.xxhash64("key")
+    bitmap = key_bitmap(keys, hashed, FILTER_BITS)
+    at = F.pmod(hashed, F.lit(FILTER_BITS))
+    marked = (pairs.withColumn("block__", F.floor(at / BLOCK_BITS)).withColumn("bit__", (at % BLOCK_BITS).cast("int"))
+              .join(F.broadcast(bitmap), "block__", "left"))
+    clear = marked.filter(~_bit_set().eqNullSafe(F.lit(True))).select("row.*")
+    rest = maybe_in(pairs, hashed, bitmap, FILTER_BITS).join(keys, "key", "left_anti")
+    return clear.unionByName(rest.select("row.*"))
 
 
 def row_identity(df: DataFrame, id_col: str) -> Column:

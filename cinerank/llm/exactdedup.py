@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinerank.config import materialize, parallelism, scratch_dir
-from cinerank.llm.common import FILTER_BITS, key_bitmap, maybe_in, row_identity, text_of, without
+from cinerank.llm.common import FILTER_BITS, key_bitmap, maybe_in, packed, row_identity, text_of, without
 
 CAPACITY = 65_536        # keys a bucket may hold before it is split
 MAX_DEPTH = 16           # most key bits the directory uses: 65,536 slots at most
@@ -120,8 +120,8 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("rid.row").alias("row"), "kept", "n")
     special = materialize(judged.filter("not kept or n > 1"), "dropped-rows")
     stays = without(docs, row_identity(docs, id_col), special.select("row"))
-    repeated = special.filter("kept").select(F.col("row").alias("row__"))
-    keyed = docs.withColumn("row__", row_identity(docs, id_col))
-    again = maybe_in(keyed, F.xxhash64("row__"), key_bitmap(repeated, F.xxhash64("row__"), FILTER_BITS), FILTER_BITS)
-    one = again.join(repeated, "row__", "left_semi").dropDuplicates(["row__"]).select(*docs.columns)
+    repeated = special.filter("kept").select(F.col("row").alias("key"))
+    again = maybe_in(packed(docs, row_identity(docs, id_col)), F.xxhash64("key"),
+                     key_bitmap(repeated, F.xxhash64("key"), FILTER_BITS), FILTER_BITS)
+    one = again.join(repeated, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
     return stays.unionByName(one)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from cinerank.config import materialize
-from cinerank.llm.common import FILTER_BITS, WORD, key_bitmap, maybe_in, row_identity, text_of
+from cinerank.llm.common import FILTER_BITS, WORD, key_bitmap, maybe_in, packed, row_identity, text_of
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
@@ -184,13 +184,12 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """``docs`` with every row repeated as often as the mix takes it; rows it does not take
     are gone.  Columns are unchanged.  Rows that repeat in every column share the copies
     drawn for them."""
-    keyed = docs.withColumn("row__", row_identity(docs, id_col))
-    mixed = mix(keyed.select(F.col("row__").alias("row"), F.col(text_col).alias("text"), F.col(source_col).alias("source")),
-                "row", "text", "source", weights, most, seed)
-    copies = materialize(mixed.groupBy("row").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
-                         .filter("copies > 0").withColumnRenamed("row", "row__"), "mix-copies")
-    single, repeated = copies.filter("n = 1"), copies.filter("n > 1")
-    suspects = maybe_in(keyed, F.xxhash64("row__"), key_bitmap(repeated, F.xxhash64("row__"), FILTER_BITS), FILTER_BITS)
-    taken = keyed.join(single, "row__").unionByName(suspects.join(repeated, "row__").dropDuplicates(["row__"]))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns],
-                        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy__")).drop("copy__")
+    keyed = packed(docs, row_identity(docs, id_col))
+    mixed = mix(keyed.select("key", F.col(f"row.`{text_col}`").alias("text"), F.col(f"row.`{source_col}`").alias("source")),
+                "key", "text", "source", weights, most, seed)
+    copies = materialize(mixed.groupBy("key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
+                         .filter("copies > 0"), "mix-copies")
+    single, repeated = (copies.filter(f).select("key", "copies") for f in ("n = 1", "n > 1"))
+    suspects = maybe_in(keyed, F.xxhash64("key"), key_bitmap(repeated, F.xxhash64("key"), FILTER_BITS), FILTER_BITS)
+    taken = keyed.join(single, "key").unionByName(suspects.join(repeated, "key").dropDuplicates(["key"]))
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

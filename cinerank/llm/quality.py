@@ -145,7 +145,10 @@ def _featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(batches), ignore_index=True)
+    parts = [b for b in batches if len(b)]
+    if not parts:
+        return
+    rows = pd.concat(parts, ignore_index=True)
     x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, N_FEATURES)
     is_p = rows["positive"].to_numpy(bool)
     m = train(x[is_p], x[~is_p])

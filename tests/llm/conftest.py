@@ -1,0 +1,18 @@
+import pytest
+
+from cinerank.llm import common  # noqa: F401  -- these tests need the subpackage
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def docs_of(spark):
+    """Rows of (doc_id, text[, source]) as a documents table with extra, clashing columns."""
+    def build(rows, extra=True):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
+        df = spark.createDataFrame(full, DOCUMENTS)
+        if extra:
+            for name in ("id", "key", "n", "score", "label", "size", "rep", "text__", "hash", "block__", "rid", "copies"):
+                df = df.selectExpr("*", f"'x' AS `{name}`")
+        return df
+    return build

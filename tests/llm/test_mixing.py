@@ -1,0 +1,92 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cinerank.llm import mixing
+
+
+def targets(sizes):
+    """Targets by the rule as stated: share, stop, share the excess again."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
+    out, open_ = {s: 0.0 for s in sizes}, set(sizes)
+    left = float(sum(sizes.values()))
+    while open_ and left > 1e-9:
+        total = sum(w[s] for s in open_)
+        for s in open_:
+            out[s] += left * w[s] / total
+        left = 0.0
+        for s in list(open_):
+            if out[s] >= 3 * sizes[s]:
+                left += out[s] - 3 * sizes[s]
+                out[s] = 3.0 * sizes[s]
+                open_.discard(s)
+    return out
+
+
+def random_rows(seed, n=400):
+    rng = random.Random(seed)
+    names = ["a", "b", "é", "Z", "zz", None, "tiny"]
+    return [(i, " ".join(["w"] * rng.choice([0, 1, 5, 30, 200])), rng.choice(names[:6]) if i else "tiny") for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_targets_and_totals(docs_of, seed):
+    rows = random_rows(seed)
+    got = mixing.mix(docs_of(rows), chunk=16, fan_in=3).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(rows)))
+    source = {i: s for i, _, s in rows}
+    sizes = {}
+    for r in got:
+        assert r["size"] == len(rows[r.doc_id][1].split())
+        sizes[source[r.doc_id]] = sizes.get(source[r.doc_id], 0) + r["size"]
+    want, taken = targets(sizes), {}
+    for r in got:
+        s = source[r.doc_id]
+        assert r.source_size == sizes[s] and r.target == pytest.approx(want[s])
+        assert r.taken == r.copies * r["size"] <= 3 * r["size"]
+        taken[s] = taken.get(s, 0) + r.taken
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= 101          # half the largest document, rounded
+
+
+def test_reruns_agree_on_any_partitioning(docs_of):
+    df = docs_of(random_rows(3))
+    runs = [sorted((r.doc_id, r.taken) for r in mixing.mix(df.repartition(n), chunk=32).collect()) for n in (1, 7)]
+    assert runs[0] == runs[1]
+
+
+def test_pairing_keeps_words_and_expectation():
+    rng = np.random.default_rng(0)
+    size = np.sort(rng.integers(1, 500, 60).astype(float))[::-1].copy()
+    total = np.zeros(60)
+    for _ in range(3000):
+        p = mixing.pair_up(size, np.full(60, 0.3), rng.random(60))
+        assert ((p == 0) | (p == 1)).sum() >= 59
+        assert (size * p).sum() == pytest.approx((size * 0.3).sum())
+        total += p
+    assert np.abs(total / 3000 - 0.3).max() < 0.06
+
+
+def test_edge_rows(docs_of):
+    rows = [(None, "a b c", "s"), (None, "a b c", "s"), (1, None, "s"), (1, "", None), (2, "x " * 30_000, "t"), (3, "x", "u")]
+    got = mixing.mix(docs_of(rows)).collect()
+    assert len(got) == len(rows)
+    assert {r["size"] for r in got if r.doc_id == 1} == {0} and all(r.taken == 0 for r in got if r["size"] == 0)
+    assert mixing.mix(docs_of([])).count() == 0
+    empty = mixing.mix(docs_of([(1, ""), (2, None)])).collect()
+    assert [(r.target, r.taken) for r in empty] == [(0.0, 0), (0.0, 0)]
+
+
+def test_apply_mix_repeats_rows(docs_of):
+    df = docs_of(random_rows(4, 120))
+    df = df.unionByName(df.filter("doc_id < 5"))
+    out = mixing.apply_mix(df)
+    assert out.columns == df.columns
+    want = {}
+    for r in mixing.mix(df.select("*", F.concat_ws(":", "doc_id", F.hex(F.xxhash64(*df.columns))).alias("row")), "row").collect():
+        want[r.row.split(":")[0]] = want.get(r.row.split(":")[0], 0) + r.copies
+    got = {str(r.doc_id): r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert got == {k: v for k, v in want.items() if v}
