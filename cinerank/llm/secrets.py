@@ -109,9 +109,10 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "sour
               .select("text_key", F.struct("s.start", "s.kind", "s.end", "s.hash").alias("s"), "n_owners", "n_repos",
                       (F.col("n_owners") <= max_live_owners).alias("live")))
     owned = len(BASE_KINDS)
-    per_text = judged.groupBy("text_key").agg(
+    per_text = materialize(judged.groupBy("text_key").agg(
         F.collect_list(F.when((F.col("s.kind") == owned) & F.col("live"), F.col("s"))).alias("added"),
-        F.array_sort(F.collect_set(F.struct(F.col("s.hash").alias("hash"), "n_owners", "n_repos", "live"))).alias("verdicts"))
+        F.array_sort(F.collect_set(F.struct(F.col("s.hash").alias("hash"), "n_owners", "n_repos", "live"))).alias("verdicts")),
+        "secret-verdicts")
     none = F.array().cast(f"array<{SPAN}>")
     return (found.join(per_text, "text_key", "left")
             .select(*keep, "base", F.array_sort(F.concat("base", F.coalesce("added", none))).alias("all_spans"),
