@@ -10,9 +10,13 @@
    as soon as the posterior chance of reaching the threshold is below ``miss``.
 4. For each member the most promising survivor is verified on the full sets; verified
    links join components.
-5. Members of one bucket that are still in different components are paired, go through
-   the same comparison, and every survivor is verified on the full sets.  Pairs inside
-   a component cannot change the result and are never formed.
+5. Buckets that still hold different components are settled without forming pairs inside
+   a component, which cannot change the result.  Members of buckets of up to ``SMALL``
+   rows are paired, compared and verified the same way, at most ``SMALL`` partners a bucket.
+   Larger buckets that share members make one cluster; its members meet in blocks of
+   ``BLOCK`` rows, those outside the cluster's main component against all, and a block pair
+   is compared, verified and joined inside its task, which returns at most one link for
+   each two components it joins.
 
 With 40 bands of 5 hashes a pair at similarity 0.8 misses every bucket with a chance of
 1.3e-7.
@@ -39,6 +43,8 @@ PERMS = BANDS * ROWS
 BATCH = 40               # hashes compared at a time
 MISS = 1e-8              # chosen chance of dropping a pair at the threshold in one comparison
 THRESHOLD = 80           # percent
+SMALL = 16               # rows of a bucket up to which its members are paired as rows
+BLOCK = 512              # rows of a cluster that meet another block in one task
 SLICE = 4096             # shingles hashed at a time, so a long text needs no more memory
 
 _rng = np.random.default_rng(20240229)
@@ -130,6 +136,81 @@ def _verify(percent: int):
     return run
 
 
+def _settle(needed: dict[int, int], percent: int):
+    """Links between the components of two blocks: ``left`` rows against ``right`` rows of
+    other components.  Signatures are compared in batches, survivors on their full sets."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        links: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while parent.get(c, c) != c:
+                    c = parent[c]
+                return c
+            sig = np.frombuffer(b"".join(right["sig"]), np.uint32).reshape(-1, PERMS)
+            sets = [np.frombuffer(x, np.uint64) for x in right["set"]]
+            sizes = np.array([len(x) for x in sets])
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            words, codes = np.unique(np.concatenate(sets), return_inverse=True)
+            ids, comps, main = (right[c].to_numpy() for c in ("id", "comp", "main"))
+            for own, comp, own_sig, own_set in zip(left["id"], left["comp"], left["sig"], left["set"]):
+                mine = np.frombuffer(own_sig, np.uint32)
+                alive = np.nonzero((comps != comp) & (main | (ids > own)))[0]
+                equal = np.zeros(len(ids), np.int64)
+                for n, least in needed.items():
+                    equal[alive] += (sig[alive, n - BATCH:n] == mine[n - BATCH:n]).sum(1)
+                    alive = alive[equal[alive] >= least]
+                if not len(alive):
+                    continue
+                shingles = np.frombuffer(own_set, np.uint64)
+                at = np.searchsorted(words, shingles)
+                at = at[at < len(words)]
+                held = np.zeros(len(words), bool)
+                held[at] = np.isin(words[at], shingles)
+                both = np.add.reduceat(held[codes].astype(np.int32), starts)
+                for j in alive[100 * both[alive] >= percent * (sizes[alive] + len(shingles) - both[alive])]:
+                    x, y = root(int(comp)), root(int(comps[j]))
+                    if x != y:
+                        parent[max(x, y)] = min(x, y)
+                        links.append((int(own), int(ids[j])))
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+    return run
+
+
+def _clusters(placed: DataFrame) -> DataFrame:
+    """(id, cluster) of the members of the larger mixed buckets: buckets that share a member
+    belong to one cluster."""
+    centers = placed.groupBy("bucket").agg(F.min("id").alias("center"))
+    return connected_components(placed.join(centers, "bucket").select(F.col("id").alias("a"), F.col("center").alias("b")), "a", "b"
+                                ).withColumnRenamed("component", "cluster").withColumnRenamed("node", "id")
+
+
+def _settle_clusters(clusters: DataFrame, comps: DataFrame, reps: DataFrame, sets: DataFrame, needed: dict[int, int],
+                     percent: int) -> DataFrame:
+    """Links (a, b) that join the components of each cluster."""
+    rows = clusters.join(comps, "id", "left").select("id", "cluster", F.coalesce("component", "id").alias("comp"))
+    sized = rows.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
+    about = (sized.groupBy("cluster").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("m"), F.count(F.lit(1)).alias("comps"))
+             .filter("comps > 1")
+             .select("cluster", F.col("m.comp").alias("main_comp"), F.ceil((F.col("all") - F.col("m.n")) / BLOCK).alias("lefts"),
+                     F.ceil(F.col("all") / BLOCK).alias("rights")))
+    full = materialize(rows.join(about, "cluster").join(reps, "id").join(sets, "id")
+                       .withColumn("main", F.col("comp") == F.col("main_comp")), "cluster-rows")
+    block = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = ["id", "comp", "main", "sig", "set"]
+    left = full.filter("not main").select(*own, "cluster", block("lefts", 1).alias("l"), each("rights").alias("r"))
+    right = full.select(*[F.col(c).alias(c) for c in own], F.col("cluster").alias("cluster2"), each("lefts").alias("l2"),
+                        block("rights", 2).alias("r2"))
+    renamed = right.toDF(*[f"{c}2" for c in own], "cluster2", "l2", "r2")
+    settle = _settle(needed, percent)
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        return settle(x, y.rename(columns={f"{c}2": c for c in own}))
+    return left.groupBy("cluster", "l", "r").cogroup(renamed.groupBy("cluster2", "l2", "r2")).applyInPandas(meet, "a long, b long")
+
+
 def _attach(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
     """The values of both ends of every pair.  Plain equi-joins on the ids: a node with
     very many partners is split by adaptive execution."""
@@ -156,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     sketch = materialize(text.mapInPandas(_sketch(width), "id long, n_shingles long, set_key binary, sig binary"), "sketches")
     real = sketch.filter("n_shingles > 0 and id is not null")
-    first = real.groupBy("set_key").agg(F.min("id").alias("rep"))
+    first = materialize(real.groupBy("set_key").agg(F.min("id").alias("rep")), "distinct-sets")
     member = materialize(sketch.select("id", "n_shingles", "set_key").join(first, "set_key", "left"), "members")
     reps = real.join(first.select("set_key", F.col("rep").alias("id")), ["set_key", "id"], "left_semi").select("id", "sig")
     reps = materialize(reps.dropDuplicates(["id", "sig"]), "representatives")
@@ -180,15 +261,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated = member.join(same_id, "id").filter("rep <> a").select("a", F.col("rep").alias("b"))
     stage1 = connected_components(verify(likely).unionByName(repeated), "a", "b")
 
-    label = F.coalesce("component", "id")
-    placed = crowded.select("id", "bucket").join(stage1.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "id", label.alias("comp"))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("bucket")
+    comps = stage1.withColumnRenamed("node", "id")
+    placed = crowded.select("id", "bucket").join(comps, "id", "left").select(
+        "bucket", "id", F.coalesce("component", "id").alias("comp"))
+    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
+             .filter("lo <> hi").select("bucket", "n"))
     left = materialize(placed.join(mixed, "bucket"), "mixed-buckets")
-    cross = (left.alias("x").join(left.alias("y"), (F.col("x.bucket") == F.col("y.bucket"))
-                                  & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")))
+    clusters = materialize(_clusters(left.filter(F.col("n") > SMALL)), "clusters")
+    inner = materialize(_settle_clusters(clusters, comps, reps, sets, needed, percent), "cluster-links")
+    small = (left.filter(F.col("n") <= SMALL).join(clusters, "id", "left")
+             .select("bucket", "id", "comp", "cluster"))
+    cross = (small.alias("x").join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id"))
+                                   & (F.col("x.comp") != F.col("y.comp")) & F.coalesce(F.col("x.cluster") != F.col("y.cluster"), F.lit(True)))
              .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    links = verify(materialize(compare(cross).select("a", "b"), "cross-pairs"))
+    links = inner.unionByName(verify(materialize(compare(cross).select("a", "b"), "cross-pairs")))
     up = stage1.select(F.col("node"), F.col("component"))
     lifted = (links.join(up.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
               .join(up.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
@@ -198,7 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select("node", F.coalesce("upper", "component").alias("component")))
     alone = stage2.join(stage1.select("node"), "node", "left_anti")
     lookup = final.unionByName(alone).select(F.col("node").alias("rep"), "component")
-    comp = F.coalesce("component", "rep", "id")
+    comp = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
     return member.join(lookup, "rep", "left").select(
         F.col("id").alias(id_col), "n_shingles", comp.alias("component_id"),
         F.coalesce(comp == F.col("id"), F.lit(True)).alias("kept"))
