@@ -78,13 +78,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir``).  Only when the setting
-    is absent -- local tests -- a private folder is created and registered.
+    is absent on a local master -- tests -- a private folder is created and
+    registered; on a cluster its absence is an error, since executors could
+    not see a folder of the driver's.
     """
     sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "") if sc is None else sc.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cinerank-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -105,15 +110,3 @@ def materialize(df, kind: str = "materialized"):
 def scratch_dir(spark: SparkSession, kind: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/cinerank/{kind}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (used only by tests that inspect files)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

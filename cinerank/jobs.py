@@ -26,10 +26,12 @@ from cinerank.sources import delimited, tables
 from cinerank.streaming import logs, recommender, sources
 
 MOVIE, RATING, TAG = "Movie", "Rating", "Tag"
+RATING_BY_USER = "RatingByUser"       # Rating partitioned by user, for per-user reads
 MOVIE_WITH_TAGS = "MovieWithTags"
 RATE_MORE, RATE_MORE_RECENT, AVERAGE, GENRES_TOP = (
     "RateMoreMovies", "RateMoreRecentMovies", "AverageMovies", "GenresTopMovies")
 MOVIE_RECS, USER_RECS, CONTENT_RECS = "MovieRecs", "UserRecs", "ContentMovieRecs"
+ITEM_FACTORS = "ItemFactors"           # mid, features: scores a user's pairs while streaming
 STREAM_RECS, RATING_LOG, STREAM_REJECTS = "StreamRecs", "RatingLog", "StreamRejects"
 
 
@@ -43,11 +45,18 @@ def loader(spark: SparkSession, movies_path: str, ratings_path: str, tags_path:
         tables.write_table(good, name, store)
         if not strict:
             tables.write_table(rejected, f"{name}Rejects", store)
+    write_user_ratings(spark, store)
     movies = tables.read_table(spark, MOVIE, store, schemas.MOVIE)
     tags = tables.read_table(spark, TAG, store, schemas.TAG)
     tables.upsert_documents(stats.search_documents(movies, tags), "mid", MOVIE_WITH_TAGS, store)
 
 
+def write_user_ratings(spark: SparkSession, store: TableStore) -> None:
+    """The Rating table once more, partitioned by user: what the streaming job reads."""
+    ratings = tables.read_table(spark, RATING, store, schemas.RATING).withColumn("uid_part", recommender.user_part())
+    tables.write_table(ratings.repartition("uid_part"), RATING_BY_USER, store, partition_by=["uid_part"])
+
+
 def statistics(spark: SparkSession, store: TableStore, genres=config.DEFAULT_GENRES,
                k: int = config.GENRE_TOP_K, match: str = "substring") -> None:
     movies = tables.read_table(spark, MOVIE, store, schemas.MOVIE)
@@ -73,6 +82,7 @@ def offline(spark: SparkSession, store: TableStore, min_score: float = config.SI
     and UserRecs (top ``user_k`` per user, nested)."""
     ratings = tables.read_table(spark, RATING, store, schemas.RATING)
     model = collab.train(ratings)
+    tables.write_table(collab.item_factors(model), ITEM_FACTORS, store)
     _write_similarity(collab.item_similarity(model, min_score, item_k), MOVIE_RECS, store, item_k)
     tables.write_table(collab.user_recs(model, user_k).transform(_nest_users), USER_RECS, store)
 
@@ -87,6 +97,8 @@ def content_job(spark: SparkSession, store: TableStore, k: int | None = None, ha
     length, ``None`` keeps every positive pair), or the hashed 50-bucket path.
     ``include_zero`` (bounded ``k`` only) completes short lists with
     zero-score movies."""
+    if include_zero and k is None:
+        raise ValueError("include_zero needs a list length k")
     movies = tables.read_table(spark, MOVIE, store, schemas.MOVIE)
     if hashed and k is None:
         ranked = similarity.dense_similarity(content.hashed_tfidf(movies), min_score=0.0)
@@ -122,24 +134,30 @@ def logfilter(spark: SparkSession, source_format: str, source_path: str | None,
 def streaming(spark: SparkSession, store: TableStore, source_format: str, source_path: str | None,
               checkpoint: str, source_options: dict | None = None, available_now: bool = False,
               threshold: float = config.SIM_SCORE_THRESHOLD, sim_table: str = MOVIE_RECS,
-              with_base_ratings: bool = True):
+              with_base_ratings: bool = True, factors_table: str | None = None):
     """Start the streaming recommender; returns the query handle (the caller
     awaits it).  The base Rating table, when present, is part of every user's
     history (a negative, content-derived ``event_id`` that orders below every
-    stream id; event time from its epoch seconds)."""
+    stream id; event time from its epoch seconds).
+
+    Candidates come from ``sim_table``; a table cut to k entries a list (``--k``)
+    offers only those.  With ``factors_table`` (``ItemFactors`` of the offline job)
+    similarities of a user's pairs are computed from the factors, so no pair is
+    missing; without it they are looked up in ``sim_table``, which must not be cut."""
+    vectors = tables.read_table(spark, factors_table, store).persist() if factors_table else None
     # static for the life of the query: read once for all micro-batches
     # (MEMORY_AND_DISK; a lost block is re-read from the table)
     sim = similarity_long(spark, store, sim_table).persist()
     base = None
     if with_base_ratings:
-        r = tables.read_table(spark, RATING, store, schemas.RATING)
+        r = tables.read_table(spark, RATING_BY_USER, store)
         base_id = -F.abs(F.xxhash64("uid", "mid", "score", "timestamp") % F.lit(1 << 62)) - 1
         base = r.select(base_id.alias("event_id"),
-                        F.timestamp_seconds("timestamp").alias("ts"), "uid", "mid", "score", "timestamp")
+                        F.timestamp_seconds("timestamp").alias("ts"), "uid", "mid", "score", "timestamp", "uid_part")
     src = sources.message_stream(spark, source_format, source_path, source_options)
     t = recommender.StreamTables(store.path(RATING_LOG), store.path(STREAM_RECS), store.path(STREAM_REJECTS))
     return recommender.start_recommender(spark, src, sim, t, checkpoint, base_log=base,
-                                         available_now=available_now, threshold=threshold)
+                                         available_now=available_now, threshold=threshold, vectors=vectors)
 
 
 def main(argv=None) -> None:
@@ -155,7 +173,8 @@ def main(argv=None) -> None:
     p.add_argument("--source-path")
     p.add_argument("--sink-format", default="kafka")
     p.add_argument("--sink-path")
-    p.add_argument("--checkpoint")
+    p.add_argument("--checkpoint", help="default: <root>/_checkpoints/<job>")
+    p.add_argument("--factors", default=ITEM_FACTORS, help="streaming: table of item vectors ('' = look pairs up)")
     p.add_argument("--option", action="append", default=[], help="source option key=value")
     p.add_argument("--sink-option", action="append", default=[], help="sink option key=value")
     p.add_argument("--k", type=int, default=None, help="similarity list length (offline/content)")
@@ -180,11 +199,11 @@ def main(argv=None) -> None:
         content_job(spark, store, k=a.k, hashed=a.hashed, include_zero=a.include_zero)
     elif a.job == "logfilter":
         logfilter(spark, a.source_format, a.source_path, a.sink_format, a.sink_path,
-                  a.checkpoint or config.scratch_dir(spark, "logfilter-ckpt"), opts, sink_opts).awaitTermination()
+                  a.checkpoint or store.path("_checkpoints/logfilter"), opts, sink_opts).awaitTermination()
     else:
         streaming(spark, store, a.source_format, a.source_path,
-                  a.checkpoint or config.scratch_dir(spark, "streaming-ckpt"), opts,
-                  threshold=a.score_threshold).awaitTermination()
+                  a.checkpoint or store.path("_checkpoints/streaming"), opts,
+                  threshold=a.score_threshold, factors_table=a.factors or None).awaitTermination()
 
 
 if __name__ == "__main__":

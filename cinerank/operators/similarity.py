@@ -53,9 +53,10 @@ def _normalised(vectors: DataFrame, id_col: str, vec_col: str, metric: str) -> D
 
 def round_half_away(x: np.ndarray, digits: int) -> np.ndarray:
     """NumPy twin of :func:`cinerank.functions.columns.round_score`."""
-    fixed = np.round(x, 12)
+    fixed = np.abs(np.round(x, 12))
     scale = 10.0 ** digits
-    return np.sign(fixed) * np.floor(np.abs(fixed) * scale + 0.5) / scale
+    # the product is rounded again: an exact half may land just below .5
+    return np.sign(x) * np.floor(np.round(fixed * scale, 12 - digits) + 0.5) / scale
 
 
 def _select(raw: np.ndarray, k: int | None, min_score: float | None, digits: int):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cinerank import config, schemas
 from cinerank.config import TableStore, materialize, scratch_dir
-from cinerank.functions.columns import round_score
+from cinerank.functions.columns import cosine, round_score
 from cinerank.operators import collab, content, realtime, similarity, stats
 from cinerank.sources import delimited, tables
 from cinerank.sources import testdata as td
@@ -158,11 +158,6 @@ def _ranked_matrix(spark, d) -> DataFrame:
                                        min_score=REALTIME_MATRIX_THRESHOLD)
 
 
-def _realtime_matrix(spark, d) -> DataFrame:
-    """:func:`_ranked_matrix`, computed once (read by two joins)."""
-    return materialize(_ranked_matrix(spark, d))
-
-
 def recent_ratings(spark, d):
     return realtime.recent_ratings(td.rating_events(spark, d), config.RECENT_RATINGS_K)
 
@@ -170,15 +165,17 @@ def recent_ratings(spark, d):
 def candidate_items(spark, d):
     ev = td.rating_events(spark, d)
     triggers = realtime.latest_per_user(ev).select("uid", "mid")
-    return realtime.candidate_items(triggers, _realtime_matrix(spark, d), ev, config.CANDIDATES_K)
+    return realtime.candidate_items(triggers, _ranked_matrix(spark, d), ev, config.CANDIDATES_K)
 
 
 def realtime_scores(spark, d):
     ev = td.rating_events(spark, d)
     triggers = realtime.latest_per_user(ev).select("uid", "mid")
-    # every user triggers here, so the history needs no restriction
-    return realtime.score_batch(triggers, ev, _realtime_matrix(spark, d), config.RECENT_RATINGS_K,
-                                config.CANDIDATES_K, REALTIME_SCORE_THRESHOLD, restrict=False)
+    # every user triggers here, so the history needs no restriction; the lists give
+    # the candidates only, pair similarities come from the vectors
+    return realtime.score_batch(triggers, ev, _ranked_matrix(spark, d), config.RECENT_RATINGS_K,
+                                config.CANDIDATES_K, REALTIME_SCORE_THRESHOLD, restrict=False,
+                                vectors=td.item_vectors(spark, d))
 
 
 # ---------------------------------------------------------------- streaming
@@ -226,7 +223,7 @@ def stream_recs(spark, d):
     src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "1"})
     t = recommender.StreamTables(store.path("RatingLog"), store.path("StreamRecs"), store.path("Rejects"))
     q = recommender.start_recommender(spark, src, sim, t, f"{root}/ckpt", available_now=True,
-                                      threshold=REALTIME_SCORE_THRESHOLD)
+                                      threshold=REALTIME_SCORE_THRESHOLD, vectors=td.item_vectors(spark, d).persist())
     q.awaitTermination()
     return tables.explode_recs(recommender.current_recs(spark, t.recs_path), "uid")
 
@@ -281,6 +278,121 @@ def rated_layout(spark, d):
     return r.groupBy("uid").agg(F.count(F.lit(1)).alias("n_ratings"), round_score(F.avg("score")).alias("avg_score"))
 
 
+# ---------------------------------------------------------------- sinks read back
+def search_docs_table(spark, d):
+    """Search documents written by the keyed upsert and read back (K3)."""
+    store = TableStore(scratch_dir(spark, "docs"))
+    docs = stats.search_documents(td.movies(spark, d), td.tags(spark, d))
+    tables.upsert_documents(docs, "mid", "MovieWithTags", store)
+    return tables.read_table(spark, "MovieWithTags", store, schemas.MOVIE_WITH_TAGS)
+
+
+def content_recs_table(spark, d):
+    """ContentMovieRecs nested, written, read back and exploded (K5)."""
+    store = TableStore(scratch_dir(spark, "recs"))
+    ranked = content.content_similarity(td.movies(spark, d), k=CONTENT_K)
+    tables.write_table(similarity.nest_similarity(ranked), "ContentMovieRecs", store)
+    nested = tables.read_table(spark, "ContentMovieRecs", store, schemas.MOVIE_RECS)
+    return nested.select(F.col("mid").alias("src"), F.posexplode("recs")).select(
+        F.col("src").alias("mid"), (F.col("pos") + 1).cast("int").alias("rank"),
+        F.col("col.mid").alias("rec_mid"), F.col("col.score").alias("score"))
+
+
+def content_recs_map(spark, d):
+    """Nested lists as maps item -> score, exploded again (A7)."""
+    nested = similarity.nest_similarity(content.content_similarity(td.movies(spark, d), k=CONTENT_K))
+    return tables.recs_as_map(nested, "mid").select("mid", F.explode("sims").alias("rec_mid", "score"))
+
+
+def average_and_tags_tables(spark, d):
+    """Tag and AverageMovies written, read back, and counted by movie (K1, K4)."""
+    store = TableStore(scratch_dir(spark, "avg"))
+    tables.write_table(td.tags(spark, d), "Tag", store)
+    tables.write_table(stats.average_scores(td.ratings(spark, d)), "AverageMovies", store)
+    tags = tables.read_table(spark, "Tag", store, schemas.TAG).groupBy("mid").agg(F.count(F.lit(1)).alias("n_tags"))
+    avg = tables.read_table(spark, "AverageMovies", store, schemas.AVERAGES)
+    return avg.join(tags, "mid", "left").select("mid", round_score("avg").alias("avg"), F.coalesce("n_tags", F.lit(0)).alias("n_tags"))
+
+
+def recent_lists_import(spark, d):
+    """Per-user lists as ``uid:<UID>`` / ``MID:SCORE`` texts, parsed back (S12)."""
+    recent = realtime.recent_ratings(td.rating_events(spark, d), config.RECENT_RATINGS_K)
+    item = F.concat_ws(":", F.col("mid").cast("string"), F.col("score").cast("string"))
+    lists = recent.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("rank", item.alias("item")))).alias("l")).select(
+        F.concat(F.lit("uid:"), F.col("uid").cast("string")).alias("key"), F.col("l.item").alias("items"))
+    return tables.parse_recent_lists(lists).withColumn("rank", F.col("rank").cast("int"))
+
+
+def log_filter_bytes(spark, d):
+    """The log filter over byte values, as a message bus delivers them (X18)."""
+    lines = td.log_lines(spark, d).withColumn("value", F.col("value").cast("binary"))
+    return logs.extract_messages(lines, keep=("event_id",))
+
+
+# ---------------------------------------------------------------- ALS, checked from its factors
+TOLERANCE = 2e-3         # factors are single precision
+
+
+def _factors(model, spark) -> tuple[DataFrame, DataFrame]:
+    """(uid, u) and (mid, v) with double factors, written once."""
+    users = materialize(model.userFactors.select(F.col("id").alias("uid"), F.col("features").cast("array<double>").alias("u")))
+    items = materialize(model.itemFactors.select(F.col("id").alias("mid"), F.col("features").cast("array<double>").alias("v")))
+    return users, items
+
+
+def als_normal_equations(spark, d):
+    """Per user, whether the last half-step solved its normal equations: the gradient
+    ``sum((u.v - r) v) + lambda n u`` vanishes against ``sum |r v|`` (M1, M2, P4)."""
+    r = td.ratings(spark, d)
+    users, items = _factors(collab.train(r), spark)
+    rows = collab.als_input(r).join(items, "mid").join(users, "uid")
+    err = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) - F.col("score")
+    parts = rows.withColumn("err", err).select("uid", "err", "score", F.posexplode(F.arrays_zip("u", "v")).alias("dim", "uv"))
+    grad = parts.groupBy("uid", "dim").agg(
+        (F.sum(F.col("err") * F.col("uv.v")) + collab.REG_PARAM * F.sum("uv.u")).alias("g"),
+        F.sum(F.abs(F.col("score") * F.col("uv.v"))).alias("size"))
+    return grad.groupBy("uid").agg((F.max(F.abs("g")) <= TOLERANCE * (1 + F.max("size"))).alias("ok"))
+
+
+def als_user_recs_checks(spark, d):
+    """Per user: how many items are listed, and whether ranks run from 1, scores never
+    rise and each is the product of the factors (M4, T8)."""
+    model = collab.train(td.ratings(spark, d))
+    users, items = _factors(model, spark)
+    recs = materialize(collab.user_recs(model, config.USER_RECS_K))
+    prod = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    right = F.abs(prod - F.col("score")) <= TOLERANCE * (1 + F.abs("score"))
+    listed = recs.join(users, "uid").join(items, "mid").groupBy("uid").agg(
+        F.count(F.lit(1)).alias("n"), F.every(right).alias("right"),
+        F.sort_array(F.collect_list(F.struct("rank", "score"))).alias("l"))        # at most k entries
+    falls = F.forall(F.sequence(F.lit(2), F.greatest(F.size("l"), F.lit(2))), lambda i: (i > F.size("l")) | (
+        F.element_at("l", i - 1)["score"] >= F.get("l", i - 1)["score"]))
+    first = (F.element_at("l", 1)["rank"] == 1) & (F.element_at("l", -1)["rank"] == F.size("l"))
+    return listed.select("uid", "n", (F.col("right") & falls & first).alias("ok"))
+
+
+def als_predict_checks(spark, d):
+    """Per user: predicted pairs, and whether each is the product of the factors (M3, J10)."""
+    r = td.ratings(spark, d)
+    model = collab.train(r)
+    users, items = _factors(model, spark)
+    prod = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    out = collab.predict(model, r).join(users, "uid").join(items, "mid")
+    return out.groupBy("uid").agg(F.count(F.lit(1)).alias("n"),
+                                  F.every(F.abs(prod - F.col("prediction")) <= TOLERANCE * (1 + F.abs("prediction"))).alias("ok"))
+
+
+def als_item_lists_checks(spark, d):
+    """Per item: whether its list re-scores from the factors, above the threshold (M8)."""
+    model = collab.train(td.ratings(spark, d))
+    items = _factors(model, spark)[1]
+    lists = materialize(collab.item_similarity(model, min_score=config.SIM_LIST_THRESHOLD, k=ALS_SIM_K))
+    two = lists.join(items, "mid").join(items.select(F.col("mid").alias("rec_mid"), F.col("v").alias("w")), "rec_mid")
+    right = (F.abs(cosine("v", "w") - F.col("score")) <= TOLERANCE) & (F.col("score") > config.SIM_LIST_THRESHOLD) & (F.col("mid") != F.col("rec_mid"))
+    per = two.groupBy("mid").agg(F.every(right).alias("right"), F.max("rank").alias("last"), F.count(F.lit(1)).alias("n"))
+    return items.join(per, "mid", "left").select("mid", F.coalesce(F.col("right") & (F.col("last") == F.col("n")), F.lit(True)).alias("ok"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_movies": load_movies,
     "load_ratings": load_ratings,
@@ -314,4 +426,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_roundtrip": table_roundtrip,
     "rating_republish": rating_republish,
     "rated_layout": rated_layout,
+    "search_docs_table": search_docs_table,
+    "content_recs_table": content_recs_table,
+    "content_recs_map": content_recs_map,
+    "average_and_tags_tables": average_and_tags_tables,
+    "recent_lists_import": recent_lists_import,
+    "log_filter_bytes": log_filter_bytes,
+    "als_normal_equations": als_normal_equations,
+    "als_user_recs_checks": als_user_recs_checks,
+    "als_predict_checks": als_predict_checks,
+    "als_item_lists_checks": als_item_lists_checks,
 }

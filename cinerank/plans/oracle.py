@@ -212,7 +212,7 @@ WHERE rank <= 10""")
 def statements() -> dict[str, str]:
     movie_cols = "mid, name, descri, timelong, shoot, issue, language, genres, director, actors"
     month = "CAST(strftime(to_timestamp(\"timestamp\") AT TIME ZONE 'UTC', '%Y%m') AS INT)"
-    return {
+    out = {
         "load_movies": with_views(["movies"], "x AS (SELECT 1)\nSELECT * FROM movies"),
         "load_ratings": with_views(["ratings"], "x AS (SELECT 1)\nSELECT * FROM ratings"),
         "load_tags": with_views(["tags"], "x AS (SELECT 1)\nSELECT * FROM tags"),
@@ -263,3 +263,20 @@ SELECT 'logProcessor' AS key, message AS value FROM messages WHERE message <> ''
         "rated_layout": with_views(["ratings"], """x AS (SELECT 1)
 SELECT uid, count(*) AS n_ratings, CAST(round(CAST(avg(score) AS DECIMAL(30,12)), 6) AS DOUBLE) AS avg_score FROM ratings GROUP BY uid"""),
     }
+    # written or rendered forms give the rows of the plain query
+    out["search_docs_table"] = out["movie_search_docs"]
+    out["content_recs_table"] = out["content_similarity"]
+    out["content_recs_map"] = f"SELECT mid, rec_mid, score FROM ({out['content_similarity']})"
+    out["recent_lists_import"] = out["recent_ratings"]
+    out["log_filter_bytes"] = out["log_filter"]
+    out["average_and_tags_tables"] = with_views(["ratings", "tags"], """
+n AS (SELECT mid, count(*) AS n_tags FROM tags GROUP BY mid)
+SELECT mid, CAST(round(CAST(avg AS DECIMAL(30,12)), 6) AS DOUBLE) AS avg, coalesce(n_tags, 0) AS n_tags
+FROM (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid) LEFT JOIN n USING (mid)""")
+    # ALS: what must hold of any correct model, for the users and items of the ratings
+    out["als_normal_equations"] = with_views(["ratings"], "x AS (SELECT 1)\nSELECT DISTINCT uid, true AS ok FROM ratings")
+    out["als_user_recs_checks"] = with_views(["ratings"], """x AS (SELECT 1)
+SELECT DISTINCT uid, least(20, (SELECT count(DISTINCT mid) FROM ratings)) AS n, true AS ok FROM ratings""")
+    out["als_predict_checks"] = with_views(["ratings"], "x AS (SELECT 1)\nSELECT uid, count(*) AS n, true AS ok FROM ratings GROUP BY uid")
+    out["als_item_lists_checks"] = with_views(["ratings"], "x AS (SELECT 1)\nSELECT DISTINCT mid, true AS ok FROM ratings")
+    return out

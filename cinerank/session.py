@@ -6,6 +6,8 @@ here fixes a master unless asked.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -27,6 +29,8 @@ def build_session(master: str | None = None, app: str = "cinerank",
     conf = dict(DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local["):      # one machine: a private folder serves
+        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="cinerank-ckpt-")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

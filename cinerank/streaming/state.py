@@ -58,6 +58,6 @@ def recent_ratings_state(ratings: DataFrame, k: int = config.RECENT_RATINGS_K) -
 
 def current_lists(spark, path: str) -> DataFrame:
     """Latest list per user from batch-partitioned output."""
-    out = spark.read.parquet(path)
+    out = spark.read.schema(f"{OUTPUT_SCHEMA}, batch_id long").parquet(path)
     last = out.groupBy("uid").agg(F.max("batch_id").alias("batch_id"))
     return out.join(last, ["uid", "batch_id"]).select("uid", "rank", "mid", "score")

@@ -20,3 +20,22 @@ def test_als_outputs_have_expected_properties(spark):
     assert all(r["mid"] != r["rec_mid"] and r["score"] > 0.6 for r in sims)
     pred = collab.predict(model, ratings)
     assert pred.count() == ratings.count()
+
+
+def test_factors_do_not_depend_on_cores(spark):
+    """The same factors with 2 and with 8 cores, each in a session of its own."""
+    import subprocess
+    import sys
+    code = (
+        "import sys; sys.path.insert(0, {root!r})\n"
+        "from cinerank.session import build_session\n"
+        "s = build_session('local[' + sys.argv[1] + ']', shuffle_partitions=8)\n"
+        "from cinerank.operators import collab\n"
+        "from cinerank.sources import testdata as td\n"
+        "m = collab.train(td.ratings(s, '/root/testdata/sf0.001'), max_iter=3)\n"
+        "rows = sorted((r.uid, r.rank, r.mid, round(r.score, 3)) for r in collab.user_recs(m, 5).collect())\n"
+        "import hashlib; print('DIGEST', len(rows), hashlib.sha256(repr(rows).encode()).hexdigest())\n"
+    ).format(root=__file__.rsplit("/tests/", 1)[0])
+    out = [subprocess.run([sys.executable, "-c", code, n], capture_output=True, text=True, timeout=600).stdout.split("DIGEST")[1]
+           for n in ("2", "8")]
+    assert out[0] == out[1]

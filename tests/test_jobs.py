@@ -58,6 +58,7 @@ def test_batch_jobs_end_to_end(spark, tmp_root):
 def test_streaming_job_with_base_ratings(spark, tmp_root):
     store = TableStore(f"{tmp_root}/tables")
     tables.write_table(spark.createDataFrame([(7, 10, 5.0, 100)], schemas.RATING), "Rating", store)
+    jobs.write_user_ratings(spark, store)
     sim = spark.createDataFrame([(11, 1, 10, 0.9), (11, 2, 12, 0.8), (10, 1, 11, 0.9), (12, 1, 11, 0.8)],
                                 schemas.RANKED_SIMILARITY)
     tables.write_table(sim, "MovieRecs", store)

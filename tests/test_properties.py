@@ -45,7 +45,7 @@ def realtime_parts(spark):
     from cinerank.sources import testdata as td
     ev = td.rating_events(spark, D)
     trig = realtime.latest_per_user(ev).select("uid", "mid")
-    sim = catalog._realtime_matrix(spark, D)
+    sim = catalog._ranked_matrix(spark, D)
     return ev, trig, sim, realtime
 
 

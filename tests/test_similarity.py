@@ -140,3 +140,15 @@ def test_sparse_blocked_equals_brute_force(spark, k, include_self):
         for ns, b in (sorted(cand) if k is None else sorted(cand)[:k]):
             exp[(a, b)] = -ns
     assert got == exp
+
+
+def test_rounding_twins_agree_on_exact_halves(spark):
+    from pyspark.sql import functions as F
+
+    from cinerank.functions.columns import round_score
+    n = 500_000
+    halves = (np.arange(n) * 10 + 5) / 1e7
+    df = spark.range(n).select("id", round_score((F.col("id") * 10 + 5).cast("double") / 1e7).alias("s"))
+    got = df.orderBy("id").toPandas()["s"].to_numpy()
+    assert (got == similarity.round_half_away(halves, 6)).all()
+    assert (similarity.round_half_away(-halves[:1000], 6) == -similarity.round_half_away(halves[:1000], 6)).all()

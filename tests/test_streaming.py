@@ -99,7 +99,7 @@ def test_stream_result_independent_of_arrival_order(spark, tmp_root):
     # newest slice first: every file arrives after the events it precedes in time
     for i, cond in enumerate([F.col("ts") >= cut2, (F.col("ts") >= cut1) & (F.col("ts") < cut2), F.col("ts") < cut1]):
         msgs.where(cond).coalesce(1).write.parquet(f"{tmp_root}/in/s{i}")
-    sim = catalog._realtime_matrix(spark, d)
+    sim = catalog._ranked_matrix(spark, d)
     t = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
     src = sources.message_stream(spark, "parquet", f"{tmp_root}/in/*/*.parquet", {"maxFilesPerTrigger": "1"})
     q = recommender.start_recommender(spark, src, sim, t, f"{tmp_root}/ckpt", available_now=True,
@@ -118,6 +118,55 @@ def test_bus_records_normalised(spark):
         [(0, 5, dt.datetime(2024, 1, 1), bytearray(b"7|10|4.0|1")), (1, 5, dt.datetime(2024, 1, 2), bytearray(b"x"))],
         "partition int, offset long, timestamp timestamp, value binary")
     rows = sorted(map(tuple, sources.from_bus_records(recs).collect()))
-    assert [(r[0], r[2]) for r in rows] == [(5, "7|10|4.0|1"), ((1 << 40) + 5, "x")]
+    assert {r[2] for r in rows} == {"7|10|4.0|1", "x"} and len({r[0] for r in rows}) == 2 and all(r[0] >= 0 for r in rows)
+    again = recs.selectExpr("'t2' AS topic", "*")          # the same positions of another topic
+    assert not {r[0] for r in rows} & {r.event_id for r in sources.from_bus_records(again).collect()}
     good, rejected = recommender.parse_stream(sources.from_bus_records(recs))
     assert [tuple(r)[2:] for r in good.collect()] == [(7, 10, 4.0, 1)] and rejected.count() == 1
+
+
+def _start(spark, root, tables, sim, checkpoint):
+    from cinerank.streaming import sources
+    src = sources.message_stream(spark, "parquet", f"{root}/in/*/*.parquet")
+    q = recommender.start_recommender(spark, src, sim, tables, checkpoint, available_now=True, threshold=0.5)
+    q.awaitTermination()
+
+
+def test_second_checkpoint_loses_nothing(spark, tmp_root):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    sim = spark.createDataFrame([(10, 11, 0.9), (11, 10, 0.9), (12, 11, 0.9), (11, 12, 0.9)], "mid int, rec_mid int, score double")
+    tables = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
+    batch_df(spark, [(1, t0, "7|10|4.0|1"), (2, t0, "8|12|4.0|1")]).write.parquet(f"{tmp_root}/in/a")
+    _start(spark, tmp_root, tables, sim, f"{tmp_root}/ckpt1")
+    batch_df(spark, [(3, t0, "7|11|4.0|2")]).write.parquet(f"{tmp_root}/in/b")
+    _start(spark, tmp_root, tables, sim, f"{tmp_root}/ckpt2")     # reads both files as batch 0 of a new run
+    log = spark.read.parquet(tables.log_path)
+    assert sorted((r.run_no, r.event_id) for r in log.collect()) == [(0, 1), (0, 2), (1, 1), (1, 2), (1, 3)]
+    cur = {r.uid: [x.mid for x in r.recs] for r in recommender.current_recs(spark, tables.recs_path).collect()}
+    assert cur == {7: [12], 8: [11]}          # 7 rated 10 in the first run too, so only 12 is new to it
+    _start(spark, tmp_root, tables, sim, f"{tmp_root}/ckpt1")     # back to the first run: it keeps its number
+    assert {r.run_no for r in spark.read.parquet(tables.log_path).collect()} == {0, 1}
+
+
+def test_all_rejected_stream_has_no_recs(spark, tmp_root):
+    import datetime as dt
+    sim = spark.createDataFrame([(10, 11, 0.9)], "mid int, rec_mid int, score double")
+    tables = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
+    batch_df(spark, [(1, dt.datetime(2024, 1, 1), "bad")]).write.parquet(f"{tmp_root}/in/a")
+    _start(spark, tmp_root, tables, sim, f"{tmp_root}/ckpt")
+    assert recommender.current_recs(spark, tables.recs_path).count() == 0
+    assert spark.read.parquet(tables.rejects_path).count() == 1
+
+
+def test_history_scan_reads_only_the_users_parts(spark, tmp_root):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    tables = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
+    sim = spark.createDataFrame([(10, 11, 0.9)], "mid int, rec_mid int, score double")
+    rows = [(i, dt.datetime(2024, 1, 1), f"{i}|10|4.0|{i}") for i in range(200)]
+    recommender.make_batch_handler(sim, tables)(batch_df(spark, rows), 0)
+    scan = recommender._read_log(spark, tables.log_path).where(F.col("uid_part").isin([3]))
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "uid_part" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert 0 < scan.count() < 200
