@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinerank import config
-from cinerank.config import materialize
 from cinerank.operators.similarity import dense_pairs, expand_groups, fill_with_zeros, sparse_pairs
 
 
@@ -72,8 +71,6 @@ def content_similarity(movies: DataFrame, k: int = 10, include_zero: bool = Fals
               .groupBy("sig", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("n_movies").alias("n_movies")))
     doc_freq = sig_tf.groupBy("term").agg(F.sum("n_movies").alias("df"))
     weights = sig_tf.join(doc_freq, "term").select("sig", "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
-    # one row per (signature, term): read by both sides of the term self-join
-    weights = materialize(weights)
     gid = sig.groupBy("sig").agg(F.min("mid").alias("gid"))
     members = sig.join(gid, "sig").select("mid", "gid")
     by_gid = weights.join(gid, "sig").select("gid", "term", "w")

@@ -34,6 +34,7 @@ from cinerank.functions.columns import l1_norm, l2_norm, scale_array
 from cinerank.operators.topk import by_score, nest_ranked, rank_within
 
 PAIR_SCHEMA = "mid int, rec_mid int, score double"
+LEAST_BLOCK = 32      # smaller blocks cost more to start than to multiply
 HEAVY_ROW_FACTOR = 4  # rows with more candidates than this many times k are partitioned first
 
 
@@ -128,10 +129,20 @@ def _block_kernel(k: int | None, min_score: float | None, digits: int, symmetric
                 out.append(pd.DataFrame({"mid": src_ids[s0 + r].astype("int32"),
                                          "rec_mid": dst_ids[c].astype("int32"),
                                          "score": sc.astype("float64")}))
-        return pd.concat(out, ignore_index=True)
+        full = [o for o in out if len(o)]
+        return pd.concat(full, ignore_index=True) if full else out[0]
     return kernel
 
 
+def block_count(rows: int, block_size: int, slots: int) -> int:
+    """Blocks to deal ``rows`` into: enough that a block holds about ``block_size`` rows,
+    and enough that the block pairs B (B + 1) / 2 fill every task slot.  The number
+    decides how the work is split, never its result."""
+    by_size = math.ceil(rows / block_size)
+    by_slots = math.ceil((math.sqrt(8 * slots + 1) - 1) / 2)
+    return max(1, by_size, min(by_slots, math.ceil(rows / LEAST_BLOCK)))
+
+
 def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features", metric: str = "cosine",
                 min_score: float | None = None, k: int | None = None, block_size: int = 4096,
                 n_blocks: int | None = None, digits: int = SCORE_DIGITS, include_self: bool = False) -> DataFrame:
@@ -145,8 +156,9 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
     norm = materialize(_normalised(vectors, id_col, vec_col, metric), "vectors")
     symmetric = metric == "cosine"
     spark = vectors.sparkSession
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
     if n_blocks is None:
-        n_blocks = max(1, math.ceil(norm.count() / block_size))
+        n_blocks = block_count(norm.count(), block_size, parallelism(spark))
     b = n_blocks
     blk = F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")
     tagged = norm.withColumn("blk", blk)
@@ -158,7 +170,6 @@ def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "feature
     # An explicit partition count keeps one block pair per task slot instead of
     # letting the runtime merge the (few, large) groups into fewer tasks.
     n_pairs = b * (b + 1) // 2
-    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
     replicated = replicated.repartition(min(n_pairs, slots), "lo", "hi")
     kernel = _block_kernel(k, min_score, digits, symmetric, include_self)
     return replicated.groupBy("lo", "hi").applyInPandas(kernel, PAIR_SCHEMA)
@@ -231,7 +242,8 @@ def _sparse_kernel(k: int | None, min_score: float | None, digits: int, include_
                 r, c, sc = _select(scores, k, min_score, digits)
                 out.append(pd.DataFrame({"mid": src_ids[s0 + r].astype("int32"),
                                          "rec_mid": dst_ids[c].astype("int32"), "score": sc.astype("float64")}))
-        return pd.concat(out, ignore_index=True)
+        full = [o for o in out if len(o)]
+        return pd.concat(full, ignore_index=True) if full else out[0]
     return kernel
 
 
@@ -253,14 +265,15 @@ def sparse_pairs(weights: DataFrame, id_col: str = "mid", term_col: str = "term"
     w = (weights.select(F.col(id_col).cast("int").alias("id"), F.col(term_col).cast("string").alias("term"),
                         F.col(w_col).cast("double").alias("w"))
          .groupBy("id", "term").agg(F.sum("w").alias("w")))
-    norms = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    docs = (w.join(norms.where(F.col("norm") > 0), "id")
-            .groupBy("id").agg(F.collect_list("term").alias("terms"),
-                                F.collect_list(F.col("w") / F.col("norm")).alias("ws")))
+    # one row per item; its norm comes from the collected weights, without a join
+    lists = w.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("tw"))
+    norm = F.sqrt(F.aggregate("tw", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
+    docs = (lists.withColumn("norm", norm).where(F.col("norm") > 0)
+            .select("id", F.col("tw.term").alias("terms"), F.transform("tw", lambda x: x["w"] / F.col("norm")).alias("ws")))
     docs = materialize(docs, "sparse-vectors")
     spark = weights.sparkSession
     if n_blocks is None:
-        n_blocks = max(1, math.ceil(docs.count() / block_size))
+        n_blocks = block_count(docs.count(), block_size, parallelism(spark))
     b = n_blocks
     partner = F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("other")
     replicated = docs.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")).select("*", partner).select(

@@ -152,3 +152,8 @@ def test_rounding_twins_agree_on_exact_halves(spark):
     got = df.orderBy("id").toPandas()["s"].to_numpy()
     assert (got == similarity.round_half_away(halves, 6)).all()
     assert (similarity.round_half_away(-halves[:1000], 6) == -similarity.round_half_away(halves[:1000], 6)).all()
+
+
+def test_blocks_fill_the_task_slots():
+    assert similarity.block_count(500, 4096, 8) * (similarity.block_count(500, 4096, 8) + 1) // 2 >= 8
+    assert similarity.block_count(100_000, 4096, 8) == 25 and similarity.block_count(0, 4096, 8) == 1
