@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import fold, text_of
+from cinerank.llm.common import FILTER_BITS, fold, key_bitmap, maybe_in, text_of
 from cinerank.llm.sampling import bounded_sample
 
 FOLDS, HELD_OUT = 3, 1
@@ -169,7 +169,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(usable & F.col("label").isNotNull())
              .groupBy("id").agg((F.max("label") > 0).alias("toxic")))
     text = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).filter(usable)
-    rows = text.join(known, "id")
+    # the bitmap leaves texts without a label where they are; the join then decides exactly
+    likely = maybe_in(text, F.xxhash64("id"), key_bitmap(known, F.xxhash64("id"), FILTER_BITS), FILTER_BITS)
+    rows = likely.join(known, "id")
     counts, (n_clean, n_toxic) = count_ngrams(rows.select("text", "toxic"))
     ratios = log_count_ratios(counts[1], counts[0])
     used = reliable(counts[1], counts[0], n_toxic, n_clean)
