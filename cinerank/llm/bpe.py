@@ -29,11 +29,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from cinerank.llm.common import text_of
+from cinerank.llm.common import bounded_batches, text_of
 
 LETTER, DIGIT, SYMBOL, SPACE, WIDE = range(5)
 BORDER, INSIDE = 1, 2
-TABLE_SIZE = 400_000     # chunks, and fragments, a task remembers
+TABLE_SIZE = 150_000     # chunks, and fragments, a task remembers
 SLICE = 256              # documents encoded and handed on at a time
 ENCODED = "n_tokens long, ids_le binary, decoded string"
 
@@ -184,6 +184,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text
     * ``tokenizer_path`` names the file on every worker (part of an installed library).
     * Repeated rows are encoded one by one; an empty table gives an empty result; other
       columns are ignored."""
+    bounded_batches(docs.sparkSession)
     own = docs.select(*keep, text_of(text_col).alias("text__"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
 

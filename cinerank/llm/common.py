@@ -25,6 +25,17 @@ def text_of(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+ARROW_ROWS = 1_000       # rows that reach a Python worker at a time
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ARROW_ROWS: a row here holds a whole text or
+    set, so the default of 10,000 rows would fill a Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def fold(id_col: str, k: int) -> Column:
     """crc32 of the id written as text, modulo k."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(k)

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinerank.config import materialize
-from cinerank.llm.common import FILTER_BITS, key_bitmap, maybe_in, text_of, without
+from cinerank.llm.common import FILTER_BITS, bounded_batches, key_bitmap, maybe_in, text_of, without
 from cinerank.llm.components import connected_components
 
 BANDS, ROWS = 40, 5
@@ -234,6 +234,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     * Rows that share an id are one document: their links count together.
     * Rows with a null id take no part: component_id null, kept true.
     * Empty table: empty result; other columns are ignored."""
+    bounded_batches(docs.sparkSession)
     text = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     sketch = materialize(text.mapInPandas(_sketch(width), "id long, n_shingles long, set_key binary, sig binary"), "sketches")
     real = sketch.filter("n_shingles > 0 and id is not null")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import fold, text_of
+from cinerank.llm.common import bounded_batches, fold, text_of
 from cinerank.llm.sampling import bounded_sample
 
 FOLDS, HELD_OUT = 5, 0
@@ -161,6 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     label row marks 1 and none marks 0; unlabelled are the documents of those folds,
     whatever their label.  At most ``sample`` rows of each are used, chosen by id hash;
     they meet in one task, which returns the weights."""
+    bounded_batches(docs.sparkSession)
     usable = fold("id", FOLDS) != HELD_OUT
     trusted = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(usable & F.col("label").isNotNull())
                .groupBy("id").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo = 1 and hi = 1").select("id"))

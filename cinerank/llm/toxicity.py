@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import FILTER_BITS, fold, key_bitmap, maybe_in, text_of
+from cinerank.llm.common import FILTER_BITS, bounded_batches, fold, key_bitmap, maybe_in, text_of
 from cinerank.llm.sampling import bounded_sample
 
 FOLDS, HELD_OUT = 3, 1
@@ -165,6 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Train on the folds that are not held out: log-count ratios on every labelled row,
     coefficients on at most ``sample`` rows of each class, chosen by id hash, in one task.
     A document with contradicting labels counts as toxic."""
+    bounded_batches(docs.sparkSession)
     usable = fold("id", FOLDS) != HELD_OUT
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(usable & F.col("label").isNotNull())
              .groupBy("id").agg((F.max("label") > 0).alias("toxic")))
