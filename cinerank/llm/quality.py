@@ -13,6 +13,7 @@ small, is the prior.  Labelled negatives are never used.
 
 from __future__ import annotations
 
+import hashlib
 import operator
 from collections.abc import Iterator
 
@@ -149,6 +150,8 @@ def _fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if not parts:
         return
     rows = pd.concat(parts, ignore_index=True)
+    # an order of their own, so that reruns split and sum alike however rows arrive
+    rows = rows.assign(at=[hashlib.blake2b(x, digest_size=8).digest() for x in rows["x"]]).sort_values(["at", "positive"])
     x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, N_FEATURES)
     is_p = rows["positive"].to_numpy(bool)
     m = train(x[is_p], x[~is_p])
