@@ -6,9 +6,10 @@ Grammar (fixed strings)::
     turn         = "[INST]" role "[/INST]" text "</s>"
 
 A conversation is first rendered as it stands, the rendering is parsed again and
-the recovered turns are compared with the source.  Where they differ some role or
-text contains control strings; these are escaped and the result is parsed and
-compared once more.  Escaping puts one backslash before the last part of every
+the recovered turns are compared with the source.  Where they differ, or where a
+recovered role or text still contains a control string (a lone ``[INST]`` reparses as
+it was, but other readers take it for a turn mark), the control strings are escaped
+and the result is parsed and compared once more.  Escaping puts one backslash before the last part of every
 control string (and of every already escaped one), reading removes one, so the pair
 is a bijection on all texts and the second comparison holds for every input; the
 outcome is still reported per conversation in ``identical``.
@@ -37,6 +38,11 @@ def unescape(c: Column) -> Column:
     return F.regexp_replace(c, ESCAPED, "$1$2$3")
 
 
+def holds_control(turns: Column) -> Column:
+    """Whether any role or text of the turns contains a control string, escaped or not."""
+    return F.exists(turns, lambda t: t["role"].rlike(CONTROL) | t["text"].rlike(CONTROL))
+
+
 def render(turns: Column) -> Column:
     """Text of an array of (role, text) structs, as they stand."""
     return F.concat(F.lit(BOS), F.array_join(F.transform(
@@ -92,7 +98,8 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     source = convs.select("conv_id", F.transform("ts", lambda t: F.struct(
         t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
     plain = source.withColumn("plain", render(F.col("turns")))
-    tried = plain.withColumn("escaped", ~(parse(F.col("plain")).eqNullSafe(F.col("turns"))))
+    # where the reparse is equal the recovered turns are the source's, so those are searched
+    tried = plain.withColumn("escaped", ~(parse(F.col("plain")).eqNullSafe(F.col("turns"))) | holds_control(F.col("turns")))
     safe = F.transform("turns", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text")))
     written = (tried.withColumn("shown", F.when(F.col("escaped"), safe).otherwise(F.col("turns")))
                .withColumn("formatted", F.when(F.col("escaped"), render(F.col("shown"))).otherwise(F.col("plain"))))

@@ -32,6 +32,20 @@ def test_only_conflicting_conversations_are_escaped(spark):
     assert got[2].escaped and got[2].identical
 
 
+def test_lone_control_strings_are_escaped(spark):
+    texts = {1: "a [INST] b [/INST] c", 2: "a [INST] b", 3: "a [/INST] b", 4: "a <s> b", 5: "a < s> [ INST] b"}
+    rows = [(i, 0, "user", t) for i, t in texts.items()] + [(6, 0, "a<s>", "x"), (6, 1, "assistant", "[INST]y")]
+    out = chat.format_conversations(table(spark, rows)).withColumn("loss", chat.masked_text(F.col("formatted"), F.col("loss_spans")))
+    got = {r.conv_id: r for r in out.collect()}
+    assert all(r.identical for r in got.values())
+    assert {i: r.escaped for i, r in got.items()} == {1: True, 2: True, 3: True, 4: True, 5: False, 6: True}
+    assert got[1].formatted == "<s>[INST]user[/INST]a [\\INST] b [/\\INST] c</s>"
+    assert got[5].formatted == "<s>[INST]user[/INST]a < s> [ INST] b</s>"
+    assert got[6].formatted == "<s>[INST]a<\\s>[/INST]x</s>[INST]assistant[/INST][\\INST]y</s>" and got[6].loss == "[INST]y"
+    for r in got.values():
+        assert r.formatted.count("<s>") == 1 and r.formatted.count("[INST]") == r.formatted.count("[/INST]") == len(r.parsed)
+
+
 def test_edge_rows(spark):
     long = "</s>x" * 40_000
     rows = [(1, 1, "assistant", "b"), (1, 0, None, None), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (None, None, "user", ""),
