@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cinerank import config, schemas
 from cinerank.config import TableStore
-from cinerank.operators import collab, content, similarity, stats
+from cinerank.operators import collab, content, realtime, similarity, stats
 from cinerank.operators.topk import by_score, nest_ranked, rank_within
 from cinerank.sources import delimited, tables
 from cinerank.streaming import logs, recommender, sources
@@ -67,13 +67,34 @@ def statistics(spark: SparkSession, store: TableStore, genres=config.DEFAULT_GEN
     tables.write_table(stats.genre_top_nested(movies, ratings, genres, k, match), GENRES_TOP, store)
 
 
-def _write_similarity(ranked: DataFrame, name: str, store: TableStore, k: int | None) -> None:
+LIST_K, LIST_MIN_SCORE = "list_k", "list_min_score"
+
+
+def _write_similarity(ranked: DataFrame, name: str, store: TableStore, k: int | None,
+                      min_score: float | None = None) -> None:
     """Similarity lists are stored long and ranked (``mid, rank, rec_mid,
     score``), which any list length fits; the nested one-row-per-movie form
-    is written as ``<name>Nested`` only when lists are bounded by ``k``."""
-    tables.write_table(ranked.select("mid", F.col("rank").cast("int"), "rec_mid", "score"), name, store)
+    is written as ``<name>Nested`` only when lists are bounded by ``k``.
+    Every row also says how its table was cut: ``list_k`` (null: not at all)
+    and, for lists made from ItemFactors, their threshold ``list_min_score``."""
+    if k is not None and k < 1:
+        raise ValueError("a list length k must be at least 1")
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.select("*", F.lit(k).cast("int").alias(LIST_K), F.lit(min_score).cast("double").alias(LIST_MIN_SCORE))
+    tables.write_table(marked(ranked.select("mid", F.col("rank").cast("int"), "rec_mid", "score")), name, store)
     if k is not None:
-        tables.write_table(similarity.nest_similarity(ranked), f"{name}Nested", store)
+        tables.write_table(marked(similarity.nest_similarity(ranked)), f"{name}Nested", store)
+
+
+def list_cut(spark: SparkSession, store: TableStore, name: str) -> tuple[int, float | None] | None:
+    """(k, threshold) of a similarity table cut to k entries a list; None where it is
+    whole or, written elsewhere, does not say."""
+    df = tables.read_table(spark, name, store)
+    row = df.select(LIST_K, LIST_MIN_SCORE).first() if LIST_K in df.columns else None
+    if row is None or row[0] is None:
+        return None
+    return int(row[0]), None if row[1] is None else float(row[1])
 
 
 def offline(spark: SparkSession, store: TableStore, min_score: float = config.SIM_LIST_THRESHOLD,
@@ -83,7 +104,7 @@ def offline(spark: SparkSession, store: TableStore, min_score: float = config.SI
     ratings = tables.read_table(spark, RATING, store, schemas.RATING)
     model = collab.train(ratings)
     tables.write_table(collab.item_factors(model), ITEM_FACTORS, store)
-    _write_similarity(collab.item_similarity(model, min_score, item_k), MOVIE_RECS, store, item_k)
+    _write_similarity(collab.item_similarity(model, min_score, item_k), MOVIE_RECS, store, item_k, min_score)
     tables.write_table(collab.user_recs(model, user_k).transform(_nest_users), USER_RECS, store)
 
 
@@ -140,14 +161,23 @@ def streaming(spark: SparkSession, store: TableStore, source_format: str, source
     history (a negative, content-derived ``event_id`` that orders below every
     stream id; event time from its epoch seconds).
 
-    Candidates come from ``sim_table``; a table cut to k entries a list (``--k``)
-    offers only those.  With ``factors_table`` (``ItemFactors`` of the offline job)
-    similarities of a user's pairs are computed from the factors, so no pair is
-    missing; without it they are looked up in ``sim_table``, which must not be cut."""
+    Candidates come from ``sim_table``.  With ``factors_table`` (``ItemFactors`` of the
+    offline job) similarities of a user's pairs are computed from the factors, so no pair
+    is missing; without it they are looked up in ``sim_table``.  Where the offline job cut
+    the table to k entries a list (``--k``), the factors are always used, also to complete
+    the candidates of users whose list ran out; a cut table of other lists is an error."""
+    cut = list_cut(spark, store, sim_table)
+    if cut is not None:
+        if cut[1] is None:
+            raise ValueError(f"{sim_table} is cut to {cut[0]} entries a list and was not made from {ITEM_FACTORS}: "
+                             "write it without a list length")
+        factors_table = factors_table or ITEM_FACTORS
     vectors = tables.read_table(spark, factors_table, store).persist() if factors_table else None
     # static for the life of the query: read once for all micro-batches
     # (MEMORY_AND_DISK; a lost block is re-read from the table)
     sim = similarity_long(spark, store, sim_table).persist()
+    if cut is not None:
+        cut = realtime.ListCut(*cut, vectors, similarity.item_blocks(vectors).persist())
     base = None
     if with_base_ratings:
         r = tables.read_table(spark, RATING_BY_USER, store)
@@ -157,7 +187,7 @@ def streaming(spark: SparkSession, store: TableStore, source_format: str, source
     src = sources.message_stream(spark, source_format, source_path, source_options)
     t = recommender.StreamTables(store.path(RATING_LOG), store.path(STREAM_RECS), store.path(STREAM_REJECTS))
     return recommender.start_recommender(spark, src, sim, t, checkpoint, base_log=base,
-                                         available_now=available_now, threshold=threshold, vectors=vectors)
+                                         available_now=available_now, threshold=threshold, vectors=vectors, cut=cut)
 
 
 def main(argv=None) -> None:
@@ -174,7 +204,7 @@ def main(argv=None) -> None:
     p.add_argument("--sink-format", default="kafka")
     p.add_argument("--sink-path")
     p.add_argument("--checkpoint", help="default: <root>/_checkpoints/<job>")
-    p.add_argument("--factors", default=ITEM_FACTORS, help="streaming: table of item vectors ('' = look pairs up)")
+    p.add_argument("--factors", default=ITEM_FACTORS, help="streaming: table of item vectors ('' = look pairs up, unless lists are cut)")
     p.add_argument("--option", action="append", default=[], help="source option key=value")
     p.add_argument("--sink-option", action="append", default=[], help="sink option key=value")
     p.add_argument("--k", type=int, default=None, help="similarity list length (offline/content)")

@@ -183,6 +183,53 @@ def dense_similarity(vectors: DataFrame, id_col: str = "mid", vec_col: str = "fe
     return rank_within(pairs, ["mid"], by_score("score", "rec_mid"), k).select("mid", "rank", "rec_mid", "score")
 
 
+ITEM_BLOCK = 512      # items of one block of :func:`item_blocks`
+QUERY_BLOCKS = 16     # blocks that the asking items of :func:`lists_of` are dealt into
+
+
+def item_blocks(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features") -> DataFrame:
+    """``ids, vecs``: normalised vectors in blocks of about ITEM_BLOCK items, one row each."""
+    norm = _normalised(vectors, id_col, vec_col, "cosine")
+    n = max(1, math.ceil(norm.count() / ITEM_BLOCK))
+    return norm.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).alias("blk")).agg(
+        F.sort_array(F.collect_list(F.struct("id", "rhs"))).alias("b")).select(
+        F.col("b.id").alias("ids"), F.col("b.rhs").alias("vecs"))
+
+
+def _lists_kernel(min_score: float | None, digits: int, chunk: int = 1024):
+    def kernel(batches):
+        for pdf in batches:
+            for q_ids, q_vecs, bounds, ids, vecs in zip(*(pdf[c] for c in ("q_ids", "q_vecs", "bounds", "ids", "vecs"))):
+                src, dst, bounds = np.stack(list(q_vecs)), np.stack(list(vecs)), np.asarray(bounds)
+                for s0 in range(0, len(src), chunk):
+                    own = np.asarray(q_ids)[s0:s0 + chunk]
+                    raw = src[s0:s0 + chunk] @ dst.T
+                    raw[own[:, None] == np.asarray(ids)[None, :]] = np.nan      # no self pair
+                    r, c, sc = _select(raw, None, min_score, digits)
+                    order = np.lexsort((c, -sc, r))                             # ids rise with the column
+                    r, c, sc = r[order], c[order], sc[order]
+                    keep = np.arange(len(r)) - np.searchsorted(r, r) < bounds[s0 + r]
+                    r, c, sc = r[keep], c[keep], sc[keep]
+                    yield pd.DataFrame({"mid": own[r].astype("int32"), "rec_mid": np.asarray(ids)[c].astype("int32"),
+                                        "score": sc.astype("float64")})
+    return kernel
+
+
+def lists_of(asked: DataFrame, vectors: DataFrame, blocks: DataFrame, min_score: float | None = None,
+             digits: int = SCORE_DIGITS) -> DataFrame:
+    """Ranked lists ``mid, rank, rec_mid, score`` of the few items in ``asked`` (``mid, bound``,
+    one row each): the top ``bound`` others with cosine above ``min_score``, the same rows as
+    :func:`dense_similarity` gives.  ``asked`` meets ``blocks`` (:func:`item_blocks` of the same
+    vectors) by broadcast, so it must be small against the catalogue (a micro-batch's items)."""
+    norm = _normalised(vectors, "mid", "features", "cosine").withColumnRenamed("id", "mid")
+    q = asked.join(norm, "mid").groupBy(F.pmod(F.xxhash64("mid"), F.lit(QUERY_BLOCKS)).alias("q")).agg(
+        F.collect_list(F.struct("mid", "rhs", "bound")).alias("b")).select(
+        F.col("b.mid").alias("q_ids"), F.col("b.rhs").alias("q_vecs"), F.col("b.bound").alias("bounds"))
+    pairs = blocks.crossJoin(F.broadcast(q)).mapInPandas(_lists_kernel(min_score, digits), PAIR_SCHEMA)
+    ranked = rank_within(pairs, ["mid"], by_score("score", "rec_mid"))
+    return ranked.join(asked, "mid").where(F.col("rank") <= F.col("bound")).select("mid", "rank", "rec_mid", "score")
+
+
 def nest_similarity(ranked: DataFrame) -> DataFrame:
     """Long lists -> ``mid, recs`` (the MovieRecs / ContentMovieRecs shape)."""
     return nest_ranked(ranked, "mid", mid="rec_mid")

@@ -1,10 +1,13 @@
 """End-to-end: fixture rows written as the reference's text files, then the jobs."""
 
+import pytest
 
 from cinerank import jobs, schemas
 from cinerank.config import TableStore
+from cinerank.operators import similarity
 from cinerank.sources import delimited, tables
 from cinerank.sources import testdata as td
+from cinerank.streaming import recommender
 
 D = "/root/testdata/sf0.001"
 
@@ -74,6 +77,43 @@ def test_streaming_job_with_base_ratings(spark, tmp_root):
     assert cur == {7: [12]}
 
 
+def stream_users(spark, store, root, messages, **options):
+    import datetime as dt
+    spark.createDataFrame([(i, dt.datetime(2024, 1, 1), m) for i, m in enumerate(messages, 1)],
+                          "event_id long, ts timestamp_ntz, value string").write.mode("overwrite").parquet(f"{root}/in/b0")
+    jobs.streaming(spark, store, "parquet", f"{root}/in/*/*.parquet", f"{root}/ckpt", available_now=True,
+                   threshold=0.1, **options).awaitTermination()
+    rows = recommender.current_recs(spark, store.path("StreamRecs")).collect()
+    return {r["uid"]: [(x["mid"], x["score"]) for x in r["recs"]] for r in rows}
+
+
+def test_cut_lists_give_the_same_recommendations_as_whole_ones(spark, tmp_root):
+    ratings = [(u, m, float((u * m) % 5 + 1), 100 + m) for u in range(1, 25) for m in range(1, 71)
+               if (u == 1 and m <= 40) or (u * 7 + m * 3) % 5 == 0]
+    cut, whole = TableStore(f"{tmp_root}/cut"), TableStore(f"{tmp_root}/whole")
+    for store in (cut, whole):
+        tables.write_table(spark.createDataFrame(ratings, schemas.RATING), "Rating", store)
+        jobs.write_user_ratings(spark, store)
+    jobs.offline(spark, cut, min_score=-0.2, item_k=4)
+    factors = tables.read_table(spark, "ItemFactors", cut)
+    jobs._write_similarity(similarity.dense_similarity(factors, min_score=-0.2), "MovieRecs", whole, None)
+    tables.write_table(factors, "ItemFactors", whole)
+    assert jobs.list_cut(spark, cut, "MovieRecs") == (4, -0.2) and jobs.list_cut(spark, whole, "MovieRecs") is None
+    messages = ["1|7|5.0|900", "2|9|4.0|900", "3|7|2.0|900", "900|11|5.0|900", "901|999|5.0|900"]
+    want = stream_users(spark, whole, f"{tmp_root}/w", messages, factors_table="ItemFactors")
+    # a heavy user, two others, one new user, one whose item has no list; pairs by the factors even if not asked for
+    assert want[901] == [] and all(len(want[u]) > 4 for u in (1, 2, 3))
+    assert stream_users(spark, cut, f"{tmp_root}/c", messages) == want
+
+
+def test_streaming_refuses_cut_lists_it_cannot_complete(spark, tmp_root):
+    store = TableStore(f"{tmp_root}/tables")
+    tables.write_table(td.movies(spark, D), "Movie", store)
+    jobs.content_job(spark, store, k=2)
+    with pytest.raises(ValueError, match="cut to 2 entries"):
+        jobs.streaming(spark, store, "parquet", f"{tmp_root}/in", f"{tmp_root}/ckpt", sim_table="ContentMovieRecs")
+
+
 def recommender_current(spark, store):
     from cinerank.streaming import recommender
     rows = recommender.current_recs(spark, store.path("StreamRecs")).collect()
