@@ -6,6 +6,9 @@ bound; the kth best score over all shards is shared with all of them.  In the se
 wave each shard visits its leaves in the order of their bounds until the next bound is
 below the kth score, its own or the shared one.  A ball with centre c and radius r
 bounds the inner product with q by q.c + |q| r.
+
+Scores are exact integers of any size: between tasks they travel as texts that sort as the
+integers do (:func:`sortable`).
 """
 
 from __future__ import annotations
@@ -25,12 +28,34 @@ SHARD = 16_384           # vectors in one tree
 QUERY_BLOCK = 4_096      # queries that meet a shard in one task
 LEAF = 256
 EXACT = 2.0 ** 53        # integers below this are exact in a double
-HITS = "query_id long, vec_id long, score long"
+HITS = "query_id long, vec_id long, score string"
+DIGITS, NINES = "0123456789", "9876543210"
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component, as long."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
+    """floor(scale * x) of each component, as a double, which holds it exactly: from 2**53
+    on a double is a whole number itself."""
+    def floor(y: Column) -> Column:
+        return F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)
+    return F.transform(vector, lambda x: floor(x.cast("double") * scale))
+
+
+def sortable(n: int) -> str:
+    """Sign, number of digits and digits, those of a negative number by their complements to nine."""
+    digits = str(abs(n))
+    if n >= 0:
+        return f"1{len(digits):04d}{digits}"
+    return f"0{9999 - len(digits):04d}{digits.translate(str.maketrans(DIGITS, NINES))}"
+
+
+def from_sortable(text: str) -> int:
+    return int(text[5:]) if text[0] == "1" else -int(text[5:].translate(str.maketrans(DIGITS, NINES)))
+
+
+def _number(text: Column) -> Column:
+    """The decimal digits of a sortable text."""
+    digits = F.substr(text, F.lit(6))
+    return F.when(F.startswith(text, F.lit("1")), digits).otherwise(F.concat(F.lit("-"), F.translate(digits, DIGITS, NINES)))
 
 
 def finite(vector: Column) -> Column:
@@ -77,21 +102,22 @@ def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Exact integer inner products: in doubles where every sum stays below 2**53, else
     in Python integers."""
     if q.size and v.size and float(np.abs(q).max()) * float(np.abs(v).max()) * q.shape[1] >= EXACT:
-        return (q.astype(object) @ v.astype(object).T)
-    return (q.astype(float) @ v.astype(float).T).astype(np.int64)
+        whole = np.frompyfunc(int, 1, 1)
+        return whole(q) @ whole(v).T
+    return (q @ v.T).astype(np.int64)
 
 
-def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, kth: np.ndarray, k: int,
+def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, kth: list[int | None], k: int,
            visits: int | None, leaf: int = LEAF) -> Iterator[tuple[int, int, int]]:
     """(query id, vector id, score) of up to ``k`` best candidates of this shard for each
-    query, none below its ``kth`` (NaN: no bound yet).  ``visits`` limits the leaves a
+    query, none below its ``kth`` (None: no bound yet).  ``visits`` limits the leaves a
     query sees (first wave); None searches to the proven end."""
-    points, asked = vectors.astype(float), queries.astype(float)
-    tree = BallTree(points, leaf)
-    bounds = tree.leaf_bounds(asked)
+    tree = BallTree(vectors, leaf)
+    bounds = tree.leaf_bounds(queries)
     order = np.argsort(-bounds, axis=1, kind="stable")
     best: list[list[tuple[int, int]]] = [[] for _ in query_ids]
-    floor = np.where(np.isnan(kth), -np.inf, kth)
+    exact = np.array([-np.inf if x is None else x for x in kth], dtype=object)
+    floor = exact.astype(float)      # enough against bounds, which leave room, and against scores below 2**53
     active = np.arange(len(query_ids))
     unique = len(np.unique(ids)) == len(ids)
     for step in range(min(len(tree.leaves), visits or len(tree.leaves))):
@@ -104,9 +130,10 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
             rows = active[at == leaf_no]
             own = tree.parts[tree.leaves[leaf_no]]
             scores = _products(queries[rows], vectors[own])
-            for r in np.nonzero((scores >= floor[rows][:, None]).any(1))[0]:
+            least = exact if scores.dtype == object else floor
+            for r in np.nonzero((scores >= least[rows][:, None]).any(1))[0]:
                 row, s = rows[r], scores[r]
-                hit = np.nonzero(s >= floor[row])[0]
+                hit = np.nonzero(s >= least[row])[0]
                 if unique and len(hit) > 4 * k:
                     cut = np.partition(s[hit], len(hit) - k - 1)[len(hit) - k - 1]      # one more: the query's own row
                     hit = hit[s[hit] >= cut]
@@ -117,7 +144,8 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
                     once.setdefault(i, neg)
                 best[row] = [(neg, i) for i, neg in list(once.items())[:k]]
                 if len(best[row]) == k:
-                    floor[row] = max(floor[row], -best[row][-1][0])
+                    exact[row] = max(exact[row], -best[row][-1][0])
+                    floor[row] = float(exact[row])
     for q, hits in zip(query_ids, best):
         for s, i in hits:
             yield int(q), i, -s
@@ -129,8 +157,9 @@ def _search_group(k: int, visits: int | None):
         if len(vectors) and len(queries) and len(vectors["v"].iloc[0]):
             hits = list(search(vectors["id"].to_numpy(np.int64), np.stack(vectors["v"].to_list()),
                                queries["qid"].to_numpy(np.int64), np.stack(queries["qv"].to_list()),
-                               queries["kth"].to_numpy(float), k, visits))
-        return pd.DataFrame(hits, columns=["query_id", "vec_id", "score"]).astype("int64")
+                               [None if pd.isna(x) else from_sortable(x) for x in queries["kth"]], k, visits))
+        found = [(q, i, sortable(x)) for q, i, x in hits]
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64"})
     return run
 
 
@@ -141,13 +170,15 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
 
 
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5,
-          shard: int = SHARD, query_block: int = QUERY_BLOCK) -> DataFrame:
+          shard: int = SHARD, query_block: int = QUERY_BLOCK, score_type: str = "long") -> DataFrame:
     """query_id, rank, vec_id, score for every row whose id is divisible by ``every``.
 
     * Candidates are all rows but those with the query's id; ties go to the smaller id.
     * Rows with a null id, a null vector or a null or non-finite component take no part;
       vectors meet queries of their own length only; empty vectors have no candidates.
     * Repeated rows count once; an id with several vectors counts with its best score.
+    * Scores are ranked exactly whatever their size.  A listed one that ``score_type`` cannot
+      hold is an error; ``"string"`` holds all.
     * Fewer than ``k`` candidates: all of them.  Empty table: empty result; other columns
       are ignored."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("raw"))
@@ -164,11 +195,13 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
                                         F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("qblock"))
 
     def wave(kth: DataFrame | None, visits: int | None) -> DataFrame:
-        q = queries.withColumn("kth", F.lit(None).cast("double")) if kth is None else queries.join(kth, "qid", "left")
+        q = queries.withColumn("kth", F.lit(None).cast("string")) if kth is None else queries.join(kth, "qid", "left")
         q = q.select("qid", "qv", "qdim", "qblock", "kth", seq(shards).alias("qshard"))
         return dealt.groupBy(*at).cogroup(q.groupBy(*at_query)).applyInPandas(_search_group(k, visits), HITS)
 
     first = materialize(wave(None, 1), "first-wave")
     shared = _ranked(first, k).filter(F.col("rank") == k).select(
-        F.col("query_id").alias("qid"), F.col("score").cast("double").alias("kth"))
-    return _ranked(wave(shared, None), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        F.col("query_id").alias("qid"), F.col("score").alias("kth"))
+    found = _ranked(wave(shared, None).unionByName(first), k)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id",
+                        _number(F.col("score")).cast(score_type).alias("score"))

@@ -59,6 +59,32 @@ def test_edge_rows(spark):
     assert run(table(spark, [(0, [1.0]), (3, [2.0])]), every=50) == [(0, 1, 3, 256 * 512)]
 
 
+def exact_rows(df, **how):
+    return sorted((q, r, i, int(x)) for q, r, i, x in run(df, score_type="string", **how))
+
+
+@pytest.mark.parametrize("size", [2.0 ** 24, 2.0 ** 50, 2.0 ** 100])
+def test_large_scores_are_exact(spark, size):
+    # scores above 2**53 that differ by less than a double can tell, above 2**63, and components above 2**63
+    rows = [(0, [size, 1.0, 0.5])] + [(i, [size, i / 256, (i % 7) / 256]) for i in range(1, 60)] + [(100, [-size, 3.0, 1.0])]
+    got = exact_rows(table(spark, rows), every=50, shard=15, query_block=1)
+    assert got == brute(rows, 50) and len(got) == 15
+
+
+def test_scores_that_the_type_cannot_hold(spark):
+    rows = [(0, [1.0])] + [(i, [float(i)]) for i in range(1, 8)] + [(50, [-(2.0 ** 60)])]
+    # query 50 meets 0 and the small ones at -2**76 and below; none fits a long
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CAST_OVERFLOW"):
+        run(table(spark, rows), every=50)
+    assert exact_rows(table(spark, rows), every=50) == brute(rows, 50)
+
+
+def test_sortable_texts_sort_as_their_integers():
+    ns = sorted([0, 1, -1, 9, 10, -9, -10, 2 ** 53 + 1, 2 ** 53, -2 ** 63 - 1, -2 ** 63, 10 ** 80, -10 ** 80, 99, 100, -99, -100])
+    assert sorted(topk.sortable(n) for n in ns) == [topk.sortable(n) for n in ns]
+    assert [topk.from_sortable(topk.sortable(n)) for n in ns] == ns
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(4)
     points, queries = rng.normal(size=(700, 6)) * 100, rng.normal(size=(40, 6)) * 100
