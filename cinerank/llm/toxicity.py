@@ -5,7 +5,8 @@ How many toxic and clean training documents hold each n-gram is counted over all
 labelled rows of the training folds; an n-gram's feature value is its smoothed
 log-count ratio.  N-grams whose document odds do not differ reliably between the classes
 get no weight.  A logistic regression on the values of the others is fitted on a bounded
-sample of the same rows, both classes weighed alike.
+sample of the same rows, both classes weighed alike; an n-gram that no sampled document
+holds gets the mean of the fitted coefficients, so the counts over all rows take effect.
 """
 
 from __future__ import annotations
@@ -80,8 +81,10 @@ class Model:
         return float(0.5 * (1 + np.tanh(0.5 * z)))
 
 
-def train(grams: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray, epochs: int = EPOCHS) -> Model:
+def train(grams: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray, epochs: int = EPOCHS,
+          used: np.ndarray | None = None) -> Model:
     """Logistic regression on the ratios of each document's n-grams (Adam, full batch).
+    N-grams that ``used`` marks and no document holds share the mean coefficient, at least 0.
     No rows: every score is 0.5; one class only: a constant score on its side."""
     if not len(grams) or toxic.all() or not toxic.any():
         return Model(np.zeros(DIMS), 0.0 if not len(grams) else (4.0 if toxic.all() else -4.0))
@@ -99,6 +102,8 @@ def train(grams: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray, epochs
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= STEP * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-10)
     full = np.zeros(DIMS)
+    if used is not None and len(cols):
+        full[used] = ratios[used] * max(0.0, w[:-1].mean())
     full[cols] = r * w[:-1]
     return Model(full, w[-1])
 
@@ -140,13 +145,13 @@ def count_ngrams(rows: DataFrame) -> tuple[np.ndarray, tuple[int, int]]:
     return counts, n
 
 
-def _fit(ratios: np.ndarray):
+def _fit(ratios: np.ndarray, used: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, toxic = [], []
         for rows in batches:
             grams += [np.frombuffer(g, np.int32) for g in rows["grams"]]
             toxic += rows["toxic"].tolist()
-        m = train(grams, np.array(toxic, bool), ratios)
+        m = train(grams, np.array(toxic, bool), ratios, used=used)
         yield pd.DataFrame({"model": [m.weights.tobytes()], "bias": [m.bias]})
     return run
 
@@ -181,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     wanted = parts[0].unionByName(parts[1])
     chosen = text.join(F.broadcast(wanted), "id").dropDuplicates(["id"])      # at most 2 * sample ids
     fitted = (chosen.mapInPandas(_gram_rows(used), "toxic boolean, grams binary").repartition(1)
-              .mapInPandas(_fit(ratios), "model binary, bias double").first())
+              .mapInPandas(_fit(ratios, used), "model binary, bias double").first())
     if fitted is None:
         return train([], np.empty(0, bool), ratios)
     return Model(np.frombuffer(fitted["model"], np.float32), fitted["bias"])

@@ -87,3 +87,15 @@ def test_sample_is_bounded_and_repeatable(spark):
     assert a == b and len(a) == 100
     hot = spark.createDataFrame([(7,)] * 500, "k long")
     assert bounded_sample(hot, F.col("k"), 100, 1).count() <= 100
+
+
+def test_reliable_ngrams_outside_the_sample_count(spark, docs_of):
+    clean, common, rare = "a fine sunny day outside", "you horrid idiot", "zqx wvk jyp"
+    kind = lambda i: clean if i % 2 else (rare if i % 20 == 0 else common)
+    rows = [(i, kind(i)) for i in range(1200)]
+    labels = labelled(spark, 1200, lambda i: 0, lambda i: 1 - i % 2)
+    model = toxicity.fit(docs_of(rows), labels, sample=2)
+    sampled = [r.id for r in bounded_sample(spark.createDataFrame(
+        [(i,) for i in range(0, 1200, 2) if zlib.crc32(str(i).encode()) % 3 != 1], "id long"), F.col("id"), 2, toxicity.MODEL_SEED).collect()]
+    assert all(kind(i) == common for i in sampled)          # the sample misses the rare wording
+    assert model.score(rare) >= toxicity.CUT and model.score(common) >= toxicity.CUT and model.score(clean) < 0.3
