@@ -5,16 +5,17 @@ unlabelled text by minimising the non-negative unbiased risk
 
     prior * R_p(+)  +  max(0, R_u(-) - prior * R_p(-)).
 
-The class prior is estimated from the same two samples: a positive-versus-unlabelled
-model ranks held-back halves of both, and the share of unlabelled rows above a rank
-divided by the share of positives above it, at the rank where this is most surely
-small, is the prior.  Labelled negatives are never used.
+The class prior is estimated by a positive-versus-unlabelled model, fitted on halves of
+the samples: the share of unlabelled documents above a rank, all but those it was fitted
+on, divided by the share of held-back positives above it, at the rank where this is most
+surely small, is the prior.  Labelled negatives are never used.
 """
 
 from __future__ import annotations
 
 import hashlib
 import operator
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cinerank.config import materialize
 from cinerank.llm.common import bounded_batches, fold, text_of
 from cinerank.llm.sampling import bounded_sample
 
@@ -104,30 +106,52 @@ def _descend(p: np.ndarray, u: np.ndarray, gradient, epochs: int) -> tuple[np.nd
     return w[:-1], float(w[-1])
 
 
+class Ranking:
+    """Positive-versus-unlabelled output of scaled rows, fitted on the first ``n`` rows of
+    each; cuts at quantiles of the held-back positives and their shares above each cut."""
+
+    def __init__(self, p: np.ndarray, u: np.ndarray) -> None:
+        self.n = n = min(len(p), len(u)) // 2
+        self.weights, self.bias = _descend(p[:n], u[:n], lambda zp, zu: ((sigmoid(zp) - 1) / len(zp), sigmoid(zu) / len(zu)),
+                                           EPOCHS // 2)
+        sp = np.sort(p[n:] @ self.weights + self.bias)
+        self.cuts, self.held = np.unique(np.quantile(sp, np.linspace(0, 0.99, 100))), len(sp)
+        self.above = 1 - np.searchsorted(sp, self.cuts, "left") / len(sp)
+
+    def histogram(self, x: np.ndarray) -> np.ndarray:
+        """How many rows reach 0, 1, ... all of the cuts."""
+        return np.bincount(np.searchsorted(self.cuts, x @ self.weights + self.bias, "right"), minlength=len(self.cuts) + 1)
+
+    def prior(self, histogram: np.ndarray) -> float:
+        n = histogram.sum()
+        above = 1 - np.cumsum(histogram)[:-1] / n
+        slack = np.sqrt(np.log(40) / (2 * n)) + np.sqrt(np.log(40) / (2 * self.held))
+        at = np.argmin((above + slack) / self.above)
+        return float(np.clip(above[at] / self.above[at], 0.02, 0.98))
+
+
 def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
     """Share of positives among the unlabelled rows (see the module text)."""
-    n = min(len(p), len(u)) // 2
-    if n < 4:
+    if min(len(p), len(u)) // 2 < 4:
         return 0.5
-    w, b = _descend(p[:n], u[:n], lambda zp, zu: ((sigmoid(zp) - 1) / len(zp), sigmoid(zu) / len(zu)), EPOCHS // 2)
-    sp, su = np.sort(p[n:] @ w + b), np.sort(u[n:] @ w + b)
-    cuts = np.unique(np.quantile(sp, np.linspace(0, 0.99, 100)))
-    above_p = 1 - np.searchsorted(sp, cuts, "left") / len(sp)
-    above_u = 1 - np.searchsorted(su, cuts, "left") / len(su)
-    slack = np.sqrt(np.log(40) / (2 * len(su))) + np.sqrt(np.log(40) / (2 * len(sp)))
-    at = np.argmin((above_u + slack) / above_p)
-    return float(np.clip(above_u[at] / above_p[at], 0.02, 0.98))
-
-
-def train(positive: np.ndarray, unlabelled: np.ndarray, epochs: int = EPOCHS) -> Model:
-    """Non-negative PU risk with the logistic loss.  Without positives or unlabelled rows
+    ranking = Ranking(p, u)
+    return ranking.prior(ranking.histogram(u[ranking.n:]))
+
+
+def unfitted(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
+    both = np.concatenate([positive, unlabelled]).astype(float)
+    return Model(both.mean(0), both.std(0) + 1e-3, np.zeros(N_FEATURES), 0.0, 0.5)
+
+
+def train(positive: np.ndarray, unlabelled: np.ndarray, epochs: int = EPOCHS, prior: float | None = None) -> Model:
+    """Non-negative PU risk with the logistic loss; the prior is estimated from the same
+    rows where none is given.  Without positives or unlabelled rows
     the model scores every text 0.5."""
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.5)
-    both = np.concatenate([positive, unlabelled]).astype(float)
-    model = Model(both.mean(0), both.std(0) + 1e-3, np.zeros(N_FEATURES), 0.0, 0.5)
+    model = unfitted(positive, unlabelled)
     p, u = model.scaled(positive), model.scaled(unlabelled)
-    model.prior = prior = estimate_prior(p, u)
+    model.prior = prior = estimate_prior(p, u) if prior is None else prior
 
     def gradient(zp: np.ndarray, zu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sp, su = sigmoid(zp), sigmoid(zu)
@@ -145,17 +169,60 @@ def _featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"positive": rows["positive"], "x": [features(t).tobytes() for t in rows["text"]]})
 
 
-def _fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _samples(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray] | None:
+    """Feature rows of the positives and of the unlabelled."""
     parts = [b for b in batches if len(b)]
     if not parts:
-        return
+        return None
     rows = pd.concat(parts, ignore_index=True)
     # an order of their own, so that reruns split and sum alike however rows arrive
     rows = rows.assign(at=[hashlib.blake2b(x, digest_size=8).digest() for x in rows["x"]]).sort_values(["at", "positive"])
     x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, N_FEATURES)
     is_p = rows["positive"].to_numpy(bool)
-    m = train(x[is_p], x[~is_p])
-    yield pd.DataFrame({"model": [np.concatenate([m.mean, m.scale, m.weights, [m.bias, m.prior]]).tobytes()]})
+    return x[is_p], x[~is_p]
+
+
+def _rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The ranking of the prior, with the histogram of the unlabelled rows it was fitted on."""
+    both = _samples(batches)
+    if both is not None and min(map(len, both)) // 2 >= 4:
+        model = unfitted(*both)
+        p, u = map(model.scaled, both)
+        ranking = Ranking(p, u)
+        yield pd.DataFrame({"ranking": [pickle.dumps((model, ranking, ranking.histogram(u[:ranking.n])))]})
+
+
+def _reached(model: Model, ranking: Ranking):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(ranking.cuts) + 1, np.int64)
+        for rows in batches:
+            for i in range(0, len(rows), SLICE):
+                total += ranking.histogram(model.scaled(np.stack([features(t) for t in rows["text"].iloc[i:i + SLICE]])))
+        yield pd.DataFrame({"reached": np.arange(len(total)), "n": total})
+    return run
+
+
+def corpus_prior(text: DataFrame, samples: DataFrame) -> float | None:
+    """The prior with its share of unlabelled rows counted over all of ``text``: one pass
+    that leaves a histogram of fixed size.  None: too few rows, the sample decides."""
+    row = samples.repartition(1).mapInPandas(_rank, "ranking binary").first()
+    if row is None:
+        return None
+    model, ranking, fitted = pickle.loads(row["ranking"])
+    sums = text.select("text").mapInPandas(_reached(model, ranking), "reached int, n long").groupBy("reached").agg(F.sum("n").alias("n"))
+    counts = np.zeros(len(fitted), np.int64)
+    for r in sums.collect():             # one row for each number of cuts
+        counts[r["reached"]] = r["n"]
+    return ranking.prior(np.maximum(counts - fitted, 0))
+
+
+def _fit(prior: float | None):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        both = _samples(batches)
+        if both is not None:
+            m = train(*both, prior=prior)
+            yield pd.DataFrame({"model": [np.concatenate([m.mean, m.scale, m.weights, [m.bias, m.prior]]).tobytes()]})
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
@@ -163,7 +230,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Train on the folds that are not held out.  Trusted positives are documents that a
     label row marks 1 and none marks 0; unlabelled are the documents of those folds,
     whatever their label.  At most ``sample`` rows of each are used, chosen by id hash;
-    they meet in one task, which returns the weights."""
+    they meet in one task, which returns the weights.  The prior's share of unlabelled rows
+    is counted over all documents of those folds."""
     bounded_batches(docs.sparkSession)
     usable = fold("id", FOLDS) != HELD_OUT
     trusted = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(usable & F.col("label").isNotNull())
@@ -174,8 +242,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     others = bounded_sample(text.select("id"), F.col("id"), sample, seed + 1).distinct()
     wanted = chosen.select("id", F.lit(True).alias("positive")).unionByName(others.select("id", F.lit(False).alias("positive")))
     rows = text.join(F.broadcast(wanted), "id").dropDuplicates(["id", "positive"])      # at most 2 * sample ids
-    fitted = (rows.mapInPandas(_featurise, "positive boolean, x binary").repartition(1)
-              .mapInPandas(_fit, "model binary").first())
+    samples = materialize(rows.mapInPandas(_featurise, "positive boolean, x binary"), "quality-samples")
+    fitted = samples.repartition(1).mapInPandas(_fit(corpus_prior(text, samples)), "model binary").first()
     if fitted is None:
         return train(np.empty((0, N_FEATURES)), np.empty((0, N_FEATURES)))
     v = np.frombuffer(fitted["model"], float)

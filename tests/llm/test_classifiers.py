@@ -99,3 +99,21 @@ def test_reliable_ngrams_outside_the_sample_count(spark, docs_of):
         [(i,) for i in range(0, 1200, 2) if zlib.crc32(str(i).encode()) % 3 != 1], "id long"), F.col("id"), 2, toxicity.MODEL_SEED).collect()]
     assert all(kind(i) == common for i in sampled)          # the sample misses the rare wording
     assert model.score(rare) >= toxicity.CUT and model.score(common) >= toxicity.CUT and model.score(clean) < 0.3
+
+
+def test_prior_counts_all_unlabelled_rows(spark, docs_of):
+    def written(i, fine):
+        rng = random.Random(i)
+        words = ["the", "committee", "met", "again", "its", "report", "was", "read", "aloud", "nobody", "objected"]
+        noise = ["$$", "BUY", "NOW!!!", "###", "WIN", "|||", "99%"]
+        return " ".join(rng.choices(words if fine else noise, k=30))
+
+    usable = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 != 0]
+    ids = spark.createDataFrame([(i,) for i in usable], "id long")
+    sampled = sorted(r.id for r in bounded_sample(ids, F.col("id"), 80, quality.SEED + 1).collect())
+    trusted = [i for i in usable if i not in set(sampled)][::19][:80]
+    fine = set(sampled[::2]) | set(trusted)        # half of the sample, but 120 of about 1600 rows
+    rows = [(i, written(i, i in fine)) for i in usable]
+    labels = spark.createDataFrame([(i, 1, 0, "x") for i in trusted], "doc_id long, quality int, toxic int, text string")
+    model = quality.fit(docs_of(rows), labels, sample=80)
+    assert model.prior == pytest.approx(len(fine) / len(usable), abs=0.04)
