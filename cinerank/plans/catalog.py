@@ -11,6 +11,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -340,6 +342,35 @@ def _factors(model, spark) -> tuple[DataFrame, DataFrame]:
     return users, items
 
 
+ROUNDING = 2e-6          # scores are rounded to 6 digits
+CHECK_BLOCK = 256
+
+
+def _demanded(asking: DataFrame, items: DataFrame, k: int, above: float | None = None, own: bool = False) -> DataFrame:
+    """What the vectors demand of every ``id``, by products of blocks of (id, vec) rows: its
+    ``k`` highest products ``top``, and how many are above ``above``, at least and at most
+    (within ROUNDING).  With ``own`` an id is not its own neighbour."""
+    def blocks(rows: DataFrame, side: str) -> DataFrame:
+        n = max(1, rows.count() // CHECK_BLOCK)
+        listed = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(n))).agg(F.collect_list(F.struct("id", "vec")).alias("b"))
+        return listed.select(F.col("b.id").alias(f"{side}_ids"), F.col("b.vec").alias(f"{side}_vecs"))
+
+    def multiply(batches):
+        for pdf in batches:
+            for a_ids, a, b_ids, b in zip(*(pdf[c] for c in ("a_ids", "a_vecs", "b_ids", "b_vecs"))):
+                raw = np.stack(list(a)) @ np.stack(list(b)).T
+                if own:
+                    raw[np.asarray(a_ids)[:, None] == np.asarray(b_ids)[None, :]] = -np.inf
+                top = -np.sort(-raw, axis=1)[:, :k]
+                cut = -np.inf if above is None else above
+                yield pd.DataFrame({"id": a_ids, "least": (raw > cut + ROUNDING).sum(1), "most": (raw > cut - ROUNDING).sum(1),
+                                    "top": list(top)})
+    pairs = blocks(asking, "a").crossJoin(blocks(items, "b"))
+    parts = pairs.mapInPandas(multiply, "id int, least long, most long, top array<double>")
+    return parts.groupBy("id").agg(F.sum("least").alias("least"), F.sum("most").alias("most"),
+                                   F.slice(F.sort_array(F.flatten(F.collect_list("top")), False), 1, k).alias("top"))
+
+
 def als_normal_equations(spark, d):
     """Per user, whether the last half-step solved its normal equations: the gradient
     ``sum((u.v - r) v) + lambda n u`` vanishes against ``sum |r v|`` (M1, M2, P4)."""
@@ -356,7 +387,7 @@ def als_normal_equations(spark, d):
 
 def als_user_recs_checks(spark, d):
     """Per user: how many items are listed, and whether ranks run from 1, scores never
-    rise and each is the product of the factors (M4, T8)."""
+    rise, each is the product of the factors and no unlisted item scores higher (M4, T8)."""
     model = collab.train(td.ratings(spark, d))
     users, items = _factors(model, spark)
     recs = materialize(collab.user_recs(model, config.USER_RECS_K))
@@ -368,7 +399,11 @@ def als_user_recs_checks(spark, d):
     falls = F.forall(F.sequence(F.lit(2), F.greatest(F.size("l"), F.lit(2))), lambda i: (i > F.size("l")) | (
         F.element_at("l", i - 1)["score"] >= F.get("l", i - 1)["score"]))
     first = (F.element_at("l", 1)["rank"] == 1) & (F.element_at("l", -1)["rank"] == F.size("l"))
-    return listed.select("uid", "n", (F.col("right") & falls & first).alias("ok"))
+    top = _demanded(users.select(F.col("uid").alias("id"), F.col("u").alias("vec")), items.select(F.col("mid").alias("id"), F.col("v").alias("vec")),
+                    config.USER_RECS_K).select(F.col("id").alias("uid"), "top")
+    last, due = F.element_at("l", -1)["score"], F.get("top", (F.col("n") - 1).cast("int"))
+    whole = F.coalesce(F.abs(last - due) <= TOLERANCE * (1 + F.abs(due)), F.lit(False))
+    return listed.join(top, "uid").select("uid", "n", (F.col("right") & falls & first & whole).alias("ok"))
 
 
 def als_predict_checks(spark, d):
@@ -383,14 +418,23 @@ def als_predict_checks(spark, d):
 
 
 def als_item_lists_checks(spark, d):
-    """Per item: whether its list re-scores from the factors, above the threshold (M8)."""
+    """Per item: whether its list re-scores from the factors, above the threshold, and has as
+    many entries and the same scores as the factors demand (M8)."""
     model = collab.train(td.ratings(spark, d))
     items = _factors(model, spark)[1]
     lists = materialize(collab.item_similarity(model, min_score=config.SIM_LIST_THRESHOLD, k=ALS_SIM_K))
     two = lists.join(items, "mid").join(items.select(F.col("mid").alias("rec_mid"), F.col("v").alias("w")), "rec_mid")
     right = (F.abs(cosine("v", "w") - F.col("score")) <= TOLERANCE) & (F.col("score") > config.SIM_LIST_THRESHOLD) & (F.col("mid") != F.col("rec_mid"))
-    per = two.groupBy("mid").agg(F.every(right).alias("right"), F.max("rank").alias("last"), F.count(F.lit(1)).alias("n"))
-    return items.join(per, "mid", "left").select("mid", F.coalesce(F.col("right") & (F.col("last") == F.col("n")), F.lit(True)).alias("ok"))
+    per = two.groupBy("mid").agg(F.every(right).alias("right"), F.max("rank").alias("last"), F.count(F.lit(1)).alias("n"),
+                                    F.sort_array(F.collect_list("score"), False).alias("scores"))     # at most k entries
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    unit = items.select(F.col("mid").alias("id"), F.transform("v", lambda x: F.when(length > 0, x / length).otherwise(0.0)).alias("vec"))
+    due = _demanded(unit, unit, ALS_SIM_K, config.SIM_LIST_THRESHOLD, own=True).withColumnRenamed("id", "mid")
+    n = F.coalesce("n", F.lit(0))
+    counted = n.between(F.least("least", F.lit(ALS_SIM_K)), F.least("most", F.lit(ALS_SIM_K)))
+    same = F.forall(F.arrays_zip("scores", F.slice("top", F.lit(1), n.cast("int")).alias("due")), lambda x: F.abs(x["scores"] - x["due"]) <= ROUNDING)
+    listed = F.coalesce(F.col("right") & (F.col("last") == F.col("n")) & same, F.col("n").isNull())
+    return items.join(per, "mid", "left").join(due, "mid", "left").select("mid", F.coalesce(counted & listed, F.lit(False)).alias("ok"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cinerank.operators import collab
+from cinerank.plans import catalog
 from cinerank.sources import testdata as td
 
 D = "/root/testdata/sf0.001"
@@ -39,3 +41,16 @@ def test_factors_do_not_depend_on_cores(spark):
     out = [subprocess.run([sys.executable, "-c", code, n], capture_output=True, text=True, timeout=600).stdout.split("DIGEST")[1]
            for n in ("2", "8")]
     assert out[0] == out[1]
+
+
+@pytest.mark.parametrize("fault", ["nothing", "no best", "no last"])
+def test_checks_see_missing_entries(spark, monkeypatch, fault):
+    wrong = {"nothing": "rank < 0", "no best": "rank > 1", "no last": "rank < 20"}[fault]
+    lists, recs = collab.item_similarity, collab.user_recs
+    if fault == "no best":         # ranks and the number of entries look right
+        monkeypatch.setattr(collab, "item_similarity", lambda m, min_score, k: lists(m, min_score, k + 1).where(wrong).withColumn("rank", F.col("rank") - 1))
+        monkeypatch.setattr(collab, "user_recs", lambda m, k: recs(m, k + 1).where(wrong).withColumn("rank", F.col("rank") - 1))
+        assert catalog.als_user_recs_checks(spark, D).where("not ok").count() > 0
+    else:
+        monkeypatch.setattr(collab, "item_similarity", lambda m, min_score, k: lists(m, min_score, k).where(wrong))
+    assert catalog.als_item_lists_checks(spark, D).where("not ok").count() > 0
