@@ -104,5 +104,57 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s) WHERE rank <= 5
 """
 
+LEVELS = 8      # levels of runs that the manifest's SQL spells out: 16^8 documents a source
+CRC32 = ("xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(range(1, length({0}) + 1), lambda i: "
+         "list_transform(range(8), lambda j: (ord({0}[i]) >> j) & 1))), "
+         "lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)")
+
+
+def _levels(name: str, first: str) -> str:
+    """Levels of runs over ``first`` (tree, pos, d): a run's text and digest, until one node is left."""
+    out = [f"{name}0 AS (SELECT tree, pos, d, count(*) OVER (PARTITION BY tree) AS n FROM ({first}))"]
+    for i in range(LEVELS):
+        out.append(f"""{name}{i + 1} AS (
+  SELECT tree, pos, text, CASE WHEN alone THEN text ELSE sha256(text) END AS d, alone, count(*) OVER (PARTITION BY tree) AS n FROM (
+    SELECT tree, pos // 16 AS pos, string_agg(d, '' ORDER BY pos) AS text, bool_and(n = 1) AS alone FROM {name}{i} GROUP BY 1, 2))""")
+    return ",\n".join(out)
+
+
+def _climb(name: str, i: int, rows: str) -> str:
+    """``rows`` (k, tree, pos, proof, own, n) one level up: siblings joined to the proof, own digest folded."""
+    at = f"(r.pos // {16 ** i}) % 16 * 64"
+    return f"""SELECT r.k, r.tree, r.pos, r.proof || CASE WHEN alone THEN '' ELSE substr(text, 1, {at}) || substr(text, {at} + 65) END AS proof,
+    CASE WHEN alone THEN r.own ELSE sha256(substr(text, 1, {at}) || r.own || substr(text, {at} + 65)) END AS own
+  FROM ({rows}) r JOIN {name}{i + 1} l ON l.tree = r.tree AND l.pos = r.pos // {16 ** (i + 1)}"""
+
+
+def _climbs(name: str, rows: str, step: str) -> str:
+    out = []
+    for i in range(LEVELS):
+        out.append(f"{step}{i + 1} AS ({_climb(name, i, rows)})")
+        rows = f"SELECT * FROM {step}{i + 1}"
+    return ",\n".join(out)
+
+
+def _stated(c: str) -> str:
+    return f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+
+
+OP11 = f"""
+WITH leaves AS (
+  SELECT *, row_number() OVER () AS k, coalesce('=' || source, '-') AS tree, sha256(head || {_stated('text')}) AS leaf,
+    CASE WHEN text IS NOT NULL AND {CRC32.format('(doc_id::VARCHAR)')} % 5 = 0
+      THEN sha256(head || {_stated("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS changed
+  FROM (SELECT *, {' || '.join(_stated(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} AS head FROM documents)),
+placed AS (SELECT k, doc_id, tree, leaf, changed, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+{_levels('s', 'SELECT tree, pos, leaf AS d FROM placed')},
+tops AS (SELECT tree AS name, '*' AS tree, d, row_number() OVER (ORDER BY tree) - 1 AS pos FROM s{LEVELS}),
+{_levels('t', 'SELECT tree, pos, d FROM tops')},
+{_climbs('s', "SELECT k, tree, pos, '' AS proof, coalesce(changed, leaf) AS own FROM placed", 'a')},
+{_climbs('t', f"SELECT k, tops.tree, tops.pos, proof, own FROM a{LEVELS} a JOIN tops ON a.tree = tops.name", 'b')}
+SELECT doc_id, leaf, s.d AS subroot, t.d AS root, sha256(proof) AS proof_sha256, own AS folded_root, own = t.d AS verified
+FROM placed JOIN b{LEVELS} b USING (k) JOIN s{LEVELS} s ON s.tree = placed.tree, t{LEVELS} t
+"""
+
 ORACLE = {"op1_secret_scan": OP1, "op4_chat_format": OP4, "op5_url_filter": OP5, "op8_near_dedup": OP8,
-          "op9_exact_dedup": OP9, "op10_top_k": OP10}
+          "op9_exact_dedup": OP9, "op10_top_k": OP10, "op11_merkle_manifest": OP11}

@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import bpe, chat, exactdedup, mixing, neardup, quality, secrets, topk, toxicity, urlfilter
+from cinerank.llm import (bpe, chat, exactdedup, merkle, mixing, neardup, quality, secrets, simhash, spelling, topk, toxicity,
+                          urlfilter)
 from cinerank.llm.common import table
 from cinerank.llm.oracle import ORACLE
 
@@ -90,6 +91,21 @@ def op10_top_k(spark: SparkSession, d: str) -> DataFrame:
     return topk.top_k(table(spark, d, "embeddings"))
 
 
+def op11_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and what its proof says after tampering."""
+    return merkle.manifest(table(spark, d, "documents"))[1]
+
+
+def op12_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """SimHash fingerprints of all documents and their components within 2 bits."""
+    return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Words of all documents with their spelling variants."""
+    return spelling.variants(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mix_sources": op2_mix_sources,
@@ -101,4 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_top_k": op10_top_k,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_simhash_dedup": op12_simhash_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
