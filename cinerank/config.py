@@ -42,7 +42,8 @@ POSITIVE_RATING = 3.0        # rating > 3 strengthens, <= 3 weakens
 MICRO_BATCH = "2 seconds"    # processing-time trigger of the streaming job
 # --- end of fixed values ---
 
-SCORE_DIGITS = 6  # scores are rounded before ranking so ties are stable
+SCORE_DIGITS = 6   # scores are rounded before ranking so ties are stable
+FIXED_DIGITS = 12  # thresholds compare scores at so many decimals: all but binary noise
 
 
 @dataclass(frozen=True)

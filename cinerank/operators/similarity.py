@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.config import SCORE_DIGITS, materialize, parallelism
+from cinerank.config import FIXED_DIGITS, SCORE_DIGITS, materialize, parallelism
 from cinerank.functions.columns import l1_norm, l2_norm, scale_array
 from cinerank.operators.topk import by_score, nest_ranked, rank_within
 
@@ -54,28 +54,32 @@ def _normalised(vectors: DataFrame, id_col: str, vec_col: str, metric: str) -> D
 
 def round_half_away(x: np.ndarray, digits: int) -> np.ndarray:
     """NumPy twin of :func:`cinerank.functions.columns.round_score`."""
-    fixed = np.abs(np.round(x, 12))
+    fixed = np.abs(np.round(x, FIXED_DIGITS))
     scale = 10.0 ** digits
     # the product is rounded again: an exact half may land just below .5
-    return np.sign(x) * np.floor(np.round(fixed * scale, 12 - digits) + 0.5) / scale
+    return np.sign(x) * np.floor(np.round(fixed * scale, FIXED_DIGITS - digits) + 0.5) / scale
 
 
 def _select(raw: np.ndarray, k: int | None, min_score: float | None, digits: int):
-    """Exact row-wise selection on rounded scores, rounding only candidates.
+    """Exact row-wise selection: the threshold on raw scores, the ranking on rounded ones,
+    rounding only candidates.
 
     ``raw`` holds unrounded scores (NaN = excluded pair), columns in
-    ascending id order.  Rounding moves a value by at most h = half a unit of
-    the last digit, so an entry can only pass the rounded threshold if its raw
-    score exceeds ``min_score - h``, and can only be in a row's rounded top-k
-    if its raw score is within 2h of the row's k-th best raw score.  Those
-    candidates are rounded and cut exactly by (score desc, column asc); ties
-    at the boundary go to the lowest ids, never more than k per row.
+    ascending id order.  A score passes ``min_score`` (strict) at FIXED_DIGITS
+    decimals, so a score a little above it stays even where it rounds to it.
+    Rounding moves a value by at most h = half a unit of the last digit, so an
+    entry can only be in a row's rounded top-k if its raw score is within 2h of
+    the row's k-th best raw score.  Those candidates are rounded and cut exactly
+    by (score desc, column asc); ties at the boundary go to the lowest ids,
+    never more than k per row.
     Returns (row_idx, col_idx, rounded_scores)."""
     h = 0.5 * 10.0 ** -digits
     margin = 2.2 * h
     mask = np.isfinite(raw)
     if min_score is not None:
-        mask &= raw > min_score - margin
+        mask &= raw > min_score
+        edge = mask & (raw < min_score + 2 * 10.0 ** -FIXED_DIGITS)      # only there can the fixed score be another
+        mask[edge] = np.round(raw[edge], FIXED_DIGITS) > min_score
     if k is not None and raw.shape[1] > k:
         # rows with many candidates are trimmed by a k-th-best partition first;
         # sparse rows go straight to the exact cut below
@@ -86,9 +90,6 @@ def _select(raw: np.ndarray, k: int | None, min_score: float | None, digits: int
             mask[heavy] &= sub >= kth - margin
     r, c = np.nonzero(mask)
     sc = round_half_away(raw[r, c], digits)
-    if min_score is not None:
-        keep = sc > min_score
-        r, c, sc = r[keep], c[keep], sc[keep]
     if k is not None and len(r):
         order = np.lexsort((c, -sc, r))
         r, c, sc = r[order], c[order], sc[order]
@@ -183,17 +184,16 @@ def dense_similarity(vectors: DataFrame, id_col: str = "mid", vec_col: str = "fe
     return rank_within(pairs, ["mid"], by_score("score", "rec_mid"), k).select("mid", "rank", "rec_mid", "score")
 
 
-ITEM_BLOCK = 512      # items of one block of :func:`item_blocks`
-QUERY_BLOCKS = 16     # blocks that the asking items of :func:`lists_of` are dealt into
+ITEM_BLOCK = 512      # items of one block of :func:`item_blocks`, asking items of one block of :func:`lists_of`
 
 
 def item_blocks(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features") -> DataFrame:
-    """``ids, vecs``: normalised vectors in blocks of about ITEM_BLOCK items, one row each."""
+    """``blk, ids, vecs``: normalised vectors in blocks of about ITEM_BLOCK items, one row each."""
     norm = _normalised(vectors, id_col, vec_col, "cosine")
     n = max(1, math.ceil(norm.count() / ITEM_BLOCK))
     return norm.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).alias("blk")).agg(
         F.sort_array(F.collect_list(F.struct("id", "rhs"))).alias("b")).select(
-        F.col("b.id").alias("ids"), F.col("b.rhs").alias("vecs"))
+        "blk", F.col("b.id").alias("ids"), F.col("b.rhs").alias("vecs"))
 
 
 def _lists_kernel(min_score: float | None, digits: int, chunk: int = 1024):
@@ -217,16 +217,20 @@ def _lists_kernel(min_score: float | None, digits: int, chunk: int = 1024):
 
 def lists_of(asked: DataFrame, vectors: DataFrame, blocks: DataFrame, min_score: float | None = None,
              digits: int = SCORE_DIGITS) -> DataFrame:
-    """Ranked lists ``mid, rank, rec_mid, score`` of the few items in ``asked`` (``mid, bound``,
+    """Ranked lists ``mid, rank, rec_mid, score`` of the items in ``asked`` (``mid, bound``,
     one row each): the top ``bound`` others with cosine above ``min_score``, the same rows as
-    :func:`dense_similarity` gives.  ``asked`` meets ``blocks`` (:func:`item_blocks` of the same
-    vectors) by broadcast, so it must be small against the catalogue (a micro-batch's items)."""
+    :func:`dense_similarity` gives.  Asking items are dealt into blocks of about ITEM_BLOCK, and
+    each of these goes to every one of ``blocks`` (:func:`item_blocks` of the same vectors) by an
+    equi-join on the block's number: rows hold two blocks, whatever the batch asks for."""
     norm = _normalised(vectors, "mid", "features", "cosine").withColumnRenamed("id", "mid")
-    q = asked.join(norm, "mid").groupBy(F.pmod(F.xxhash64("mid"), F.lit(QUERY_BLOCKS)).alias("q")).agg(
+    wanted = asked.agg(F.ceil(F.count(F.lit(1)) / ITEM_BLOCK)).scalar()
+    q = asked.join(norm, "mid").groupBy(F.pmod(F.xxhash64("mid"), F.greatest(wanted, F.lit(1))).alias("q")).agg(
         F.collect_list(F.struct("mid", "rhs", "bound")).alias("b")).select(
         F.col("b.mid").alias("q_ids"), F.col("b.rhs").alias("q_vecs"), F.col("b.bound").alias("bounds"))
-    pairs = blocks.crossJoin(F.broadcast(q)).mapInPandas(_lists_kernel(min_score, digits), PAIR_SCHEMA)
-    ranked = rank_within(pairs, ["mid"], by_score("score", "rec_mid"))
+    numbers = blocks.agg(F.collect_list("blk")).scalar()
+    pairs = q.select("*", F.explode(numbers).alias("blk")).join(blocks, "blk").drop("blk")
+    found = pairs.mapInPandas(_lists_kernel(min_score, digits), PAIR_SCHEMA)
+    ranked = rank_within(found, ["mid"], by_score("score", "rec_mid"))
     return ranked.join(asked, "mid").where(F.col("rank") <= F.col("bound")).select("mid", "rank", "rec_mid", "score")
 
 

@@ -8,7 +8,7 @@ forms are available from the operator modules.
 
 from __future__ import annotations
 
-import uuid
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank import config, schemas
+from cinerank import config, jobs, schemas
 from cinerank.config import TableStore, materialize, scratch_dir
 from cinerank.functions.columns import cosine, round_score
 from cinerank.operators import collab, content, realtime, similarity, stats
@@ -29,6 +29,7 @@ FIXTURE_GENRES = ("ECONOMY", "Promo", "standard", "gear", "ring", "rod", "widget
 DENSE_LIST_THRESHOLD = 0.25     # embeddings never reach 0.6
 L1L2_THRESHOLD = 0.03
 REALTIME_MATRIX_THRESHOLD = 0.10
+REALTIME_LIST_K = 100
 REALTIME_SCORE_THRESHOLD = 0.15
 CONTENT_K = 10
 ALS_SIM_K = 20
@@ -153,11 +154,13 @@ def content_similarity_hashed(spark, d):
 
 
 # ---------------------------------------------------------------- real time (batch form)
-def _ranked_matrix(spark, d) -> DataFrame:
-    """The ranked item-similarity lists the real-time path reads
-    (``mid, rank, rec_mid, score``)."""
-    return similarity.dense_similarity(td.item_vectors(spark, d), metric="cosine",
-                                       min_score=REALTIME_MATRIX_THRESHOLD)
+def _ranked_lists(spark, d) -> tuple[DataFrame, realtime.ListCut]:
+    """The ranked item-similarity lists the real-time path reads (``mid, rank, rec_mid,
+    score``), cut to REALTIME_LIST_K entries, and what longer lists are completed from."""
+    vectors = td.item_vectors(spark, d)
+    lists = similarity.dense_similarity(vectors, metric="cosine", min_score=REALTIME_MATRIX_THRESHOLD, k=REALTIME_LIST_K)
+    blocks = materialize(similarity.item_blocks(vectors), "item-blocks")
+    return materialize(lists, "item-lists"), realtime.ListCut(REALTIME_LIST_K, REALTIME_MATRIX_THRESHOLD, vectors, blocks)
 
 
 def recent_ratings(spark, d):
@@ -167,17 +170,20 @@ def recent_ratings(spark, d):
 def candidate_items(spark, d):
     ev = td.rating_events(spark, d)
     triggers = realtime.latest_per_user(ev).select("uid", "mid")
-    return realtime.candidate_items(triggers, _ranked_matrix(spark, d), ev, config.CANDIDATES_K)
+    lists, cut = _ranked_lists(spark, d)
+    cands = realtime.candidate_items(triggers, lists, ev, config.CANDIDATES_K)
+    return realtime.completed_candidates(cands, triggers, lists, ev, cut, config.CANDIDATES_K)
 
 
 def realtime_scores(spark, d):
     ev = td.rating_events(spark, d)
     triggers = realtime.latest_per_user(ev).select("uid", "mid")
+    lists, cut = _ranked_lists(spark, d)
     # every user triggers here, so the history needs no restriction; the lists give
     # the candidates only, pair similarities come from the vectors
-    return realtime.score_batch(triggers, ev, _ranked_matrix(spark, d), config.RECENT_RATINGS_K,
+    return realtime.score_batch(triggers, ev, lists, config.RECENT_RATINGS_K,
                                 config.CANDIDATES_K, REALTIME_SCORE_THRESHOLD, restrict=False,
-                                vectors=td.item_vectors(spark, d))
+                                vectors=cut.vectors, cut=cut)
 
 
 # ---------------------------------------------------------------- streaming
@@ -185,10 +191,13 @@ def log_filter(spark, d):
     return logs.extract_messages(td.log_lines(spark, d), keep=("event_id",))
 
 
-def _stream_input(spark, d, root: str, from_logs: bool, chunks: int = 3) -> str:
-    """Write rating messages as ``chunks`` files, one per event-time range, in
-    one job (stand-in for the rating topic); the queries read one file per
-    trigger, so the stream arrives in several micro-batches.  Their order is
+MESSAGES_A_FILE = 1_000_000
+
+
+def _stream_input(spark, d, root: str, from_logs: bool) -> str:
+    """Write rating messages as files of at most about MESSAGES_A_FILE, at least three, one
+    per event-time range, in one job (stand-in for the rating topic); the queries read one file
+    per trigger, so the stream arrives in several bounded micro-batches.  Their order is
     not relied on: the streaming job's result does not depend on it.
     ``from_logs`` takes the messages the log filter publishes (malformed ones
     included), otherwise every rating event is rendered as a message."""
@@ -198,13 +207,12 @@ def _stream_input(spark, d, root: str, from_logs: bool, chunks: int = 3) -> str:
             ev.select("event_id", "ts"), "event_id")
     else:
         msgs = ev.select("event_id", "ts", delimited.render_column(delimited.MESSAGES).alias("message"))
+    chunks = max(3, math.ceil(ev.count() / MESSAGES_A_FILE))
     (msgs.select("event_id", "ts", F.col("message").alias("value"))
          .repartitionByRange(chunks, "ts", "event_id").write.mode("overwrite").parquet(f"{root}/in/all"))
     return f"{root}/in/*/*.parquet"
 
 
-
-
 def rating_stream_parse(spark, d):
     root = scratch_dir(spark, "parse")
     pattern = _stream_input(spark, d, root, from_logs=True)
@@ -216,18 +224,31 @@ def rating_stream_parse(spark, d):
     return spark.read.schema("event_id long, uid int, mid int, score double, `timestamp` int").parquet(f"{root}/out")
 
 
-def stream_recs(spark, d):
-    root = scratch_dir(spark, "stream")
-    pattern = _stream_input(spark, d, root, from_logs=False)
-    store = TableStore(f"{root}/tables")
-    tables.write_table(_ranked_matrix(spark, d), "MovieRecsLong", store)
-    sim = tables.read_table(spark, "MovieRecsLong", store, schemas.RANKED_SIMILARITY)
+def _run_stream(spark, d, kind: str, from_logs: bool) -> recommender.StreamTables:
+    """The streaming recommender over all messages, as a query that ends."""
+    root = scratch_dir(spark, kind)
+    pattern = _stream_input(spark, d, root, from_logs)
+    lists, cut = _ranked_lists(spark, d)
     src = sources.message_stream(spark, "parquet", pattern, {"maxFilesPerTrigger": "1"})
-    t = recommender.StreamTables(store.path("RatingLog"), store.path("StreamRecs"), store.path("Rejects"))
-    q = recommender.start_recommender(spark, src, sim, t, f"{root}/ckpt", available_now=True,
-                                      threshold=REALTIME_SCORE_THRESHOLD, vectors=td.item_vectors(spark, d).persist())
+    t = recommender.StreamTables(f"{root}/RatingLog", f"{root}/StreamRecs", f"{root}/Rejects", f"{root}/Progress", fanout=2)
+    q = recommender.start_recommender(spark, src, lists, t, f"{root}/ckpt", available_now=True,
+                                      threshold=REALTIME_SCORE_THRESHOLD, vectors=cut.vectors, cut=cut)
     q.awaitTermination()
-    return tables.explode_recs(recommender.current_recs(spark, t.recs_path), "uid")
+    return t
+
+
+def stream_recs(spark, d):
+    return tables.explode_recs(recommender.current_recs(spark, _run_stream(spark, d, "stream", from_logs=False).recs), "uid")
+
+
+def stream_progress(spark, d):
+    """What the recorded progress of all micro-batches says was read, rejected and scored (G8)."""
+    t = _run_stream(spark, d, "progress", from_logs=True)
+    p = t.progress.read(spark).agg(F.sum("n_messages").alias("n_messages"), F.sum("n_rejected").alias("n_rejected"),
+                                   F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+    users = recommender.current_recs(spark, t.recs).select(F.count(F.lit(1))).scalar()
+    return p.select("n_messages", "n_rejected", F.unix_seconds("first_ts").alias("first_second"),
+                    F.unix_seconds("last_ts").alias("last_second"), users.alias("n_users"))
 
 
 def recent_ratings_stream(spark, d):
@@ -274,12 +295,29 @@ def rating_republish(spark, d):
 
 def rated_layout(spark, d):
     store = TableStore(scratch_dir(spark, "layout"))
-    name = f"rating_by_uid_{uuid.uuid4().hex}"
-    tables.write_clustered(td.ratings(spark, d), name, store, key="uid", buckets=8)
-    r = spark.table(name)
+    tables.write_by_key(td.ratings(spark, d), "RatingByUser", store, "uid")
+    r = tables.read_table(spark, "RatingByUser", store, schemas.RATING)
     return r.groupBy("uid").agg(F.count(F.lit(1)).alias("n_ratings"), round_score(F.avg("score")).alias("avg_score"))
 
 
+KEYED_READS = 20
+
+
+def keyed_reads(spark, d):
+    """Rows of the KEYED_READS smallest users and movies, read by key from all access paths (K2)."""
+    store = TableStore(scratch_dir(spark, "paths"))
+    for name, df in (("Movie", td.movies(spark, d)), ("Rating", td.ratings(spark, d)), ("Tag", td.tags(spark, d))):
+        tables.write_table(df, name, store)
+    jobs.write_access_paths(spark, store)
+    out = None
+    for name, (_, schema, key) in jobs.ACCESS_PATHS.items():
+        rows = tables.read_table(spark, name, store, schema)
+        keys = rows.select(key).distinct().orderBy(key).limit(KEYED_READS)
+        one = tables.of_keys(rows, keys, key).groupBy(F.lit(name).alias("path"), F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---------------------------------------------------------------- sinks read back
 def search_docs_table(spark, d):
     """Search documents written by the keyed upsert and read back (K3)."""
@@ -470,6 +508,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_roundtrip": table_roundtrip,
     "rating_republish": rating_republish,
     "rated_layout": rated_layout,
+    "keyed_reads": keyed_reads,
+    "stream_progress": stream_progress,
     "search_docs_table": search_docs_table,
     "content_recs_table": content_recs_table,
     "content_recs_map": content_recs_map,

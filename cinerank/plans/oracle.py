@@ -65,9 +65,9 @@ norms AS (
   FROM item_vectors),
 pairs AS (
   SELECT a.mid AS mid, b.mid AS rec_mid,
-         CAST(round(CAST(CASE WHEN {den} > 0 THEN list_dot_product(a.features, b.features) / ({den}) ELSE 0 END AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
+         CAST(CASE WHEN {den} > 0 THEN list_dot_product(a.features, b.features) / ({den}) ELSE 0 END AS DECIMAL(30,12)) AS raw
   FROM norms a JOIN norms b ON a.mid <> b.mid),
-kept AS (SELECT * FROM pairs WHERE score > {threshold})"""
+kept AS (SELECT mid, rec_mid, raw, CAST(round(raw, 6) AS DOUBLE) AS score FROM pairs WHERE raw > {threshold})"""
 
 
 def _dense_ranked(metric: str, threshold: float) -> str:
@@ -111,7 +111,7 @@ scored AS (
          CAST(round(CAST(avg(k.score * r.score) + log10(greatest(count_if(r.score > 3), 1))
                - log10(greatest(count_if(r.score <= 3), 1)) AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
   FROM cand c JOIN recent r ON r.uid = c.uid JOIN kept k ON k.mid = c.mid AND k.rec_mid = r.mid
-  WHERE k.score > {score_threshold}
+  WHERE k.raw > {score_threshold}
   GROUP BY c.uid, c.mid)"""
 
 TFIDF = """
@@ -164,6 +164,16 @@ SELECT event_id, CAST(string_split(value, '|')[1] AS INT) AS uid, CAST(string_sp
 FROM typed WHERE reason = 'ok'""")
 
 
+def _stream_progress() -> str:
+    return with_views(["log_lines", "rating_events"], LOG_MESSAGES + """,
+parsed AS (SELECT event_id, message AS value FROM messages WHERE message <> ''),
+typed AS (SELECT event_id, value, """ + PARSE_RATING.format(sep="|") + """ AS reason FROM parsed)
+SELECT count(*) AS n_messages, count(*) FILTER (reason <> 'ok') AS n_rejected,
+       CAST(min(epoch(ts)) AS BIGINT) AS first_second, CAST(max(epoch(ts)) AS BIGINT) AS last_second,
+       count(DISTINCT uid) FILTER (reason = 'ok') AS n_users
+FROM typed JOIN rating_events USING (event_id)""")
+
+
 def _realtime(select: str) -> str:
     body = _dense("cosine", C.REALTIME_MATRIX_THRESHOLD).lstrip() + "," + REALTIME.format(
         score_threshold=C.REALTIME_SCORE_THRESHOLD) + "\n" + select
@@ -181,11 +191,11 @@ dots AS (
   SELECT a.mid AS mid, b.mid AS rec_mid, sum(a.tfidf * b.tfidf) AS dot
   FROM tfidf a JOIN tfidf b ON a.term = b.term AND a.mid <> b.mid GROUP BY a.mid, b.mid),
 scored AS (
-  SELECT d.mid, d.rec_mid, CAST(round(CAST(CASE WHEN na.n * nb.n > 0 THEN d.dot / (na.n * nb.n) ELSE 0 END AS DECIMAL(30,12)), 6) AS DOUBLE) AS score
+  SELECT d.mid, d.rec_mid, CAST(CASE WHEN na.n * nb.n > 0 THEN d.dot / (na.n * nb.n) ELSE 0 END AS DECIMAL(30,12)) AS raw, CAST(round(raw, 6) AS DOUBLE) AS score
   FROM dots d JOIN norms na ON na.mid = d.mid JOIN norms nb ON nb.mid = d.rec_mid)
 SELECT mid, rank, rec_mid, score FROM (
   SELECT mid, rec_mid, score, CAST(row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid) AS INTEGER) AS rank
-  FROM scored WHERE score > 0)
+  FROM scored WHERE raw > 0)
 WHERE rank <= 10""")
 
 
@@ -263,6 +273,11 @@ SELECT 'logProcessor' AS key, message AS value FROM messages WHERE message <> ''
         "rated_layout": with_views(["ratings"], """x AS (SELECT 1)
 SELECT uid, count(*) AS n_ratings, CAST(round(CAST(avg(score) AS DECIMAL(30,12)), 6) AS DOUBLE) AS avg_score FROM ratings GROUP BY uid"""),
     }
+    out["keyed_reads"] = with_views(["movies", "ratings", "tags"], """x AS (SELECT 1)
+""" + " UNION ALL ".join(f"SELECT '{p}' AS path, {k} AS key, count(*) AS n FROM {t} WHERE {k} IN (SELECT DISTINCT {k} FROM {t} ORDER BY 1 LIMIT 20) GROUP BY {k}"
+                         for p, t, k in (("MovieByMid", "movies", "mid"), ("RatingByUser", "ratings", "uid"), ("RatingByMid", "ratings", "mid"),
+                                         ("TagByUser", "tags", "uid"), ("TagByMid", "tags", "mid"))))
+    out["stream_progress"] = _stream_progress()
     # written or rendered forms give the rows of the plain query
     out["search_docs_table"] = out["movie_search_docs"]
     out["content_recs_table"] = out["content_similarity"]

@@ -61,10 +61,13 @@ def test_batch_jobs_end_to_end(spark, tmp_root):
 def test_streaming_job_with_base_ratings(spark, tmp_root):
     store = TableStore(f"{tmp_root}/tables")
     tables.write_table(spark.createDataFrame([(7, 10, 5.0, 100)], schemas.RATING), "Rating", store)
-    jobs.write_user_ratings(spark, store)
+    jobs.write_access_paths(spark, store, [jobs.RATING_BY_USER])
     sim = spark.createDataFrame([(11, 1, 10, 0.9), (11, 2, 12, 0.8), (10, 1, 11, 0.9), (12, 1, 11, 0.8)],
                                 schemas.RANKED_SIMILARITY)
     tables.write_table(sim, "MovieRecs", store)
+    with pytest.raises(ValueError, match="does not say"):          # lists of unknown length are refused
+        jobs.streaming(spark, store, "parquet", f"{tmp_root}/in", f"{tmp_root}/ckpt0")
+    jobs.write_similarity(sim, "MovieRecs", store, None)
     src = f"{tmp_root}/in"
     import datetime as dt
     spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "7|11|4.0|200")], "event_id long, ts timestamp_ntz, value string") \
@@ -83,7 +86,7 @@ def stream_users(spark, store, root, messages, **options):
                           "event_id long, ts timestamp_ntz, value string").write.mode("overwrite").parquet(f"{root}/in/b0")
     jobs.streaming(spark, store, "parquet", f"{root}/in/*/*.parquet", f"{root}/ckpt", available_now=True,
                    threshold=0.1, **options).awaitTermination()
-    rows = recommender.current_recs(spark, store.path("StreamRecs")).collect()
+    rows = recommender.current_recs(spark, jobs.stream_tables(store).recs).collect()
     return {r["uid"]: [(x["mid"], x["score"]) for x in r["recs"]] for r in rows}
 
 
@@ -93,10 +96,10 @@ def test_cut_lists_give_the_same_recommendations_as_whole_ones(spark, tmp_root):
     cut, whole = TableStore(f"{tmp_root}/cut"), TableStore(f"{tmp_root}/whole")
     for store in (cut, whole):
         tables.write_table(spark.createDataFrame(ratings, schemas.RATING), "Rating", store)
-        jobs.write_user_ratings(spark, store)
+        jobs.write_access_paths(spark, store, [jobs.RATING_BY_USER])
     jobs.offline(spark, cut, min_score=-0.2, item_k=4)
     factors = tables.read_table(spark, "ItemFactors", cut)
-    jobs._write_similarity(similarity.dense_similarity(factors, min_score=-0.2), "MovieRecs", whole, None)
+    jobs.write_similarity(similarity.dense_similarity(factors, min_score=-0.2), "MovieRecs", whole, None)
     tables.write_table(factors, "ItemFactors", whole)
     assert jobs.list_cut(spark, cut, "MovieRecs") == (4, -0.2) and jobs.list_cut(spark, whole, "MovieRecs") is None
     messages = ["1|7|5.0|900", "2|9|4.0|900", "3|7|2.0|900", "900|11|5.0|900", "901|999|5.0|900"]
@@ -116,7 +119,7 @@ def test_streaming_refuses_cut_lists_it_cannot_complete(spark, tmp_root):
 
 def recommender_current(spark, store):
     from cinerank.streaming import recommender
-    rows = recommender.current_recs(spark, store.path("StreamRecs")).collect()
+    rows = recommender.current_recs(spark, jobs.stream_tables(store).recs).collect()
     return {r["uid"]: [x["mid"] for x in r["recs"]] for r in rows}
 
 
@@ -154,3 +157,43 @@ def test_content_job_hashed_paths(spark, tmp_root):
     jobs.content_job(spark, store, hashed=True)
     full = jobs.similarity_long(spark, store, "ContentMovieRecs")
     assert full.count() >= n_bounded and full.where("score <= 0").count() == 0
+
+
+def test_a_running_stream_takes_over_refreshed_lists(spark, tmp_root):
+    """Two offline runs under one query: a batch sees lists and factors of one run only."""
+    import datetime as dt
+    store = TableStore(f"{tmp_root}/tables")
+    vectors = lambda rows: spark.createDataFrame(rows, "mid int, features array<double>")
+    lists = lambda rows: spark.createDataFrame(rows, schemas.RANKED_SIMILARITY)
+    tables.write_table(vectors([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0])]), "ItemFactors", store, properties={"run": "a"})
+    jobs.write_similarity(lists([(1, 1, 2, 0.995037)]), "MovieRecs", store, None, run="a")
+    sides = jobs.Followed(spark, store, "MovieRecs", "ItemFactors", False)
+    t = jobs.stream_tables(store)
+    handle = recommender.make_batch_handler(sides, t, threshold=0.5)
+    batch = lambda i: spark.createDataFrame([(i, dt.datetime(2024, 1, 1), f"{i}|1|5.0|{i}")], "event_id long, ts timestamp, value string")
+    handle(batch(1), 0)
+    held = sides.sides
+    tables.write_table(vectors([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.1])]), "ItemFactors", store, properties={"run": "b"})
+    handle(batch(2), 1)                                        # the new lists are not there yet
+    assert sides.sides is held
+    jobs.write_similarity(lists([(1, 1, 3, 0.995037)]), "MovieRecs", store, None, run="b")
+    handle(batch(3), 2)
+    got = {r["uid"]: [(x["mid"], x["score"]) for x in r["recs"]] for r in recommender.current_recs(spark, t.recs).collect()}
+    score = round(5 / 1.01 ** 0.5, 6)
+    assert got[1] == got[2] == [(2, pytest.approx(score, abs=2e-5))] and got[3] == [(3, pytest.approx(score, abs=2e-5))]
+    assert jobs.compact(spark, store) == 0
+
+
+def test_keyed_paths_prune(spark, tmp_root):
+    from test_streaming import scanned_rows
+    store = TableStore(f"{tmp_root}/tables")
+    for name, df in (("Movie", td.movies(spark, D)), ("Rating", td.ratings(spark, D)), ("Tag", td.tags(spark, D))):
+        tables.write_table(df, name, store)
+    jobs.write_access_paths(spark, store)
+    for name, (table, schema, key) in jobs.ACCESS_PATHS.items():
+        rows = tables.read_table(spark, name, store, schema)
+        plan = rows.where(f"{key} = 5")._jdf.queryExecution().executedPlan().toString()
+        assert f"EqualTo({key},5)" in plan.split("PushedFilters:")[1]
+        assert sorted(map(tuple, rows.collect()), key=str) == sorted(map(tuple, tables.read_table(spark, table, store, schema).collect()), key=str)
+        absent = spark.createDataFrame([(10_000_000,)], f"{key} int")
+        assert scanned_rows(tables.of_keys(rows, absent, key)) == (0, 0)

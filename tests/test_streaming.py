@@ -13,12 +13,12 @@ def test_replayed_batch_leaves_tables_unchanged(spark, tmp_root):
     handle = recommender.make_batch_handler(sim, tables, threshold=0.5)
     b0 = batch_df(spark, [(1, t0, "7|10|4.0|1"), (2, t0 + dt.timedelta(seconds=1), "7|bad|4.0|2")])
     handle(b0, 0)
-    first = sorted(map(tuple, spark.read.parquet(tables.recs_path).collect()), key=str)
-    log1 = spark.read.parquet(tables.log_path).count()
+    first = sorted(map(tuple, tables.recs.read(spark).collect()), key=str)
+    log1 = tables.log.read(spark).count()
     handle(b0, 0)
-    assert sorted(map(tuple, spark.read.parquet(tables.recs_path).collect()), key=str) == first
-    assert spark.read.parquet(tables.log_path).count() == log1 == 1
-    assert spark.read.parquet(tables.rejects_path).count() == 1
+    assert sorted(map(tuple, tables.recs.read(spark).collect()), key=str) == first
+    assert tables.log.read(spark).count() == log1 == 1
+    assert tables.rejects.read(spark).count() == 1
 
 
 def test_two_events_one_user_latest_defines_row(spark, tmp_root):
@@ -29,7 +29,7 @@ def test_two_events_one_user_latest_defines_row(spark, tmp_root):
     tables = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
     handle = recommender.make_batch_handler(sim, tables, threshold=0.5)
     handle(batch_df(spark, [(2, t0 + dt.timedelta(seconds=5), "7|20|4.0|5"), (1, t0, "7|10|4.0|1")]), 0)
-    cur = recommender.current_recs(spark, tables.recs_path).collect()
+    cur = recommender.current_recs(spark, tables.recs).collect()
     assert [(r["uid"], [x["mid"] for x in r["recs"]]) for r in cur] == [(7, [21])]
 
 
@@ -54,13 +54,13 @@ def test_restart_from_checkpoint_changes_nothing(spark, tmp_root):
         q = recommender.start_recommender(spark, src, sim, tables, f"{tmp_root}/ckpt", available_now=True,
                                           threshold=0.5)
         q.awaitTermination()
-        return sorted(map(tuple, spark.read.parquet(tables.recs_path).collect()), key=str)
+        return sorted(map(tuple, tables.recs.read(spark).collect()), key=str)
 
     first = run()
     assert run() == first                      # restart: no new input, nothing re-processed
     batch_df(spark, [(2, t0 + dt.timedelta(seconds=3), "8|11|2.0|4")]).write.parquet(f"{tmp_root}/in/b")
     after = run()                              # only the new file is processed
-    cur = {r["uid"]: [x["mid"] for x in r["recs"]] for r in recommender.current_recs(spark, tables.recs_path).collect()}
+    cur = {r["uid"]: [x["mid"] for x in r["recs"]] for r in recommender.current_recs(spark, tables.recs).collect()}
     assert cur == {7: [11], 8: [10]} and len(after) == len(first) + 1
 
 
@@ -78,9 +78,9 @@ def test_late_and_duplicate_messages(spark, tmp_root):
     src = sources.message_stream(spark, "parquet", f"{tmp_root}/in/*/*.parquet", {"maxFilesPerTrigger": "1"})
     q = recommender.start_recommender(spark, src, sim, tables, f"{tmp_root}/ckpt", available_now=True, threshold=0.5)
     q.awaitTermination()
-    assert {r["event_id"] for r in spark.read.parquet(tables.log_path).collect()} == {1, 2}  # late one kept
+    assert {r["event_id"] for r in tables.log.read(spark).collect()} == {1, 2}  # late one kept
     cur = {r["uid"]: [(x["mid"], x["score"]) for x in r["recs"]]
-           for r in recommender.current_recs(spark, tables.recs_path).collect()}
+           for r in recommender.current_recs(spark, tables.recs).collect()}
     # trigger stays the newest event (item 20); 11 scores 0.8*5.0 = 4.0 from the late rating;
     # 21 scores 0.9*4.0 = 3.6 -- event 1 counted once (twice would add log10(2))
     assert cur == {7: [(11, 4.0), (21, 3.6)]}
@@ -99,14 +99,14 @@ def test_stream_result_independent_of_arrival_order(spark, tmp_root):
     # newest slice first: every file arrives after the events it precedes in time
     for i, cond in enumerate([F.col("ts") >= cut2, (F.col("ts") >= cut1) & (F.col("ts") < cut2), F.col("ts") < cut1]):
         msgs.where(cond).coalesce(1).write.parquet(f"{tmp_root}/in/s{i}")
-    sim = catalog._ranked_matrix(spark, d)
+    sim, cut = catalog._ranked_lists(spark, d)
     t = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
     src = sources.message_stream(spark, "parquet", f"{tmp_root}/in/*/*.parquet", {"maxFilesPerTrigger": "1"})
     q = recommender.start_recommender(spark, src, sim, t, f"{tmp_root}/ckpt", available_now=True,
-                                      threshold=catalog.REALTIME_SCORE_THRESHOLD)
+                                      threshold=catalog.REALTIME_SCORE_THRESHOLD, vectors=cut.vectors, cut=cut)
     q.awaitTermination()
     assert len(q.recentProgress) == 3
-    stream = {tuple(r) for r in tables.explode_recs(recommender.current_recs(spark, t.recs_path), "uid").collect()}
+    stream = {tuple(r) for r in tables.explode_recs(recommender.current_recs(spark, t.recs), "uid").collect()}
     batch = {tuple(r) for r in catalog.realtime_scores(spark, d).collect()}
     assert stream == batch and len(batch) > 0
 
@@ -141,12 +141,12 @@ def test_second_checkpoint_loses_nothing(spark, tmp_root):
     _start(spark, tmp_root, tables, sim, f"{tmp_root}/ckpt1")
     batch_df(spark, [(3, t0, "7|11|4.0|2")]).write.parquet(f"{tmp_root}/in/b")
     _start(spark, tmp_root, tables, sim, f"{tmp_root}/ckpt2")     # reads both files as batch 0 of a new run
-    log = spark.read.parquet(tables.log_path)
+    log = tables.log.read(spark)
     assert sorted((r.run_no, r.event_id) for r in log.collect()) == [(0, 1), (0, 2), (1, 1), (1, 2), (1, 3)]
-    cur = {r.uid: [x.mid for x in r.recs] for r in recommender.current_recs(spark, tables.recs_path).collect()}
+    cur = {r.uid: [x.mid for x in r.recs] for r in recommender.current_recs(spark, tables.recs).collect()}
     assert cur == {7: [12], 8: [11]}          # 7 rated 10 in the first run too, so only 12 is new to it
     _start(spark, tmp_root, tables, sim, f"{tmp_root}/ckpt1")     # back to the first run: it keeps its number
-    assert {r.run_no for r in spark.read.parquet(tables.log_path).collect()} == {0, 1}
+    assert {r.run_no for r in tables.log.read(spark).collect()} == {0, 1}
 
 
 def test_all_rejected_stream_has_no_recs(spark, tmp_root):
@@ -155,18 +155,100 @@ def test_all_rejected_stream_has_no_recs(spark, tmp_root):
     tables = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
     batch_df(spark, [(1, dt.datetime(2024, 1, 1), "bad")]).write.parquet(f"{tmp_root}/in/a")
     _start(spark, tmp_root, tables, sim, f"{tmp_root}/ckpt")
-    assert recommender.current_recs(spark, tables.recs_path).count() == 0
-    assert spark.read.parquet(tables.rejects_path).count() == 1
+    assert recommender.current_recs(spark, tables.recs).count() == 0
+    assert tables.rejects.read(spark).count() == 1
 
 
-def test_history_scan_reads_only_the_users_parts(spark, tmp_root):
-    import datetime as dt
+def scanned_rows(df):
+    """(rows of the result, rows that its file scans gave)."""
+    n = len(df.collect())
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    leaves, total = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        metric = leaves.apply(i).metrics().get("numOutputRows")
+        total += metric.get().value() if metric.isDefined() else 0
+    return n, total
+
+
+def test_a_batch_of_ten_users_skips_most_of_the_history(spark, tmp_root):
     from pyspark.sql import functions as F
+    from cinerank.config import TableStore
+    from cinerank.sources import tables
+    from cinerank.streaming.levels import Levels
+    rows = spark.range(400_000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), F.pmod(F.xxhash64("id"), F.lit(20_000)).cast("int").alias("uid"),
+        (F.col("id") % 100).cast("int").alias("mid"), F.lit(3.0).alias("score"), F.col("id").cast("int").alias("timestamp"))
+    users = spark.createDataFrame([(i * 1999,) for i in range(10)], "uid int")
+    # the log: four batches merged into one segment; the base ratings
+    log = Levels(f"{tmp_root}/log", recommender.LOG_SCHEMA, key="uid", fanout=4)
+    for b in range(5):
+        log.write_batch(rows.where(F.col("event_id") % 5 == b), 0, b)
+    assert log.compact(spark, 0, 4) == 1
+    tail = rows.where(F.col("event_id") % 5 == 4).count()
+    store = TableStore(f"{tmp_root}/tables")
+    tables.write_by_key(rows.select("uid", "mid", "score", "timestamp"), "RatingByUser", store, "uid")
+    for df, unmerged in ((log.read(spark), tail), (tables.read_table(spark, "RatingByUser", store), 0)):
+        want = df.join(users, "uid", "left_semi").count()
+        n, scanned = scanned_rows(tables.of_keys(df, users, "uid"))
+        assert n == want > 100 and n <= scanned <= unmerged + 11 * 4096      # of 320,000 and 400,000 laid out by user
+        assert tables.of_keys(df, users, "uid", most=5).count() == want      # more keys than may be listed: a join
+
+
+def test_any_number_of_users_gives_the_same_recs(spark, tmp_root):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    sim = spark.createDataFrame([(10, 11, 0.9), (11, 10, 0.9), (12, 11, 0.9), (11, 12, 0.9)], "mid int, rec_mid int, score double")
+    base = spark.createDataFrame([(-u, t0, u, 12, 4.0, 0) for u in range(40)], "event_id long, ts timestamp, uid int, mid int, score double, `timestamp` int")
+    rows = [(u, t0, f"{u}|11|4.0|{u + 1}") for u in range(40)]
+    got = []
+    for most in (1, 100):                       # joined, listed
+        tables = recommender.StreamTables(*(f"{tmp_root}/{most}/{n}" for n in ("log", "recs", "rej")))
+        recommender.make_batch_handler(sim, tables, base, threshold=0.5, point_users=most)(batch_df(spark, rows), 0)
+        got.append({r["uid"]: [x["mid"] for x in r["recs"]] for r in recommender.current_recs(spark, tables.recs).collect()})
+    assert got[0] == got[1] == {u: [10] for u in range(40)}      # 12 is rated in the base of every user
+
+
+def test_a_collision_of_event_ids_loses_no_rating(spark, tmp_root):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    sim = spark.createDataFrame([(10, 11, 0.9), (11, 10, 0.9)], "mid int, rec_mid int, score double")
     tables = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
+    recommender.make_batch_handler(sim, tables, threshold=0.5)(batch_df(spark, [(1, t0, "7|10|4.0|1"), (1, t0, "8|11|4.0|1")]), 0)
+    cur = {r["uid"]: [x["mid"] for x in r["recs"]] for r in recommender.current_recs(spark, tables.recs).collect()}
+    assert cur == {7: [11], 8: [10]}
+
+
+def test_merging_while_the_stream_runs_changes_no_result(spark, tmp_root):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    sim = spark.createDataFrame([(i, (i + s) % 6, 0.9 - s / 10) for i in range(6) for s in (1, 2, 3)], "mid int, rec_mid int, score double")
+    got = []
+    for fanout in (2, 100):
+        tables = recommender.StreamTables(*(f"{tmp_root}/{fanout}/{n}" for n in ("log", "recs", "rej")), fanout=fanout, retain_seconds=0)
+        handle = recommender.make_batch_handler(sim, tables, threshold=0.5)
+        for b in range(7):
+            rows = [(b, t0, f"{b % 3}|{b % 6}|{b % 5 + 1}.0|{b}"), (100 + b, t0, "bad")]
+            handle(batch_df(spark, rows), b)
+            if b == 4:
+                handle(batch_df(spark, rows), b)            # a retry of the newest batch
+        got.append(sorted((r["uid"], [tuple(x) for x in r["recs"]]) for r in recommender.current_recs(spark, tables.recs).collect()))
+        assert tables.log.read(spark).count() == 7 and tables.rejects.read(spark).count() == 7
+        p = tables.progress.read(spark)
+        assert p.count() == 7 and p.selectExpr("sum(n_messages)", "sum(n_rejected)").first()[:] == (14, 7)
+    assert got[0] == got[1] and len(got[0]) == 3
+
+
+def test_a_backlog_arrives_in_bounded_batches(spark, tmp_root):
+    import datetime as dt
+    from cinerank.streaming import sources
     sim = spark.createDataFrame([(10, 11, 0.9)], "mid int, rec_mid int, score double")
-    rows = [(i, dt.datetime(2024, 1, 1), f"{i}|10|4.0|{i}") for i in range(200)]
-    recommender.make_batch_handler(sim, tables)(batch_df(spark, rows), 0)
-    scan = recommender._read_log(spark, tables.log_path).where(F.col("uid_part").isin([3]))
-    plan = scan._jdf.queryExecution().executedPlan().toString()
-    assert "uid_part" in plan.split("PartitionFilters:")[1].split("]")[0]
-    assert 0 < scan.count() < 200
+    tables = recommender.StreamTables(f"{tmp_root}/log", f"{tmp_root}/recs", f"{tmp_root}/rej")
+    rows = [(i, dt.datetime(2024, 1, 1), f"{i}|10|4.0|1") for i in range(150)]
+    batch_df(spark, rows).repartition(150).write.option("maxRecordsPerFile", 1).parquet(f"{tmp_root}/in/a")
+    src = sources.message_stream(spark, "parquet", f"{tmp_root}/in/*/*.parquet")      # no limit asked for
+    recommender.start_recommender(spark, src, sim, tables, f"{tmp_root}/ckpt", available_now=True).awaitTermination()
+    sizes = [r["n_messages"] for r in tables.progress.read(spark).collect()]
+    most = int(sources.LIMITS["files"]["maxFilesPerTrigger"])
+    assert sum(sizes) == 150 and len(sizes) > 1 and max(sizes) <= most
