@@ -115,11 +115,11 @@ def parsed(path: str) -> list[tuple[int, bytes]]:
 
 # ------------------------------------------------------------------ tasks
 def _build(most: int):
-    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        leaves, n_tree = list(rows.sort_values("at", kind="stable")["digest"]), int(rows["n_tree"].iloc[0])
-        height = height_of(n_tree, most)
+    def build(rows: pd.DataFrame, about: pd.DataFrame) -> pd.DataFrame:
+        leaves, info = list(rows.sort_values("at", kind="stable")["digest"]), about.iloc[0]
+        height = height_of(int(info["n_tree"]), most)
         nodes = build_block(leaves, height)
-        return pd.DataFrame({"tree": [key[0]], "block": [key[1]], "n_tree": [n_tree], "n": [len(leaves)], "height": [height],
+        return pd.DataFrame({"tree": [info["tree"]], "block": [info["block"]], "n_tree": [info["n_tree"]], "n": [len(leaves)], "height": [height],
                              "nodes": [nodes.tobytes()], "root": [nodes[0].tobytes()]})
     return build
 
@@ -154,15 +154,17 @@ def _verify(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
 # ------------------------------------------------------------------ forest
 def forest(entries: DataFrame, height: int) -> list[tuple[DataFrame, DataFrame]]:
     """Tiers of all trees of ``entries`` (tree, at, digest, more): for each tier its entries,
-    with block and n_tree, and its written blocks (BLOCK_SCHEMA) of at most ``height`` edges.
+    with block, and its written blocks (BLOCK_SCHEMA) of at most ``height`` edges.
     A tree with more than one block goes on in the next tier, the block roots being its
     entries there."""
     tiers, block = [], ARITY ** height
     while True:
-        sizes = entries.groupBy("tree").agg((F.max("at") + 1).alias("n_tree"))
-        placed = materialize(entries.withColumn("block", F.expr(f"at div {block}")).join(sizes, "tree"), "merkle-entries")
-        leaves = dealt_by(placed.select("tree", "block", "at", "digest", "n_tree"), "tree", "block")
-        blocks = materialize(leaves.groupBy("tree", "block").applyInPandas(_build(height), BLOCK_SCHEMA), "merkle-blocks")
+        placed = materialize(entries.withColumn("block", F.expr(f"at div {block}")), "merkle-entries")
+        # the size of a tree joins its blocks, not its entries: a hot source is few blocks
+        counts = placed.groupBy("tree", "block").agg(F.count(F.lit(1)).alias("n"))
+        sizes = counts.groupBy("tree").agg(F.sum("n").alias("n_tree"))
+        about = counts.join(sizes, "tree").select("tree", "block", "n_tree")
+        blocks = materialize(_meet(placed.select("tree", "block", "at", "digest"), about, _build(height), BLOCK_SCHEMA), "merkle-blocks")
         tiers.append((placed, blocks))
         entries = blocks.filter(F.col("n_tree") > block).select(
             "tree", F.col("block").alias("at"), F.col("root").alias("digest"), F.lit(None).cast("string").alias("name"))
