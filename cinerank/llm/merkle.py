@@ -161,9 +161,9 @@ def forest(entries: DataFrame, height: int) -> list[tuple[DataFrame, DataFrame]]
     while True:
         placed = materialize(entries.withColumn("block", F.expr(f"at div {block}")), "merkle-entries")
         # the size of a tree joins its blocks, not its entries: a hot source is few blocks
-        counts = placed.groupBy("tree", "block").agg(F.count(F.lit(1)).alias("n"))
+        counts = materialize(placed.groupBy("tree", "block").agg(F.count(F.lit(1)).alias("n")), "merkle-counts")
         sizes = counts.groupBy("tree").agg(F.sum("n").alias("n_tree"))
-        about = counts.join(sizes, "tree").select("tree", "block", "n_tree")
+        about = materialize(counts.join(sizes, "tree").select("tree", "block", "n_tree"), "merkle-sizes")
         blocks = materialize(_meet(placed.select("tree", "block", "at", "digest"), about, _build(height), BLOCK_SCHEMA), "merkle-blocks")
         tiers.append((placed, blocks))
         entries = blocks.filter(F.col("n_tree") > block).select(

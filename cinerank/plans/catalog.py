@@ -158,9 +158,9 @@ def _ranked_lists(spark, d) -> tuple[DataFrame, realtime.ListCut]:
     """The ranked item-similarity lists the real-time path reads (``mid, rank, rec_mid,
     score``), cut to REALTIME_LIST_K entries, and what longer lists are completed from."""
     vectors = td.item_vectors(spark, d)
-    lists = similarity.dense_similarity(vectors, metric="cosine", min_score=REALTIME_MATRIX_THRESHOLD, k=REALTIME_LIST_K)
-    blocks = materialize(similarity.item_blocks(vectors), "item-blocks")
-    return materialize(lists, "item-lists"), realtime.ListCut(REALTIME_LIST_K, REALTIME_MATRIX_THRESHOLD, vectors, blocks)
+    lists = materialize(similarity.dense_similarity(vectors, metric="cosine", min_score=REALTIME_MATRIX_THRESHOLD, k=REALTIME_LIST_K),
+                        "item-lists")
+    return lists, realtime.list_cut(lists, REALTIME_LIST_K, REALTIME_MATRIX_THRESHOLD, vectors, materialize)
 
 
 def recent_ratings(spark, d):
@@ -172,7 +172,7 @@ def candidate_items(spark, d):
     triggers = realtime.latest_per_user(ev).select("uid", "mid")
     lists, cut = _ranked_lists(spark, d)
     cands = realtime.candidate_items(triggers, lists, ev, config.CANDIDATES_K)
-    return realtime.completed_candidates(cands, triggers, lists, ev, cut, config.CANDIDATES_K)
+    return realtime.completed_candidates(cands, triggers, ev, cut, config.CANDIDATES_K)
 
 
 def realtime_scores(spark, d):
