@@ -28,9 +28,9 @@ found AS ({_spans(0, ASSIGN, 2, 12)}
   UNION ALL {_spans(2, '[0-9a-f]+', 0, 16)}
   UNION ALL SELECT * FROM ({_spans(3, '[A-Za-z0-9+/_=-]+', 0, 20)})
     WHERE regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[0-9]')),
-owners AS (SELECT v, count(DISTINCT coalesce('s' || source, 'n')) AS n FROM found JOIN (
-    SELECT sha256(coalesce(text, '')) AS k, source FROM documents) USING (k) GROUP BY v),
-judged AS (SELECT found.*, n <= 2 AS live FROM found JOIN owners USING (v)),
+owners AS (SELECT v, count(DISTINCT owner) AS n, count(DISTINCT owner || chr(1) || repo) AS repos FROM found JOIN (
+    SELECT sha256(coalesce(text, '')) AS k, coalesce('s' || source, 'n') AS owner, coalesce('l' || lang, 'n') AS repo FROM documents) USING (k) GROUP BY v),
+judged AS (SELECT found.*, n <= 2 AND repos <= 4 AS live FROM found JOIN owners USING (v)),
 word(kind, w) AS (VALUES (0, 'assign'), (1, 'access'), (2, 'hex'), (3, 'owned')),
 per AS (SELECT k,
     count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,

@@ -10,6 +10,7 @@ Only built-in DataFrame functions run here.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,28 +27,53 @@ BASE_KINDS = (
 )
 OWNED = ("owned", r"[A-Za-z0-9+/_=-]{20,}+", 0, 20)
 KINDS = tuple(k[0] for k in BASE_KINDS) + (OWNED[0],)
-MAX_LIVE_OWNERS = 2
+MAX_LIVE_OWNERS = 2      # a live value has at most so many owners
+MAX_LIVE_REPOS = 4       # and lies in at most so many repositories, of all owners together
+RUN = 64                 # matches whose positions are summed up one after the other
 SPAN = "struct<start:bigint,kind:int,end:bigint,hash:string>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _runs(parts: Column, run: Callable[[Column, Column], Column]) -> Column:
+    """``run(its number from 0, its parts)`` for every run of RUN consecutive parts."""
+    last = F.greatest(F.ceil(F.size(parts) / RUN).cast("int") - 1, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: run(i, F.slice(parts, i * RUN + 1, F.lit(RUN))))
+
+
 def spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
     """Array of (start, kind, end, hash) of the leftmost non-overlapping matches whose
     value has ``least`` characters; code points, end exclusive, whole match; ``hash``
-    is the value's digest.  Positions come from the pieces between the matches."""
+    is the value's digest.
+
+    Positions are running sums of the lengths of the pieces between the matches and of the
+    matches.  An array grows by copying, so the sums run within runs of RUN matches, after
+    one pass for what each run adds: work grows in proportion to the matches."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("match"), values.alias("value"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("match"), values.alias("value"))
+    parts = F.transform(zipped, lambda p: F.struct(
+        F.length(p["gap"]).cast("bigint").alias("gap"), F.coalesce(F.length(p["match"]), F.lit(0)).cast("bigint").alias("match"),
+        F.when(F.length(p["value"]) >= least, F.sha2(p["value"], 256)).alias("hash")))
+    zero, longs = F.lit(0).cast("bigint"), F.array().cast("array<bigint>")
+    none = F.array().cast(f"array<{SPAN}>")
 
     def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + F.length(p["gap"])
-        end = start + F.length(p["match"])
-        found = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-                                 F.sha2(p["value"], 256).alias("hash")))
-        return F.struct(F.coalesce(end, start).alias("at"),
-                        F.when(F.length(p["value"]) >= least, F.concat(acc["out"], found)).otherwise(acc["out"]).alias("out"))
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(parts, zero, step, lambda a: a["out"])).otherwise(
-        F.array().cast(f"array<{SPAN}>"))
+        start = acc["at"] + p["gap"]
+        end = start + p["match"]
+        found = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["hash"].alias("hash")))
+        return F.struct(end.alias("at"), F.when(p["hash"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], found)).alias("out"))
+
+    def placed(p: Column) -> Column:
+        lengths = _runs(p, lambda _, run: F.aggregate(run, zero, lambda s, x: s + x["gap"] + x["match"]))
+        starts = F.aggregate(lengths, F.struct(zero.alias("at"), longs.alias("out")), lambda a, x: F.struct(
+            (a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        return let(starts, lambda at: F.flatten(_runs(p, lambda i, run: F.aggregate(
+            run, F.struct(F.get(at, i).alias("at"), none.alias("out")), step, lambda a: a["out"]))))
+    return F.when(F.regexp_like(text, F.lit(pattern)), let(parts, placed)).otherwise(none)
 
 
 def live_looking(text: Column, found: Column) -> Column:
@@ -91,13 +117,14 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "lang",
-                 keep: tuple[str, ...] = ("doc_id",), max_live_owners: int = MAX_LIVE_OWNERS) -> DataFrame:
+                 keep: tuple[str, ...] = ("doc_id",), max_live_owners: int = MAX_LIVE_OWNERS,
+                 max_live_repos: int = MAX_LIVE_REPOS) -> DataFrame:
     """One row per row of ``docs``: ``keep`` columns, ``base`` (spans of the base kinds),
     ``all_spans`` (these and the owner-specific ones the method adds) and ``verdicts``
     (for each value found in the text: n_owners, n_repos, live).
 
-    * A value is live when at most ``max_live_owners`` owners have it, else a widely
-      copied example.  Base spans stay whatever the verdict; an ``owned`` span needs a
+    * A value is live when at most ``max_live_owners`` owners have it, in at most
+      ``max_live_repos`` repositories, else a widely copied example.  Base spans stay whatever the verdict; an ``owned`` span needs a
       live value.  ``owned`` spans may overlap base ones.
     * Null or empty text: no spans.  Equal texts share their spans: occurrences meet the
       ownership counts once per distinct text, and the join back is a plain equi-join
@@ -107,7 +134,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "sour
     occurrences = found.select("text_key", F.explode(F.concat("base", "extra")).alias("s")).distinct()
     judged = (occurrences.join(ownership(found), F.col("s.hash") == F.col("hash"))
               .select("text_key", F.struct("s.start", "s.kind", "s.end", "s.hash").alias("s"), "n_owners", "n_repos",
-                      (F.col("n_owners") <= max_live_owners).alias("live")))
+                      ((F.col("n_owners") <= max_live_owners) & (F.col("n_repos") <= max_live_repos)).alias("live")))
     owned = len(BASE_KINDS)
     per_text = materialize(judged.groupBy("text_key").agg(
         F.collect_list(F.when((F.col("s.kind") == owned) & F.col("live"), F.col("s"))).alias("added"),

@@ -63,3 +63,28 @@ def test_edge_rows(spark, docs_of):
     got = rows_of(secrets.scan_secrets(docs_of(rows)))
     assert [r.base for r in got] == ["", "", ",".join(base(long)), ",".join(base(long)), "", "access:0:20"]
     assert secrets.scan_secrets(docs_of([])).count() == 0
+
+
+def test_copies_through_repositories_are_not_live(spark):
+    """A value of one owner that lies in many of its repositories is an example."""
+    few, many = "Hq7Wm3Xc9Zv2Bn6Lk1Pd4", "Zx9Kq2Lm8Rt5Vw1Yp3Bn7"
+    rows = [(i, f"see {many}", "owner", f"repo{i}") for i in range(5)] + [(10 + i, f"see {few}", "owner", f"repo{i}") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: (r.spans, [(v["n_owners"], v["n_repos"], v["live"]) for v in r.verdicts]) for r in rows_of(secrets.scan_secrets(df))}
+    assert all(got[i] == ("", [(1, 5, False)]) for i in range(5))
+    assert all(got[10 + i] == ("owned:4:25", [(1, 4, True)]) for i in range(4))
+
+
+def test_very_many_matches_in_one_text(docs_of):
+    import time
+    text = " ".join(f"{i:016x}" if i % 3 else f"token=abc{i}" for i in range(200_000))
+    start = time.time()
+    (r,) = rows_of(secrets.scan_secrets(docs_of([(1, text)])))
+    assert r.base == ",".join(base(text)) and r.base.count("hex") > 100_000
+    assert time.time() - start < 60
+
+
+def test_matches_around_the_run_length(docs_of):
+    texts = ["0123456789abcdef " * n + "é" for n in (1, secrets.RUN - 1, secrets.RUN, secrets.RUN + 1, 3 * secrets.RUN)]
+    got = rows_of(secrets.scan_secrets(docs_of(list(enumerate(texts)))))
+    assert [r.base for r in got] == [",".join(base(t)) for t in texts]
