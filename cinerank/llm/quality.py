@@ -86,7 +86,8 @@ class Model:
         return np.clip((x - self.mean) / self.scale, -CLIP, CLIP)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        return sigmoid(self.scaled(x) @ self.weights + self.bias)
+        # summed row by row, so that a score does not depend on the rows it is worked out with
+        return sigmoid((self.scaled(x) * self.weights).sum(1) + self.bias)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -230,7 +231,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Train on the folds that are not held out.  Trusted positives are documents that a
     label row marks 1 and none marks 0; unlabelled are the documents of those folds,
     whatever their label.  At most ``sample`` rows of each are used, chosen by id hash;
-    they meet in one task, which returns the weights.  The prior's share of unlabelled rows
+    they meet in one task, which returns the weights; of rows that share an id the text of
+    the least digest is taken.  The prior's share of unlabelled rows
     is counted over all documents of those folds."""
     bounded_batches(docs.sparkSession)
     usable = fold("id", FOLDS) != HELD_OUT
@@ -241,7 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = bounded_sample(known, F.col("id"), sample, seed)
     others = bounded_sample(text.select("id"), F.col("id"), sample, seed + 1).distinct()
     wanted = chosen.select("id", F.lit(True).alias("positive")).unionByName(others.select("id", F.lit(False).alias("positive")))
-    rows = text.join(F.broadcast(wanted), "id").dropDuplicates(["id", "positive"])      # at most 2 * sample ids
+    rows = (text.join(F.broadcast(wanted), "id").groupBy("id", "positive")              # at most 2 * sample ids
+            .agg(F.min_by("text", F.sha2("text", 256)).alias("text")))
     samples = materialize(rows.mapInPandas(_featurise, "positive boolean, x binary"), "quality-samples")
     fitted = samples.repartition(1).mapInPandas(_fit(corpus_prior(text, samples)), "model binary").first()
     if fitted is None:
@@ -271,8 +274,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     * Null text counts as empty; empty texts are scored like any other.
     * A null id belongs to no fold: held_out null, never trained on.  Repeated rows are
-      scored one by one; labels that contradict each other are not trusted.
-    * No labels: every score is 0.5.  Empty table: empty result.  Label, lang, source and
+      scored one by one; labels that contradict each other are not trusted.  Scores do not
+      depend on how rows are partitioned.
+    * No labels: every score is 0.5.  Fewer than 8 positives or 8 unlabelled rows: too few to
+      estimate the class prior, which is then taken as 0.5.  Empty table: empty result.  Label, lang, source and
       id are never inputs of a score; other columns are ignored."""
     model = fit(docs, labels, id_col, text_col, sample=sample)
     own = docs.select(id_col, F.col(text_col).alias("text__"))

@@ -15,22 +15,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinerank.config import materialize
 from cinerank.llm.common import FILTER_BITS, bounded_batches, fold, key_bitmap, maybe_in, text_of
 from cinerank.llm.sampling import bounded_sample
 
 FOLDS, HELD_OUT = 3, 1
 CUT = 0.7
-SIZES = (4, 5)           # characters (bytes of the lower-cased text) of an n-gram
+SIZES = (4, 5)           # characters (code points of the lower-cased text) of an n-gram
 BITS = 18
 DIMS = 1 << BITS
 BLOCK = 4_096            # counters of one row of partial counts
 PARTS = 64               # partial sums meet in so many groups per block first
 SMOOTH = 1.0
 RELIABLE = 4.0           # least distance of the log odds from equal, in standard errors
-SAMPLE = 3_000           # labelled documents of each class used to fit the weights
+SAMPLE = 3_000           # labelled documents of each class used to fit the weights,
+GRAMS = 1_500_000        # as far as they hold so many n-grams together (at least one document)
 EPOCHS, STEP, SHRINK = 300, 0.05, 1e-4
 SLICE = 256              # documents whose n-grams are held at a time
 MODEL_SEED = 47
@@ -38,13 +40,13 @@ MODEL_SEED = 47
 
 def hashed(text: str) -> np.ndarray:
     """Hashed n-grams of a whole text with a space at either end, in order."""
-    raw = np.frombuffer((" " + text.lower() + " ").encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint64)
+    raw = np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     found = [np.empty(0, np.int32)]
     for n in SIZES:
         if len(raw) >= n:
             h = np.zeros(len(raw) - n + 1, np.uint64)
             for i in range(n):
-                h = h * np.uint64(257) + raw[i:len(raw) - n + 1 + i]
+                h = h * np.uint64(1_114_127) + raw[i:len(raw) - n + 1 + i]
             h = (h + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
             found.append((h >> np.uint64(64 - BITS)).astype(np.int32))
     return np.concatenate(found)
@@ -147,11 +149,11 @@ def count_ngrams(rows: DataFrame) -> tuple[np.ndarray, tuple[int, int]]:
 
 def _fit(ratios: np.ndarray, used: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, toxic = [], []
+        found = []
         for rows in batches:
-            grams += [np.frombuffer(g, np.int32) for g in rows["grams"]]
-            toxic += rows["toxic"].tolist()
-        m = train(grams, np.array(toxic, bool), ratios, used=used)
+            found += zip(rows["grams"], rows["toxic"])
+        found.sort()                    # an order of their own, so that reruns sum alike however rows arrive
+        m = train([np.frombuffer(g, np.int32) for g, _ in found], np.array([t for _, t in found], bool), ratios, used=used)
         yield pd.DataFrame({"model": [m.weights.tobytes()], "bias": [m.bias]})
     return run
 
@@ -161,15 +163,16 @@ def _gram_rows(used: np.ndarray):
         for rows in batches:
             for i in range(0, len(rows), SLICE):
                 part = rows.iloc[i:i + SLICE]
-                yield pd.DataFrame({"toxic": part["toxic"], "grams": [ngrams(t, used).tobytes() for t in part["text"]]})
+                yield pd.DataFrame({"id": part["id"], "toxic": part["toxic"], "grams": [ngrams(t, used).tobytes() for t in part["text"]]})
     return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        sample: int = SAMPLE, seed: int = MODEL_SEED) -> Model:
+        sample: int = SAMPLE, grams: int = GRAMS, seed: int = MODEL_SEED) -> Model:
     """Train on the folds that are not held out: log-count ratios on every labelled row,
-    coefficients on at most ``sample`` rows of each class, chosen by id hash, in one task.
-    A document with contradicting labels counts as toxic."""
+    coefficients on at most ``sample`` documents and ``grams`` n-grams of each class, chosen by
+    id hash, in one task.  A document with contradicting labels counts as toxic.  Of rows that
+    share an id all are counted, and the text of the least digest is fitted."""
     bounded_batches(docs.sparkSession)
     usable = fold("id", FOLDS) != HELD_OUT
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(usable & F.col("label").isNotNull())
@@ -184,8 +187,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = text.select("id").distinct()
     parts = [bounded_sample(known.filter(f).join(ids, "id"), F.col("id"), sample, seed) for f in ("toxic", "not toxic")]
     wanted = parts[0].unionByName(parts[1])
-    chosen = text.join(F.broadcast(wanted), "id").dropDuplicates(["id"])      # at most 2 * sample ids
-    fitted = (chosen.mapInPandas(_gram_rows(used), "toxic boolean, grams binary").repartition(1)
+    chosen = (text.join(F.broadcast(wanted), "id").groupBy("id", "toxic")           # at most 2 * sample ids
+              .agg(F.min_by("text", F.sha2("text", 256)).alias("text")))
+    held = materialize(chosen.mapInPandas(_gram_rows(used), "id long, toxic boolean, grams binary"), "toxicity-grams")
+    bounded = (held.select("id", "toxic", F.octet_length("grams").alias("size"))
+               .withColumn("before", F.sum("size").over(Window.partitionBy("toxic").orderBy(F.xxhash64("id", F.lit(seed)), "id")) - F.col("size"))
+               .filter(F.col("before") < 4 * grams).select("id"))
+    fitted = (held.join(F.broadcast(bounded), "id").select("toxic", "grams").repartition(1)
               .mapInPandas(_fit(ratios, used), "model binary, bias double").first())
     if fitted is None:
         return train([], np.empty(0, bool), ratios)
@@ -198,7 +206,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     * Null text counts as empty; empty texts are scored like any other.
     * A null id belongs to no fold: held_out null, never trained on.  Repeated rows are
-      scored one by one.
+      scored one by one; scores do not depend on how rows are partitioned.
     * No usable labels: every score is 0.5; labels of one class only: a constant score on
       that class's side.  Empty table: empty result.  Label, lang, source and id are never
       inputs of a score; other columns are ignored."""
