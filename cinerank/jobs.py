@@ -206,7 +206,7 @@ class Followed:
         vectors = self._kept(tables.read_table(self.spark, factors, self.store)) if factors else None
         sim = self._kept(similarity_long(self.spark, self.store, self.sim_table))
         if cut is not None:
-            cut = realtime.list_cut(sim, *cut, vectors, self._kept)
+            cut = realtime.list_cut(sim, *cut, vectors, self._kept(similarity.item_blocks(vectors)), self._kept)
         base = None
         if self.with_base:
             r = tables.read_table(self.spark, RATING_BY_USER, self.store)

@@ -184,7 +184,8 @@ def dense_similarity(vectors: DataFrame, id_col: str = "mid", vec_col: str = "fe
     return rank_within(pairs, ["mid"], by_score("score", "rec_mid"), k).select("mid", "rank", "rec_mid", "score")
 
 
-ITEM_BLOCK = 512      # items of one block of :func:`item_blocks`, asking items of one block of :func:`lists_of`
+ITEM_BLOCK = 4096     # items of one block of :func:`item_blocks`
+ASK_BLOCK = 512       # asking items of one block of :func:`lists_of`
 
 
 def item_blocks(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features") -> DataFrame:
@@ -205,7 +206,7 @@ def _lists_kernel(min_score: float | None, digits: int, chunk: int = 1024):
                     own = np.asarray(q_ids)[s0:s0 + chunk]
                     raw = src[s0:s0 + chunk] @ dst.T
                     raw[own[:, None] == np.asarray(ids)[None, :]] = np.nan      # no self pair
-                    r, c, sc = _select(raw, None, min_score, digits)
+                    r, c, sc = _select(raw, int(bounds[s0:s0 + chunk].max()), min_score, digits)
                     order = np.lexsort((c, -sc, r))                             # ids rise with the column
                     r, c, sc = r[order], c[order], sc[order]
                     keep = np.arange(len(r)) - np.searchsorted(r, r) < bounds[s0 + r]
@@ -219,16 +220,19 @@ def lists_of(asked: DataFrame, vectors: DataFrame, blocks: DataFrame, min_score:
              digits: int = SCORE_DIGITS) -> DataFrame:
     """Ranked lists ``mid, rank, rec_mid, score`` of the items in ``asked`` (``mid, bound``,
     one row each): the top ``bound`` others with cosine above ``min_score``, the same rows as
-    :func:`dense_similarity` gives.  Asking items are dealt into blocks of about ITEM_BLOCK, and
+    :func:`dense_similarity` gives.  Asking items are dealt into blocks of about ASK_BLOCK, and
     each of these goes to every one of ``blocks`` (:func:`item_blocks` of the same vectors) by an
-    equi-join on the block's number: rows hold two blocks, whatever the batch asks for."""
+    equi-join on the block's number: a row holds two blocks, whatever is asked for, and gives
+    at most ``bound`` entries an item."""
+    spark = asked.sparkSession
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
     norm = _normalised(vectors, "mid", "features", "cosine").withColumnRenamed("id", "mid")
-    wanted = asked.agg(F.ceil(F.count(F.lit(1)) / ITEM_BLOCK)).scalar()
+    wanted = asked.agg(F.ceil(F.count(F.lit(1)) / ASK_BLOCK)).scalar()
     q = asked.join(norm, "mid").groupBy(F.pmod(F.xxhash64("mid"), F.greatest(wanted, F.lit(1))).alias("q")).agg(
         F.collect_list(F.struct("mid", "rhs", "bound")).alias("b")).select(
-        F.col("b.mid").alias("q_ids"), F.col("b.rhs").alias("q_vecs"), F.col("b.bound").alias("bounds"))
+        "q", F.col("b.mid").alias("q_ids"), F.col("b.rhs").alias("q_vecs"), F.col("b.bound").alias("bounds"))
     numbers = blocks.agg(F.collect_list("blk")).scalar()
-    pairs = q.select("*", F.explode(numbers).alias("blk")).join(blocks, "blk").drop("blk")
+    pairs = q.select("*", F.explode(numbers).alias("blk")).join(blocks, "blk").repartition(slots, "q", "blk")
     found = pairs.mapInPandas(_lists_kernel(min_score, digits), PAIR_SCHEMA)
     ranked = rank_within(found, ["mid"], by_score("score", "rec_mid"))
     return ranked.join(asked, "mid").where(F.col("rank") <= F.col("bound")).select("mid", "rank", "rec_mid", "score")

@@ -156,11 +156,13 @@ def content_similarity_hashed(spark, d):
 # ---------------------------------------------------------------- real time (batch form)
 def _ranked_lists(spark, d) -> tuple[DataFrame, realtime.ListCut]:
     """The ranked item-similarity lists the real-time path reads (``mid, rank, rec_mid,
-    score``), cut to REALTIME_LIST_K entries, and what longer lists are completed from."""
+    score``), cut to REALTIME_LIST_K entries, and what longer lists are completed from.  Only
+    items that someone rated can trigger, so only they have lists."""
     vectors = td.item_vectors(spark, d)
-    lists = materialize(similarity.dense_similarity(vectors, metric="cosine", min_score=REALTIME_MATRIX_THRESHOLD, k=REALTIME_LIST_K),
-                        "item-lists")
-    return lists, realtime.list_cut(lists, REALTIME_LIST_K, REALTIME_MATRIX_THRESHOLD, vectors, materialize)
+    blocks = materialize(similarity.item_blocks(vectors), "item-blocks")
+    rated = td.rating_events(spark, d).select("mid").distinct().withColumn("bound", F.lit(REALTIME_LIST_K))
+    lists = materialize(similarity.lists_of(rated, vectors, blocks, REALTIME_MATRIX_THRESHOLD), "item-lists")
+    return lists, realtime.list_cut(lists, REALTIME_LIST_K, REALTIME_MATRIX_THRESHOLD, vectors, blocks, materialize)
 
 
 def recent_ratings(spark, d):
