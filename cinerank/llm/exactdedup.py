@@ -1,16 +1,18 @@
 """Exact duplicates through an extendible-hash index on shared files.
 
-* Every text gets a 64-bit directory key, a digest and its length.  Equal (key, digest,
-  length) rows are combined to one chain record inside the map tasks.
+* Every text gets a 64-bit directory key, a digest and its length.
 * The directory starts with one bucket; while a bucket holds more than ``capacity``
   keys it is split by its next key bit (the directory doubles when the split bucket
   already uses all its bits).  It is worked out from a histogram of the leading
   ``max_depth`` key bits, which has at most 2**max_depth entries whatever the input.
-* Owner tasks take contiguous key ranges, sort their chain records and write them to
-  the bucket's files in the shared folder; records of one key lie side by side there.
-* A key with more than one row is a collision chain: the rows' bytes are compared (the
-  aggregate below groups on the text itself).  Rows whose key is alone never move
-  their text; they are kept out by a bitmap of fixed size over the chained keys.
+* Every row is routed to its bucket.  Equal (key, digest, length) rows of a bucket are
+  combined to one chain record, inside the map tasks first; owner tasks take contiguous
+  key ranges, sort their chain records and write them to the bucket's files in the shared
+  folder; records of one key lie side by side there.
+* The index as read back says which keys of a bucket are chains, that is, have more than
+  one row.  Rows of chained keys go to their bucket again, with their text, and their bytes
+  are compared there (the aggregate groups on the text itself).  Rows whose key is
+  alone never move their text; they are kept out by a bitmap of fixed size.
 
 Only built-in DataFrame functions run here.
 """
@@ -53,31 +55,36 @@ def grow_directory(histogram: dict[int, int], depth_of_histogram: int, capacity:
     return sorted(done, key=lambda b: b[0] << (depth_of_histogram - b[1]))
 
 
-def directory(spark: SparkSession, chains: DataFrame, capacity: int, max_depth: int) -> tuple[DataFrame, int]:
-    """(slot, bucket, local_depth) rows and the global depth."""
-    rows = (chains.groupBy(leading_bits(F.col("key"), max_depth).alias("slot"))
-            .agg(F.count(F.lit(1)).alias("n")).collect())       # at most 2**max_depth rows
+def directory(entries: DataFrame, capacity: int, max_depth: int) -> tuple[DataFrame, int]:
+    """(slot, bucket, local_depth) rows and the global depth, from about how many keys have
+    each leading-bits value (a sketch: what lies in a bucket is decided by the key alone)."""
+    rows = (entries.groupBy(leading_bits(F.col("key"), max_depth).alias("slot"))
+            .agg(F.approx_count_distinct("key", 0.03).alias("n")).collect())       # at most 2**max_depth rows
     buckets = grow_directory({r["slot"]: r["n"] for r in rows}, max_depth, capacity)
     depth = max(b[1] for b in buckets)
     slots = [((prefix << (depth - d)) + i, no, d) for no, (prefix, d, _) in enumerate(buckets) for i in range(1 << (depth - d))]
-    return spark.createDataFrame(slots, "slot long, bucket int, local_depth int"), depth
+    return entries.sparkSession.createDataFrame(slots, "slot long, bucket int, local_depth int"), depth
 
 
-def build_index(entries: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Write the index of ``entries`` (id, key, digest, n_bytes) and return it as read
-    back from the shared files: bucket, local_depth, key, digest, n_bytes, rows, chained.
+def routed(rows: DataFrame, slots: DataFrame, depth: int) -> DataFrame:
+    """``rows`` (with ``key``) and the bucket that the directory gives them."""
+    return rows.withColumn("slot", leading_bits(F.col("key"), depth)).join(F.broadcast(slots), "slot").drop("slot")
+
 
-    ``chained`` marks keys that more than one row has."""
+def build_index(entries: DataFrame, slots: DataFrame, depth: int) -> DataFrame:
+    """Write the index of ``entries`` (id, key, digest, n_bytes) and return it as read
+    back from the shared files: bucket, local_depth, key, digest, n_bytes, rows."""
     spark = entries.sparkSession
-    chains = materialize(entries.groupBy("key", "digest", "n_bytes").agg(F.count(F.lit(1)).alias("rows")), "chains")
-    slots, depth = directory(spark, chains, capacity, max_depth)
-    many = chains.groupBy("key").agg(F.sum("rows").alias("total")).filter("total > 1").select("key", F.lit(True).alias("hit"))
-    flagged = chains.join(many, "key", "left").withColumn("chained", F.coalesce("hit", F.lit(False))).drop("hit")
-    placed = flagged.withColumn("slot", leading_bits(F.col("key"), depth)).join(F.broadcast(slots), "slot").drop("slot")
+    records = routed(entries, slots, depth).groupBy("bucket", "local_depth", "key", "digest", "n_bytes").agg(F.count(F.lit(1)).alias("rows"))
     path = scratch_dir(spark, "hash-index")
-    (placed.repartitionByRange(parallelism(spark), "key").sortWithinPartitions("bucket", "key")
+    (records.repartitionByRange(parallelism(spark), "key").sortWithinPartitions("bucket", "key")
      .write.partitionBy("bucket").parquet(path))
-    return spark.read.schema(placed.schema).parquet(path)
+    return spark.read.schema(records.schema).parquet(path)
+
+
+def chained(index: DataFrame) -> DataFrame:
+    """(bucket, key) of the keys that more than one row of their bucket has."""
+    return index.groupBy("bucket", "key").agg(F.sum("rows").alias("total")).filter("total > 1").select("bucket", "key")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -96,10 +103,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     entries = materialize(text.select("id", key_of(F.col("text")).alias("key"), F.sha2("text", 256).alias("digest"),
                                       F.octet_length("text").alias("n_bytes")), "hash-entries")
-    index = build_index(entries, capacity, max_depth)
-    chained = key_bitmap(index.filter("chained"), F.col("key"), FILTER_BITS)
-    compared = maybe_in(text.withColumn("key", key_of(F.col("text"))), F.col("key"), chained, FILTER_BITS)
-    groups = (compared.groupBy("key", "text").agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("n"))
+    slots, depth = directory(entries, capacity, max_depth)
+    bitmap = key_bitmap(chained(build_index(entries, slots, depth)), F.col("key"), FILTER_BITS)
+    compared = routed(maybe_in(text.withColumn("key", key_of(F.col("text"))), F.col("key"), bitmap, FILTER_BITS), slots, depth)
+    groups = (compared.groupBy("bucket", "key", "text").agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("n"))
               .select("key", F.sha2("text", 256).alias("digest"), "keep", "n"))
     joined = entries.join(groups, ["key", "digest"], "left")
     keep = F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep"))

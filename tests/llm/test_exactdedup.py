@@ -54,11 +54,14 @@ def test_index_files_hold_every_key_in_its_bucket(docs_of):
     text = docs_of(random_rows(3)).select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
     entries = text.select(F.col("doc_id").alias("id"), exactdedup.key_of(F.col("t")).alias("key"),
                           F.sha2("t", 256).alias("digest"), F.octet_length("t").alias("n_bytes"))
-    index = exactdedup.build_index(entries, capacity=10)
-    assert index.count() == text.select("t").distinct().count()
+    slots, depth = exactdedup.directory(entries, 10, exactdedup.MAX_DEPTH)
+    index = exactdedup.build_index(entries, slots, depth)
+    assert index.count() == text.select("t").distinct().count() and index.agg(F.sum("rows")).first()[0] == text.count()
+    many = text.groupBy("t").count().filter("count > 1").count()
+    assert exactdedup.chained(index).count() == many > 10
     per = index.groupBy("bucket").agg(F.count("*").alias("n"), F.max("local_depth").alias("d"),
                                       F.countDistinct(F.expr("shiftrightunsigned(key, 64 - local_depth)")).alias("prefixes")).collect()
-    assert all(r.n <= 10 and r.prefixes == 1 for r in per) and len(per) > 10
+    assert all(r.n <= 11 and r.prefixes == 1 for r in per) and len(per) > 10      # the directory goes by a sketch
 
 
 def test_edge_rows(docs_of):
@@ -79,3 +82,10 @@ def test_drop_exact_leaves_one_row_of_each_text(docs_of):
         largest[t or ""] = max(largest.get(t or "", -1), -1 if i is None else i)
     assert all((-1 if r.doc_id is None else r.doc_id) == largest[r.t] for r in got)
     assert exactdedup.drop_exact(df.limit(0)).count() == 0
+
+
+def test_without_the_index_there_are_no_groups(docs_of, monkeypatch):
+    """Chains come from the index as read back: one that holds nothing finds no copies."""
+    real = exactdedup.build_index
+    monkeypatch.setattr(exactdedup, "build_index", lambda *a: real(*a).limit(0))
+    assert {r[2] for r in run(docs_of([(1, "a"), (2, "a"), (3, "b")]))} == {1}
