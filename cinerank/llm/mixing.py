@@ -20,6 +20,7 @@ from pyspark.sql import window as W
 
 from cinerank.config import materialize
 from cinerank.llm.common import FILTER_BITS, WORD, key_bitmap, maybe_in, packed, row_identity, text_of
+from cinerank.llm.ordering import numbered
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
@@ -146,28 +147,32 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """One row per row of ``docs``: id, size, source_size, target, copies, taken.
 
     * size: words of the text (null text: 0); taken = copies * size; copies <= ``most``.
-    * Draws hash the id and ``seed``, groups depend on ids and counts alone: reruns agree
-      on any cluster.  Rows with equal or null ids draw alike but are rounded one by one.
-    * A hot source is dealt over many chunks by hash, and empty texts (which carry no
+    * Draws hash the id and ``seed``, groups depend on ids, sizes and counts alone: reruns
+      agree on any cluster.  Rows with equal or null ids draw alike but are rounded one by one.
+    * A source is dealt into chunks of ``chunk`` rows in hash order of the ids, so no group is
+      larger whatever the source, and however often an id repeats.  Empty texts (which carry no
       words to move) take their source's whole copies only.
     * Sources without words get target 0.  Empty table: empty result; other columns are
       ignored."""
     ided = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                        word_count(text_of(text_col)).alias("size"))
     sizes = materialize(ided, "mix-sizes")
+    # rows that tie in id and size are alike, so their order among themselves does not matter
+    order = sizes.select("*", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")).alias("group"), F.xxhash64("id", F.lit(seed + 1)).alias("hash"),
+                         F.monotonically_increasing_id().alias("tie"))
+    placed = numbered(order, ["group"], ["hash", "id", "size", "tie"])
     goal = materialize(targets(sizes, weights, most), "mix-targets")
     most_docs = goal.agg(F.max("docs")).first()[0] or 0
     levels, groups = 0, -(-most_docs // chunk)
     while groups > 1:
         levels, groups = levels + 1, -(-groups // fan_in)
     per_source = goal.withColumn("rate", F.when(F.col("total") > 0, F.col("target") / F.col("total")).otherwise(0.0))
-    dealt = (sizes.alias("s").join(per_source.alias("g"), F.col("s.source").eqNullSafe(F.col("g.source")))
-             .select("s.id", "s.source", "s.size", "g.docs", "g.rate"))
+    dealt = (placed.alias("s").join(per_source.alias("g"), F.col("s.source").eqNullSafe(F.col("g.source")))
+             .select("s.id", "s.source", "s.size", "s.at", "g.rate"))
     r = F.xxhash64("id", F.lit(seed))
     whole = F.floor(F.col("rate") + EDGE)
-    n_chunks = F.ceil(F.col("docs") / chunk)
     items = dealt.select(F.col("id").cast("string").alias("key"), "source", "size",
-                         F.pmod(F.xxhash64("id", F.lit(seed + 1)), n_chunks).alias("chunk"), r.alias("r"),
+                         F.floor(F.col("at") / chunk).alias("chunk"), r.alias("r"),
                          F.greatest(F.col("rate") - whole, F.lit(0.0)).alias("p"))
     rounded = dependent_rounding(items.filter("size > 0"), levels, seed, fan_in).select("key", "source", "size", "p")
     rounded = rounded.unionByName(items.filter("size = 0").select("key", "source", "size", F.lit(0.0).alias("p")))

@@ -90,3 +90,19 @@ def test_apply_mix_repeats_rows(docs_of):
         want[r.row.split(":")[0]] = want.get(r.row.split(":")[0], 0) + r.copies
     got = {str(r.doc_id): r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert got == {k: v for k, v in want.items() if v}
+
+
+def test_repeated_ids_make_no_group_larger_than_a_chunk(docs_of, monkeypatch):
+    sizes = []
+    real = mixing.dependent_rounding
+
+    def watched(items, *rest):
+        sizes.extend(r["count"] for r in items.groupBy("source", "chunk").count().collect())
+        return real(items, *rest)
+    monkeypatch.setattr(mixing, "dependent_rounding", watched)
+    rows = [(i % 2, "two words", "s") for i in range(700)] + [(None, "a", "s")] * 300 + [(5, "b c", None)] * 40
+    out = mixing.mix(docs_of(rows), chunk=100).collect()
+    assert len(out) == len(rows) and max(sizes) <= 100 and len(sizes) >= 10
+    for size in {r.source_size for r in out}:
+        own = [r for r in out if r.source_size == size]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 2
