@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from cinerank.config import materialize
 from cinerank.llm.common import FILTER_BITS, bounded_batches, key_bitmap, maybe_in, text_of, without
 from cinerank.llm.components import connected_components
+from cinerank.llm.ordering import look_up
 
 BANDS, ROWS = 40, 5
 PERMS = BANDS * ROWS
@@ -181,8 +182,9 @@ def _settle(needed: dict[int, int], percent: int):
 def _clusters(placed: DataFrame) -> DataFrame:
     """(id, cluster) of the members of the larger mixed buckets: buckets that share a member
     belong to one cluster."""
-    centers = placed.groupBy("bucket").agg(F.min("id").alias("center"))
-    return connected_components(placed.join(centers, "bucket").select(F.col("id").alias("a"), F.col("center").alias("b")), "a", "b"
+    centers = placed.groupBy("bucket").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("members"))
+    centered = look_up(placed, centers, "bucket", F.col("members"), placed.count(), "inner")
+    return connected_components(centered.select(F.col("id").alias("a"), F.col("center").alias("b")), "a", "b"
                                 ).withColumnRenamed("component", "cluster").withColumnRenamed("node", "id")
 
 
@@ -244,8 +246,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = materialize(reps.dropDuplicates(["id", "sig"]), "representatives")
 
     bands = _band_rows(reps)
-    shared = bands.groupBy("bucket").agg(F.min("id").alias("center"), F.max("id").alias("top")).filter("center <> top")
-    crowded = materialize(bands.join(shared.select("bucket", "center"), "bucket"), "buckets")
+    shared = materialize(bands.groupBy("bucket").agg(F.min("id").alias("center"), F.max("id").alias("top"), F.count(F.lit(1)).alias("members"))
+                         .filter("center <> top").select("bucket", "center", "members"), "shared-buckets")
+    crowded = materialize(look_up(bands, shared, "bucket", F.col("members"), BANDS * reps.count(), "inner").drop("members"), "buckets")
     needed = least_matches(percent / 100, miss)
     compare = lambda pairs: _attach(pairs, reps, "sig").mapInPandas(
         _compare(needed), "a long, b long, equal long")
@@ -263,11 +266,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stage1 = connected_components(verify(likely).unionByName(repeated), "a", "b")
 
     comps = stage1.withColumnRenamed("node", "id")
-    placed = crowded.select("id", "bucket").join(comps, "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("comp"))
+    placed = materialize(crowded.select("id", "bucket").join(comps, "id", "left").select(
+        "bucket", "id", F.coalesce("component", "id").alias("comp")), "placed")
     mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
              .filter("lo <> hi").select("bucket", "n"))
-    left = materialize(placed.join(mixed, "bucket"), "mixed-buckets")
+    left = materialize(look_up(placed, materialize(mixed, "mixed"), "bucket", F.col("n"), placed.count(), "inner"), "mixed-buckets")
     clusters = materialize(_clusters(left.filter(F.col("n") > SMALL)), "clusters")
     inner = materialize(_settle_clusters(clusters, comps, reps, sets, needed, percent), "cluster-links")
     small = (left.filter(F.col("n") <= SMALL).join(clusters, "id", "left")

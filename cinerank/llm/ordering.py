@@ -37,12 +37,12 @@ def dealt_by(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(slots(rows.sparkSession), *keys)
 
 
-def look_up(rows: DataFrame, values: DataFrame, key: str, copies: Column, total: int) -> DataFrame:
-    """``rows`` left-joined with ``values`` (one row for each ``key``), where ``copies`` says how
-    many of the ``total`` rows have the key.  Fewer than HOT_PARTS keys can hold more than
+def look_up(rows: DataFrame, values: DataFrame, key: str, copies: Column, total: int, how: str = "left") -> DataFrame:
+    """``rows`` joined (left or inner) with ``values`` (one row for each ``key``), where ``copies``
+    says how many of the ``total`` rows have the key.  Fewer than HOT_PARTS keys can hold more than
     1/HOT_PARTS of all rows: those are broadcast, so their rows stay where they are; of
     the others no key can fill a task."""
     hot = copies * F.lit(HOT_PARTS) > F.lit(total)
     few = F.broadcast(values.filter(hot))
     rest = rows.join(F.broadcast(values.filter(hot).select(key)), key, "left_anti")
-    return rows.join(few, key).unionByName(rest.join(values.filter(~hot), key, "left"))
+    return rows.join(few, key).unionByName(rest.join(values.filter(~hot), key, how))
