@@ -74,6 +74,7 @@ def statistics(spark: SparkSession, store: TableStore, genres=config.DEFAULT_GEN
 
 
 LIST_K, LIST_MIN_SCORE = "list_k", "list_min_score"
+DEFAULT_K = 200          # entries of a similarity list unless asked otherwise; None keeps whole lists
 
 
 def write_similarity(ranked: DataFrame, name: str, store: TableStore, k: int | None,
@@ -109,9 +110,10 @@ def list_cut(spark: SparkSession, store: TableStore, name: str) -> tuple[int, fl
 
 
 def offline(spark: SparkSession, store: TableStore, min_score: float = config.SIM_LIST_THRESHOLD,
-            user_k: int = config.USER_RECS_K, item_k: int | None = None, blocks: int = collab.BLOCKS) -> None:
-    """ALS: MovieRecs (every pair above ``min_score``, or the top ``item_k``)
-    and UserRecs (top ``user_k`` per user, nested)."""
+            user_k: int = config.USER_RECS_K, item_k: int | None = DEFAULT_K, blocks: int = collab.BLOCKS) -> None:
+    """ALS: ItemFactors, MovieRecs (the top ``item_k`` above ``min_score``; None: every pair, a
+    table that grows with the square of the catalogue) and UserRecs (top ``user_k`` per user,
+    nested)."""
     ratings = tables.read_table(spark, RATING, store, schemas.RATING)
     model = collab.train(ratings, blocks=blocks)
     run = uuid.uuid4().hex
@@ -124,7 +126,7 @@ def _nest_users(df: DataFrame) -> DataFrame:
     return nest_ranked(df, "uid")
 
 
-def content_job(spark: SparkSession, store: TableStore, k: int | None = None, hashed: bool = False,
+def content_job(spark: SparkSession, store: TableStore, k: int | None = DEFAULT_K, hashed: bool = False,
                 include_zero: bool = False) -> None:
     """Content similarity lists; exact vocabulary by default (``k`` = list
     length, ``None`` keeps every positive pair), or the hashed 50-bucket path.
@@ -269,7 +271,7 @@ def main(argv=None) -> None:
     p.add_argument("--factors", default=ITEM_FACTORS, help="streaming: table of item vectors ('' = look pairs up, unless lists are cut)")
     p.add_argument("--option", action="append", default=[], help="source option key=value")
     p.add_argument("--sink-option", action="append", default=[], help="sink option key=value")
-    p.add_argument("--k", type=int, default=None, help="similarity list length (offline/content)")
+    p.add_argument("--k", type=int, default=DEFAULT_K, help="similarity list length (offline/content); 0: whole lists")
     p.add_argument("--min-score", type=float, default=config.SIM_LIST_THRESHOLD,
                    help="offline similarity threshold (strict)")
     p.add_argument("--hashed", action="store_true", help="content: hashed 50-bucket features")
@@ -288,9 +290,9 @@ def main(argv=None) -> None:
     elif a.job == "statistics":
         statistics(spark, store)
     elif a.job == "offline":
-        offline(spark, store, min_score=a.min_score, item_k=a.k, blocks=a.blocks)
+        offline(spark, store, min_score=a.min_score, item_k=a.k or None, blocks=a.blocks)
     elif a.job == "content":
-        content_job(spark, store, k=a.k, hashed=a.hashed, include_zero=a.include_zero)
+        content_job(spark, store, k=a.k or None, hashed=a.hashed, include_zero=a.include_zero)
     elif a.job == "logfilter":
         logfilter(spark, a.source_format, a.source_path, a.sink_format, a.sink_path,
                   a.checkpoint or store.path("_checkpoints/logfilter"), opts, sink_opts).awaitTermination()

@@ -86,9 +86,14 @@ def _tokens(movies: DataFrame) -> DataFrame:
     return Tokenizer(inputCol="genres", outputCol="words").transform(genre_text(movies)).select("mid", "words")
 
 
+def hashed_counts(movies: DataFrame, buckets: int = config.TF_BUCKETS) -> DataFrame:
+    """``mid, raw``: how many of a movie's tokens fall into each bucket, as an ML vector."""
+    return HashingTF(inputCol="words", outputCol="raw", numFeatures=buckets).transform(_tokens(movies)).select("mid", "raw")
+
+
 def hashed_tfidf(movies: DataFrame, buckets: int = config.TF_BUCKETS) -> DataFrame:
     """The reference's feature pipeline: ``mid, features array<double>``."""
-    tf = HashingTF(inputCol="words", outputCol="raw", numFeatures=buckets).transform(_tokens(movies))
+    tf = hashed_counts(movies, buckets)
     model = IDF(inputCol="raw", outputCol="tfidf").fit(tf)
     return model.transform(tf).select("mid", vector_to_array("tfidf").alias("features"))
 

@@ -13,6 +13,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,18 +122,30 @@ def item_similarity_l1l2(spark, d):
     return similarity.dense_similarity(td.item_vectors(spark, d), metric="l1l2", min_score=L1L2_THRESHOLD)
 
 
+_MODELS: dict[tuple[str, str], ALSModel] = {}
+
+
+def _model(spark, d) -> ALSModel:
+    """The ALS model of the ratings in ``d``, trained once a session: the queries below look at
+    the same one."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODELS:
+        _MODELS[key] = collab.train(td.ratings(spark, d))
+    return _MODELS[key]
+
+
 def als_item_similarity(spark, d):
-    model = collab.train(td.ratings(spark, d))
+    model = _model(spark, d)
     return collab.item_similarity(model, min_score=config.SIM_LIST_THRESHOLD, k=ALS_SIM_K)
 
 
 def als_user_recs(spark, d):
-    return collab.user_recs(collab.train(td.ratings(spark, d)), config.USER_RECS_K)
+    return collab.user_recs(_model(spark, d), config.USER_RECS_K)
 
 
 def als_predict(spark, d):
     r = td.ratings(spark, d)
-    return collab.predict(collab.train(r), r)
+    return collab.predict(_model(spark, d), r)
 
 
 def tfidf_terms(spark, d):
@@ -153,6 +167,20 @@ def content_similarity_hashed(spark, d):
     return content.hashed_content_similarity(td.movies(spark, d), k=CONTENT_K)
 
 
+def hashed_tfidf_checks(spark, d):
+    """Per movie: tokens hashed, and whether its vector is bucket counts times the idf that the
+    numbers of movies in each bucket give (M6, X14)."""
+    movies = td.movies(spark, d)
+    counts, vectors = content.hashed_counts(movies), content.hashed_tfidf(movies)
+    cells = counts.select("mid", F.posexplode(vector_to_array("raw")).alias("bucket", "tf"))
+    df = cells.groupBy("bucket").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    due = cells.join(df, "bucket").withColumn("due", F.col("tf") * F.log((movies.select(F.count(F.lit(1))).scalar() + 1) / (F.col("df") + 1)))
+    found = vectors.select("mid", F.posexplode("features").alias("bucket", "w"))
+    return due.join(found, ["mid", "bucket"]).groupBy("mid").agg(
+        F.sum("tf").cast("long").alias("n_tokens"), F.count(F.lit(1)).alias("n_buckets"),
+        F.every(F.abs(F.col("due") - F.col("w")) < 1e-9).alias("ok"))
+
+
 # ---------------------------------------------------------------- real time (batch form)
 def _ranked_lists(spark, d) -> tuple[DataFrame, realtime.ListCut]:
     """The ranked item-similarity lists the real-time path reads (``mid, rank, rec_mid,
@@ -383,7 +411,7 @@ def _factors(model, spark) -> tuple[DataFrame, DataFrame]:
 
 
 ROUNDING = 2e-6          # scores are rounded to 6 digits
-CHECK_BLOCK = 256
+CHECK_BLOCK = 1024
 
 
 def _demanded(asking: DataFrame, items: DataFrame, k: int, above: float | None = None, own: bool = False) -> DataFrame:
@@ -391,9 +419,9 @@ def _demanded(asking: DataFrame, items: DataFrame, k: int, above: float | None =
     ``k`` highest products ``top``, and how many are above ``above``, at least and at most
     (within ROUNDING).  With ``own`` an id is not its own neighbour."""
     def blocks(rows: DataFrame, side: str) -> DataFrame:
-        n = max(1, rows.count() // CHECK_BLOCK)
-        listed = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(n))).agg(F.collect_list(F.struct("id", "vec")).alias("b"))
-        return listed.select(F.col("b.id").alias(f"{side}_ids"), F.col("b.vec").alias(f"{side}_vecs"))
+        n = max(1, math.ceil(rows.count() / CHECK_BLOCK))
+        listed = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).alias(side)).agg(F.collect_list(F.struct("id", "vec")).alias("rows"))
+        return materialize(listed.select(side, F.col("rows.id").alias(f"{side}_ids"), F.col("rows.vec").alias(f"{side}_vecs")), "check-blocks")
 
     def multiply(batches):
         for pdf in batches:
@@ -401,11 +429,15 @@ def _demanded(asking: DataFrame, items: DataFrame, k: int, above: float | None =
                 raw = np.stack(list(a)) @ np.stack(list(b)).T
                 if own:
                     raw[np.asarray(a_ids)[:, None] == np.asarray(b_ids)[None, :]] = -np.inf
-                top = -np.sort(-raw, axis=1)[:, :k]
+                most = min(k, raw.shape[1])
+                top = -np.sort(np.partition(-raw, most - 1, axis=1)[:, :most], axis=1)
                 cut = -np.inf if above is None else above
                 yield pd.DataFrame({"id": a_ids, "least": (raw > cut + ROUNDING).sum(1), "most": (raw > cut - ROUNDING).sum(1),
                                     "top": list(top)})
-    pairs = blocks(asking, "a").crossJoin(blocks(items, "b"))
+    one, two = blocks(asking, "a"), blocks(items, "b")
+    # every block meets every other by its number, one pair to a row
+    pairs = one.select("*", F.explode(two.agg(F.collect_list("b")).scalar()).alias("b")).join(two, "b").repartition(
+        int(asking.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
     parts = pairs.mapInPandas(multiply, "id int, least long, most long, top array<double>")
     return parts.groupBy("id").agg(F.sum("least").alias("least"), F.sum("most").alias("most"),
                                    F.slice(F.sort_array(F.flatten(F.collect_list("top")), False), 1, k).alias("top"))
@@ -415,7 +447,7 @@ def als_normal_equations(spark, d):
     """Per user, whether the last half-step solved its normal equations: the gradient
     ``sum((u.v - r) v) + lambda n u`` vanishes against ``sum |r v|`` (M1, M2, P4)."""
     r = td.ratings(spark, d)
-    users, items = _factors(collab.train(r), spark)
+    users, items = _factors(_model(spark, d), spark)
     rows = collab.als_input(r).join(items, "mid").join(users, "uid")
     err = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) - F.col("score")
     parts = rows.withColumn("err", err).select("uid", "err", "score", F.posexplode(F.arrays_zip("u", "v")).alias("dim", "uv"))
@@ -428,7 +460,7 @@ def als_normal_equations(spark, d):
 def als_user_recs_checks(spark, d):
     """Per user: how many items are listed, and whether ranks run from 1, scores never
     rise, each is the product of the factors and no unlisted item scores higher (M4, T8)."""
-    model = collab.train(td.ratings(spark, d))
+    model = _model(spark, d)
     users, items = _factors(model, spark)
     recs = materialize(collab.user_recs(model, config.USER_RECS_K))
     prod = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
@@ -449,7 +481,7 @@ def als_user_recs_checks(spark, d):
 def als_predict_checks(spark, d):
     """Per user: predicted pairs, and whether each is the product of the factors (M3, J10)."""
     r = td.ratings(spark, d)
-    model = collab.train(r)
+    model = _model(spark, d)
     users, items = _factors(model, spark)
     prod = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     out = collab.predict(model, r).join(users, "uid").join(items, "mid")
@@ -460,7 +492,7 @@ def als_predict_checks(spark, d):
 def als_item_lists_checks(spark, d):
     """Per item: whether its list re-scores from the factors, above the threshold, and has as
     many entries and the same scores as the factors demand (M8)."""
-    model = collab.train(td.ratings(spark, d))
+    model = _model(spark, d)
     items = _factors(model, spark)[1]
     lists = materialize(collab.item_similarity(model, min_score=config.SIM_LIST_THRESHOLD, k=ALS_SIM_K))
     two = lists.join(items, "mid").join(items.select(F.col("mid").alias("rec_mid"), F.col("v").alias("w")), "rec_mid")
@@ -500,6 +532,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "content_similarity": content_similarity,
     "content_similarity_with_zeros": content_similarity_with_zeros,
     "content_similarity_hashed": content_similarity_hashed,
+    "hashed_tfidf_checks": hashed_tfidf_checks,
     "recent_ratings": recent_ratings,
     "candidate_items": candidate_items,
     "realtime_scores": realtime_scores,

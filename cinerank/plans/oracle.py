@@ -9,6 +9,7 @@ algorithms (blocking, signatures, partial top-k) rather than repeating them.
 
 from __future__ import annotations
 
+from cinerank import config
 from cinerank.plans import catalog as C
 
 VIEWS = {
@@ -278,6 +279,8 @@ SELECT uid, count(*) AS n_ratings, CAST(round(CAST(avg(score) AS DECIMAL(30,12))
                          for p, t, k in (("MovieByMid", "movies", "mid"), ("RatingByUser", "ratings", "uid"), ("RatingByMid", "ratings", "mid"),
                                          ("TagByUser", "tags", "uid"), ("TagByMid", "tags", "mid"))))
     out["stream_progress"] = _stream_progress()
+    out["hashed_tfidf_checks"] = with_views(["movies"], f"""x AS (SELECT 1)
+SELECT mid, len(string_split(lower(replace(genres, '|', ' ')), ' ')) AS n_tokens, {config.TF_BUCKETS} AS n_buckets, true AS ok FROM movies""")
     # written or rendered forms give the rows of the plain query
     out["search_docs_table"] = out["movie_search_docs"]
     out["content_recs_table"] = out["content_similarity"]

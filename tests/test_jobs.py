@@ -53,7 +53,7 @@ def test_batch_jobs_end_to_end(spark, tmp_root):
     stored = sorted(map(tuple, jobs.similarity_long(spark, store, "ContentMovieRecs").collect()))
     assert stored == sorted(map(tuple, long_form.collect()))
 
-    jobs.content_job(spark, store)            # unbounded lists: long form only
+    jobs.content_job(spark, store, k=None)    # unbounded lists: long form only
     full = jobs.similarity_long(spark, store, "ContentMovieRecs")
     assert full.where("score <= 0").count() == 0 and full.count() >= len(stored)
 
@@ -154,7 +154,7 @@ def test_content_job_hashed_paths(spark, tmp_root):
     bounded = jobs.similarity_long(spark, store, "ContentMovieRecs")
     assert bounded.groupBy("mid").count().where("count > 3").count() == 0
     n_bounded = bounded.count()
-    jobs.content_job(spark, store, hashed=True)
+    jobs.content_job(spark, store, k=None, hashed=True)
     full = jobs.similarity_long(spark, store, "ContentMovieRecs")
     assert full.count() >= n_bounded and full.where("score <= 0").count() == 0
 
