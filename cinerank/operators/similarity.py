@@ -2,8 +2,9 @@
 
 Dense vectors (embeddings, ALS factors, hashed TF-IDF)
     Vectors are normalised once in Spark (and written, cutting lineage), then
-    hashed into B blocks of about ``block_size`` items.  Every vector is
-    replicated to the B block pairs it belongs to and
+    dealt into about B blocks of at most ``block_size`` items, by nearest pivot where a
+    cosine threshold is given: block pairs whose angles rule out every score above it
+    are never formed.  Every vector is replicated to the block pairs it belongs to and
     ``groupBy(pair).applyInPandas`` multiplies the two blocks with NumPy, in
     row chunks.  A group holds exactly two blocks and the score matrix is
     built chunk x block at a time, so memory per task is bounded by
@@ -14,8 +15,8 @@ Dense vectors (embeddings, ALS factors, hashed TF-IDF)
     (score desc, id asc) is a total order.
 
 Sparse vectors (exact-vocabulary TF-IDF)
-    The same blocking; inside a block pair a local inverted index (NumPy)
-    accumulates dot products.  No term-level self-join: pairs sharing a hot
+    Blocks by hash; inside a block pair common terms are a dense product and
+    meetings of rare ones are added up (NumPy).  No term-level self-join: pairs sharing a hot
     term are never emitted as rows, only each row's result.  Pairs that share
     no term score 0 and are not produced.
 """
@@ -30,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinerank.config import FIXED_DIGITS, SCORE_DIGITS, materialize, parallelism
-from cinerank.functions.columns import l1_norm, l2_norm, scale_array
+from cinerank.functions.columns import dot, l1_norm, l2_norm, scale_array
 from cinerank.operators.topk import by_score, nest_ranked, rank_within
 
 PAIR_SCHEMA = "mid int, rec_mid int, score double"
+ANGLE_MARGIN = 1e-6   # radians: more than the noise of an arc cosine near 1
 LEAST_BLOCK = 32      # smaller blocks cost more to start than to multiply
 HEAVY_ROW_FACTOR = 4  # rows with more candidates than this many times k are partitioned first
 
@@ -144,34 +146,91 @@ def block_count(rows: int, block_size: int, slots: int) -> int:
     return max(1, by_size, min(by_slots, math.ceil(rows / LEAST_BLOCK)))
 
 
+def _nearest(pivots: np.ndarray):
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.assign(cluster=np.argmax(np.stack(pdf["rhs"].to_numpy()) @ pivots.T, axis=1).astype("int32"))
+    return run
+
+
+def _cone(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The narrowest known cone around a block's vectors: its axis and widest angle."""
+    x = np.stack(pdf["rhs"].to_numpy())
+    axis = x.sum(0)
+    length = np.sqrt(axis @ axis)
+    axis = axis / length if length > 0 else x[0]
+    return pd.DataFrame({"blk": pdf["blk"].iloc[:1], "axis": [axis], "angle": [float(np.arccos(np.clip(x @ axis, -1, 1)).max())]})
+
+
+def pivot_blocks(norm: DataFrame, rows: int, n_blocks: int) -> DataFrame:
+    """``norm`` (id, rhs: unit vectors) with ``blk``: vectors go to the nearest of ``n_blocks`` pivots
+    (those of the least hashes), and a pivot's vectors are dealt into blocks of at most about
+    ``rows / n_blocks``, so that neighbours share a block and no block grows with a cluster."""
+    pivots = norm.orderBy(F.xxhash64("id"), "id").limit(n_blocks).select("rhs").collect()       # n_blocks vectors
+    near = norm.mapInPandas(_nearest(np.array([r[0] for r in pivots])), "id int, rhs array<double>, cluster int")
+    near = materialize(near, "clusters")
+    sizes = near.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()                 # one row a pivot
+    most, starts, counts, at = math.ceil(rows / n_blocks), {}, {}, 0
+    for r in sorted(sizes):
+        starts[r["cluster"]], counts[r["cluster"]] = at, math.ceil(r["n"] / most)
+        at += counts[r["cluster"]]
+    spots = near.sparkSession.createDataFrame([(c, starts[c], counts[c]) for c in starts], "cluster int, start int, parts int")
+    return near.join(F.broadcast(spots), "cluster").select(
+        "id", "rhs", (F.col("start") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("blk"))
+
+
+def pivot_pairs(blocked: DataFrame, min_score: float) -> DataFrame:
+    """``lo, hi, needed`` for every two blocks (lo <= hi).  Vectors of two blocks are at least the
+    angle of their axes less both widest angles apart; where that is more than the angle of
+    ``min_score`` no pair can score above it."""
+    cones = materialize(blocked.groupBy("blk").applyInPandas(_cone, "blk int, axis array<double>, angle double"), "cones")
+    one, two = (cones.select(F.col("blk").alias(s), F.col("axis").alias(f"axis_{s}"), F.col("angle").alias(f"angle_{s}")) for s in ("lo", "hi"))
+    met = one.select("*", F.explode(cones.agg(F.collect_list("blk")).scalar()).alias("hi")).where("lo <= hi").join(two, "hi")
+    between = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot("axis_lo", "axis_hi"))))
+    least = between - F.col("angle_lo") - F.col("angle_hi")
+    return met.select("lo", "hi", (least <= math.acos(min(1.0, min_score)) + ANGLE_MARGIN).alias("needed"))
+
+
 def dense_pairs(vectors: DataFrame, id_col: str = "mid", vec_col: str = "features", metric: str = "cosine",
                 min_score: float | None = None, k: int | None = None, block_size: int = 4096,
                 n_blocks: int | None = None, digits: int = SCORE_DIGITS, include_self: bool = False) -> DataFrame:
     """Directed pairs ``mid, rec_mid, score`` (score rounded to ``digits``),
-    ``mid != rec_mid`` unless ``include_self``, ``score > min_score`` when
+    ``mid != rec_mid`` unless ``include_self``, raw ``score > min_score`` when
     given.  With ``k`` every block pair keeps each row's exact top-k by
     (score desc, id asc): a superset of the row's overall top-k (at most k
-    per block), which a final ranking cuts -- see :func:`dense_similarity`."""
+    per block), which a final ranking cuts -- see :func:`dense_similarity`.
+
+    With a cosine threshold of at least 0, vectors are dealt by nearest pivot and only
+    block pairs are formed whose angles allow a score above it (:func:`pivot_pairs`);
+    otherwise by hash, every pair."""
     # normalised once and written: the row count, the replication and any
     # retried kernel task read the table instead of recomputing the inputs
     norm = materialize(_normalised(vectors, id_col, vec_col, metric), "vectors")
     symmetric = metric == "cosine"
     spark = vectors.sparkSession
     slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
-    if n_blocks is None:
-        n_blocks = block_count(norm.count(), block_size, parallelism(spark))
-    b = n_blocks
-    blk = F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")
-    tagged = norm.withColumn("blk", blk)
-    partner = F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("other")
+    rows = norm.count()
+    b = n_blocks or block_count(rows, block_size, parallelism(spark))
     vec_cols = ["rhs"] if symmetric else ["lhs", "rhs"]
-    replicated = tagged.select("*", partner).select(
-        F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "id", *vec_cols)
-    # every vector meets each other block exactly once (and its own block once).
+    if symmetric and min_score is not None and min_score >= 0 and rows:
+        # a zero vector scores 0.0 with everything, never above the threshold
+        some = norm.where(F.exists("rhs", lambda x: x != 0)).select("id", "rhs")
+        tagged = materialize(pivot_blocks(some, rows, b), "pivot-blocks")
+        pairs = materialize(pivot_pairs(tagged, min_score).where("needed").select("lo", "hi"), "block-pairs")
+        places = pairs.select("lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("blk"))
+        replicated = tagged.join(places, "blk").select("lo", "hi", "blk", "id", "rhs")
+        n_pairs = pairs.count()
+    else:
+        tagged = norm.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(b)).cast("int"))
+        partner = F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("other")
+        replicated = tagged.select("*", partner).select(
+            F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "id", *vec_cols)
+        n_pairs = b * (b + 1) // 2
+    # every vector meets each other block of its pairs exactly once (and its own block once).
     # An explicit partition count keeps one block pair per task slot instead of
     # letting the runtime merge the (few, large) groups into fewer tasks.
-    n_pairs = b * (b + 1) // 2
-    replicated = replicated.repartition(min(n_pairs, slots), "lo", "hi")
+    replicated = replicated.repartition(max(1, min(n_pairs, slots)), "lo", "hi")
     kernel = _block_kernel(k, min_score, digits, symmetric, include_self)
     return replicated.groupBy("lo", "hi").applyInPandas(kernel, PAIR_SCHEMA)
 
@@ -254,6 +313,39 @@ def _flatten(part: pd.DataFrame):
     return rows, terms, ws
 
 
+COMMON_TERM = 64      # entries of a term in both blocks together from which it is multiplied densely
+TERM_SLICE = 512      # common terms multiplied at a time
+
+
+def _sparse_product(a_rows, a_terms, a_ws, n_a: int, b_rows, b_terms, b_ws, n_b: int) -> np.ndarray:
+    """Dot products of the rows of two sparse matrices given by entries.  Only terms that both
+    hold count: common ones are columns of a dense product, slice by slice; of the rare ones
+    every meeting of two entries is added up."""
+    n_terms = 1 + max(a_terms.max(initial=0), b_terms.max(initial=0))
+    in_a, in_b = np.bincount(a_terms, minlength=n_terms), np.bincount(b_terms, minlength=n_terms)
+    scores, both = np.zeros((n_a, n_b)), (in_a > 0) & (in_b > 0)
+    common = np.flatnonzero(both & (in_a + in_b >= COMMON_TERM))
+    column = np.full(n_terms, -1)
+    for t0 in range(0, len(common), TERM_SLICE):
+        part = common[t0:t0 + TERM_SLICE]
+        column[:] = -1
+        column[part] = np.arange(len(part))
+        x, y = np.zeros((n_a, len(part))), np.zeros((n_b, len(part)))
+        for out, rows, terms, ws in ((x, a_rows, a_terms, a_ws), (y, b_rows, b_terms, b_ws)):
+            hit = column[terms] >= 0
+            out[rows[hit], column[terms[hit]]] = ws[hit]
+        scores += x @ y.T
+    rare = both & (in_a + in_b < COMMON_TERM)
+    a_hit, b_hit = rare[a_terms], rare[b_terms]
+    order = np.argsort(b_terms[b_hit], kind="stable")
+    terms, rows, ws = (v[b_hit][order] for v in (b_terms, b_rows, b_ws))
+    first, last = (np.searchsorted(terms, a_terms[a_hit], side) for side in ("left", "right"))
+    n = last - first
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+    np.add.at(scores, (np.repeat(a_rows[a_hit], n), rows[at]), np.repeat(a_ws[a_hit], n) * ws[at])
+    return scores
+
+
 def _sparse_kernel(k: int | None, min_score: float | None, digits: int, include_self: bool, chunk: int = 1024):
     def kernel(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(key[0]), int(key[1])
@@ -273,24 +365,12 @@ def _sparse_kernel(k: int | None, min_score: float | None, digits: int, include_
             at += len(terms)
         directions = [(coded[0], coded[0])] if lo == hi else [(coded[0], coded[1]), (coded[1], coded[0])]
         out = []
-        for (src_ids, s_rows, s_terms, s_ws), (dst_ids, d_rows, d_terms, d_ws) in directions:
-            order = np.argsort(d_terms, kind="stable")          # postings of the destination block
-            d_terms_sorted, d_rows_sorted, d_ws_sorted = d_terms[order], d_rows[order], d_ws[order]
+        for src, (dst_ids, d_rows, d_terms, d_ws) in directions:
+            src_ids, s_rows, s_terms, s_ws = src
             for s0 in range(0, len(src_ids), chunk):
                 n_rows = min(chunk, len(src_ids) - s0)
-                scores = np.zeros((n_rows, len(dst_ids)))
                 sel = (s_rows >= s0) & (s_rows < s0 + n_rows)
-                c_rows, c_terms, c_ws = s_rows[sel] - s0, s_terms[sel], s_ws[sel]
-                by_term = np.argsort(c_terms, kind="stable")
-                c_rows, c_terms, c_ws = c_rows[by_term], c_terms[by_term], c_ws[by_term]
-                starts = np.flatnonzero(np.r_[True, c_terms[1:] != c_terms[:-1]]) if len(c_terms) else []
-                ends = np.r_[starts[1:], len(c_terms)] if len(c_terms) else []
-                for i0, i1 in zip(starts, ends):
-                    t = c_terms[i0]
-                    j0, j1 = np.searchsorted(d_terms_sorted, [t, t + 1])
-                    if j0 == j1:
-                        continue
-                    scores[np.ix_(c_rows[i0:i1], d_rows_sorted[j0:j1])] += np.outer(c_ws[i0:i1], d_ws_sorted[j0:j1])
+                scores = _sparse_product(s_rows[sel] - s0, s_terms[sel], s_ws[sel], n_rows, d_rows, d_terms, d_ws, len(dst_ids))
                 if lo == hi and not include_self:
                     r = np.arange(n_rows)
                     scores[r, r + s0] = np.nan  # no self pair
@@ -309,9 +389,8 @@ def sparse_pairs(weights: DataFrame, id_col: str = "mid", term_col: str = "term"
 
     ``weights`` holds one row per (item, term).  Vectors are L2-normalised in
     Spark, each item's terms and weights become one row, and items are
-    blocked and paired exactly like the dense kernel; inside a block pair a
-    local inverted index accumulates dot products into a bounded
-    chunk x block score matrix.  Pairs never become rows: only entries above
+    blocked by hash and paired like the dense kernel; inside a block pair
+    dot products fill a bounded chunk x block score matrix.  Pairs never become rows: only entries above
     ``min_score`` (strict, default: drop zero scores) and, with ``k``, each
     row's exact top-k within the block pair leave the task (a superset of
     the row's overall top-k, cut by a final ranking).  Zero vectors produce

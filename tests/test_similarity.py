@@ -157,3 +157,57 @@ def test_rounding_twins_agree_on_exact_halves(spark):
 def test_blocks_fill_the_task_slots():
     assert similarity.block_count(500, 4096, 8) * (similarity.block_count(500, 4096, 8) + 1) // 2 >= 8
     assert similarity.block_count(100_000, 4096, 8) == 25 and similarity.block_count(0, 4096, 8) == 1
+
+
+def clustered(n, centres, spread, seed):
+    """Unit-ish vectors around a few axes in 8 dimensions; a third of all around the first."""
+    rng = np.random.default_rng(seed)
+    axes = np.eye(8)[:centres]
+    which = np.where(rng.random(n) < 0.33, 0, rng.integers(0, centres, n))
+    return axes[which] + rng.normal(scale=spread, size=(n, 8))
+
+
+@pytest.mark.parametrize("min_score", [0.0, 0.6, 0.95])
+@pytest.mark.parametrize("k", [None, 4])
+def test_skipped_block_pairs_lose_nothing(spark, min_score, k):
+    data = clustered(400, 5, 0.08, 3)
+    data[7], data[11], data[13] = 0.0, data[12], -data[14]
+    v = vecs(spark, [(i, data[i]) for i in range(400)])
+    got = {(r["mid"], r["rank"]): (r["rec_mid"], r["score"]) for r in
+           similarity.dense_similarity(v, min_score=min_score, k=k, n_blocks=8).collect()}
+    length = np.linalg.norm(data, axis=1, keepdims=True)
+    unit = np.divide(data, length, out=np.zeros_like(data), where=length > 0)
+    raw = np.round(unit @ unit.T, 12)
+    exp = {}
+    for i in range(400):
+        cand = sorted((-s, j) for j, s in enumerate(similarity.round_half_away(raw[i], 6).tolist()) if j != i and raw[i, j] > min_score)
+        exp.update({(i, rank): (j, -s) for rank, (s, j) in enumerate(cand[:k], 1)})
+    assert got.keys() == exp.keys() and all(got[x][0] == exp[x][0] and abs(got[x][1] - exp[x][1]) < 2e-6 for x in exp)
+
+
+def test_block_pairs_far_apart_are_never_formed(spark):
+    data = clustered(2000, 8, 0.03, 4)
+    norm = similarity._normalised(vecs(spark, [(i, data[i]) for i in range(2000)]), "mid", "features", "cosine")
+    blocked = similarity.pivot_blocks(norm.select("id", "rhs"), 2000, 32).cache()
+    sizes = [r["count"] for r in blocked.groupBy("blk").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 2.5 * 2000 / 32          # the third around one axis is many blocks
+    share = {}
+    for threshold in (0.0, 0.6, 0.9):
+        pairs = similarity.pivot_pairs(blocked, threshold).collect()
+        assert len(pairs) == len(sizes) * (len(sizes) + 1) // 2
+        share[threshold] = sum(not p["needed"] for p in pairs) / len(pairs)
+
+    assert share[0.9] >= share[0.6] > 0.4 and share[0.0] <= share[0.6]
+
+
+def test_sparse_product_equals_the_dense_one(monkeypatch):
+    rng = np.random.default_rng(5)
+    for common, width in ((1, 3), (8, 512), (10_000, 512)):              # all common, mixed, all rare
+        monkeypatch.setattr(similarity, "COMMON_TERM", common)
+        monkeypatch.setattr(similarity, "TERM_SLICE", width)
+        a, b = (np.where(rng.random((n, 40)) < rng.random(40) * 0.4, rng.normal(size=(n, 40)), 0.0) for n in (17, 23))
+        (ar, at), (br, bt) = np.nonzero(a), np.nonzero(b)
+        got = similarity._sparse_product(ar, at, a[ar, at], 17, br, bt, b[br, bt], 23)
+        assert np.allclose(got, a @ b.T)
+    none = np.empty(0, int)
+    assert not similarity._sparse_product(none, none, np.empty(0), 2, none, none, np.empty(0), 3).any()
