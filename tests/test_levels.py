@@ -25,24 +25,24 @@ def data_files(spark, root):
 
 @pytest.mark.parametrize("latest", [False, True])
 def test_many_batches_leave_few_files(spark, tmp_root, latest):
-    table = Levels(f"{tmp_root}/t", SCHEMA, key="uid", latest=latest, fanout=6, retain_seconds=0)
+    table = Levels(f"{tmp_root}/t", SCHEMA, key="uid", latest=latest, fanout=4, retain_seconds=0)
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     try:
-        for b in range(120):
+        for b in range(64):
             table.write_batch(rows(spark, [(b % 7, b)]).coalesce(1), 0, b)
             table.compact(spark, 0, b)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     got = sorted((r.uid, r.v, r.run_no, r.batch_id) for r in table.read(spark).collect())
-    whole = [(b % 7, b, 0, b) for b in range(120)]
+    whole = [(b % 7, b, 0, b) for b in range(64)]
     if latest:
-        assert set(got) <= set(whole) and {max(r[1] for r in got if r[0] == u) for u in range(7)} == set(range(113, 120))
+        assert set(got) <= set(whole) and {max(r[1] for r in got if r[0] == u) for u in range(7)} == set(range(57, 64))
     else:
         assert got == sorted(whole)
     _, value = table.state(spark)
-    levels = math.ceil(math.log(120, 6))
-    assert len(value["segments"]) <= 5 * levels and len(table.tail(spark, value)) <= 7
-    assert data_files(spark, f"{tmp_root}/t") <= 2 * 5 * levels + 7 + 12      # what was replaced last is still there
+    levels = math.ceil(math.log(64, 4))
+    assert len(value["segments"]) <= 3 * levels and len(table.tail(spark, value)) <= 5
+    assert data_files(spark, f"{tmp_root}/t") <= 2 * 3 * levels + 5 + 8      # what was replaced last is still there
 
 
 def test_a_retried_batch_counts_once(spark, tmp_root):

@@ -13,7 +13,7 @@ def plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", ["genre_top10", "recent_ratings", "candidate_items", "realtime_scores"])
+@pytest.mark.parametrize("name", ["genre_top10", "recent_ratings", "realtime_scores"])
 def test_top_k_is_trimmed_before_the_shuffle(spark, name):
     p = plan(spark, name)
     assert "WindowGroupLimit" in p and "Partial" in p
@@ -35,3 +35,12 @@ def test_scans_are_pruned(spark):
 
 def test_tag_sets_aggregate_partially(spark):
     assert "partial_collect_set" in plan(spark, "movie_search_docs")
+
+
+def test_candidates_are_trimmed_before_the_shuffle(spark):
+    from cinerank.operators import realtime
+    from cinerank.sources import testdata as td
+    ev = td.rating_events(spark, D)
+    sim = spark.createDataFrame([(1, 1, 2, 0.9)], "mid int, rank int, rec_mid int, score double")
+    p = realtime.candidate_items(realtime.latest_per_user(ev).select("uid", "mid"), sim, ev)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in p and "Partial" in p
