@@ -110,16 +110,17 @@ def list_cut(spark: SparkSession, store: TableStore, name: str) -> tuple[int, fl
 
 
 def offline(spark: SparkSession, store: TableStore, min_score: float = config.SIM_LIST_THRESHOLD,
-            user_k: int = config.USER_RECS_K, item_k: int | None = DEFAULT_K, blocks: int = collab.BLOCKS) -> None:
+            user_k: int = config.USER_RECS_K, item_k: int | None = DEFAULT_K, blocks: int = collab.BLOCKS,
+            by_length: bool = False) -> None:
     """ALS: ItemFactors, MovieRecs (the top ``item_k`` above ``min_score``; None: every pair, a
     table that grows with the square of the catalogue) and UserRecs (top ``user_k`` per user,
-    nested)."""
+    nested; ``by_length``: found by :func:`collab.recs_by_length`)."""
     ratings = tables.read_table(spark, RATING, store, schemas.RATING)
     model = collab.train(ratings, blocks=blocks)
     run = uuid.uuid4().hex
     tables.write_table(collab.item_factors(model), ITEM_FACTORS, store, properties={"run": run})
     write_similarity(collab.item_similarity(model, min_score, item_k), MOVIE_RECS, store, item_k, min_score, run)
-    tables.write_table(collab.user_recs(model, user_k).transform(_nest_users), USER_RECS, store)
+    tables.write_table(collab.user_recs(model, user_k, by_length).transform(_nest_users), USER_RECS, store)
 
 
 def _nest_users(df: DataFrame) -> DataFrame:
@@ -279,6 +280,7 @@ def main(argv=None) -> None:
     p.add_argument("--score-threshold", type=float, default=config.SIM_SCORE_THRESHOLD,
                    help="streaming: similarity threshold of the priority formula (strict)")
     p.add_argument("--blocks", type=int, default=collab.BLOCKS, help="offline: ALS blocks (part of the model's definition)")
+    p.add_argument("--by-length", action="store_true", help="offline: recommendations from the longest item factors on, until none can be higher")
     p.add_argument("--fanout", type=int, default=recommender.FANOUT, help="streaming, compact: batches or segments merged at a time")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"cinerank-{a.job}").getOrCreate()
@@ -290,7 +292,7 @@ def main(argv=None) -> None:
     elif a.job == "statistics":
         statistics(spark, store)
     elif a.job == "offline":
-        offline(spark, store, min_score=a.min_score, item_k=a.k or None, blocks=a.blocks)
+        offline(spark, store, min_score=a.min_score, item_k=a.k or None, blocks=a.blocks, by_length=a.by_length)
     elif a.job == "content":
         content_job(spark, store, k=a.k or None, hashed=a.hashed, include_zero=a.include_zero)
     elif a.job == "logfilter":

@@ -478,6 +478,18 @@ def als_user_recs_checks(spark, d):
     return listed.join(top, "uid").select("uid", "n", (F.col("right") & falls & first & whole).alias("ok"))
 
 
+def als_user_recs_by_length(spark, d):
+    """Per user: how many items the search by length lists, and whether rank by rank the scores
+    are those of the full products, and no user met more items than there are (M4, T8)."""
+    model = _model(spark, d)
+    lists, work = collab.recs_by_length(model, config.USER_RECS_K)
+    full = collab.user_recs(model, config.USER_RECS_K).select("uid", "rank", F.col("score").alias("due"))
+    same = F.coalesce(F.abs(F.col("score") - F.col("due")) <= TOLERANCE * (1 + F.abs("due")), F.lit(False))
+    per = lists.join(full, ["uid", "rank"], "full").groupBy("uid").agg(F.count("score").alias("n"), F.every(same).alias("same"))
+    most = model.itemFactors.agg(F.count(F.lit(1))).scalar()
+    return per.join(work, "uid").select("uid", "n", (F.col("same") & (F.col("products") >= F.col("n")) & (F.col("products") <= most)).alias("ok"))
+
+
 def als_predict_checks(spark, d):
     """Per user: predicted pairs, and whether each is the product of the factors (M3, J10)."""
     r = td.ratings(spark, d)
@@ -553,6 +565,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_filter_bytes": log_filter_bytes,
     "als_normal_equations": als_normal_equations,
     "als_user_recs_checks": als_user_recs_checks,
+    "als_user_recs_by_length": als_user_recs_by_length,
     "als_predict_checks": als_predict_checks,
     "als_item_lists_checks": als_item_lists_checks,
 }

@@ -295,6 +295,7 @@ FROM (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid) LEFT JOIN n USING
     out["als_normal_equations"] = with_views(["ratings"], "x AS (SELECT 1)\nSELECT DISTINCT uid, true AS ok FROM ratings")
     out["als_user_recs_checks"] = with_views(["ratings"], """x AS (SELECT 1)
 SELECT DISTINCT uid, least(20, (SELECT count(DISTINCT mid) FROM ratings)) AS n, true AS ok FROM ratings""")
+    out["als_user_recs_by_length"] = out["als_user_recs_checks"]
     out["als_predict_checks"] = with_views(["ratings"], "x AS (SELECT 1)\nSELECT uid, count(*) AS n, true AS ok FROM ratings GROUP BY uid")
     out["als_item_lists_checks"] = with_views(["ratings"], "x AS (SELECT 1)\nSELECT DISTINCT mid, true AS ok FROM ratings")
     return out

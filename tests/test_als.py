@@ -54,3 +54,11 @@ def test_checks_see_missing_entries(spark, monkeypatch, fault):
     else:
         monkeypatch.setattr(collab, "item_similarity", lambda m, min_score, k: lists(m, min_score, k).where(wrong))
     assert catalog.als_item_lists_checks(spark, D).where("not ok").count() > 0
+
+
+def test_search_by_length_equals_full_products(spark):
+    model = collab.train(td.ratings(spark, D), max_iter=3)
+    full = {(r["uid"], r["rank"]): r["score"] for r in collab.user_recs(model, 20).collect()}
+    fast = {(r["uid"], r["rank"]): r["score"] for r in collab.user_recs(model, 20, by_length=True).collect()}
+    assert full.keys() == fast.keys()
+    assert all(abs(full[x] - fast[x]) <= 1e-4 * (1 + abs(full[x])) for x in full)
