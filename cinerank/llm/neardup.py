@@ -179,10 +179,9 @@ def _settle(needed: dict[int, int], percent: int):
 
 
 def _clusters(placed: DataFrame) -> DataFrame:
-    """(id, cluster) of the members of the larger mixed buckets: buckets that share a member
-    belong to one cluster."""
-    centers = placed.groupBy("bucket").agg(F.min("id").alias("center"))
-    return connected_components(placed.join(centers, "bucket").select(F.col("id").alias("a"), F.col("center").alias("b")), "a", "b"
+    """(id, cluster) of the members (id, center) of the larger mixed buckets: buckets that share
+    a member belong to one cluster."""
+    return connected_components(placed.select(F.col("id").alias("a"), F.col("center").alias("b")), "a", "b"
                                 ).withColumnRenamed("component", "cluster").withColumnRenamed("node", "id")
 
 
@@ -265,8 +264,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = stage1.withColumnRenamed("node", "id")
     placed = crowded.select("id", "bucket").join(comps, "id", "left").select(
         "bucket", "id", F.coalesce("component", "id").alias("comp"))
-    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-             .filter("lo <> hi").select("bucket", "n"))
+    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                           F.min("id").alias("center"))
+             .filter("lo <> hi").select("bucket", "n", "center"))
     left = materialize(placed.join(mixed, "bucket"), "mixed-buckets")
     clusters = materialize(_clusters(left.filter(F.col("n") > SMALL)), "clusters")
     inner = materialize(_settle_clusters(clusters, comps, reps, sets, needed, percent), "cluster-links")
