@@ -89,6 +89,10 @@ def test_group_lists_expand_in_small_partitions(spark, monkeypatch):
     monkeypatch.setattr(similarity, "MEMBERS_A_TASK", 10)
     found = content.content_similarity(td.movies(spark, D), k=3)
     assert "hashpartitioning(mid#" in _plan(found) and "REPARTITION_BY_NUM" in _plan(found)
+    assert "BuildRight" in _plan(found) and "BuildLeft" not in _plan(found)       # members stay dealt
+    rows = sorted(map(tuple, found.collect()))
+    monkeypatch.setattr(similarity, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, content.content_similarity(td.movies(spark, D), k=3).collect())) == rows
 
 
 def test_state_calls_follow_groups_not_users():
