@@ -211,3 +211,46 @@ def test_sparse_product_equals_the_dense_one(monkeypatch):
         assert np.allclose(got, a @ b.T)
     none = np.empty(0, int)
     assert not similarity._sparse_product(none, none, np.empty(0), 2, none, none, np.empty(0), 3).any()
+
+
+@pytest.mark.parametrize("ids", [[7], [5, 5, 5], [-2**31, -1, 0, 2**31 - 1], list(range(-300, 90_000, 301))])
+def test_packed_results_come_back(ids):
+    whole = np.random.default_rng(len(ids)).integers(-10**6, 10**6 + 1, len(ids))
+    packed = similarity.pack_results(np.array(ids), whole)
+    got = similarity.unpack_results(len(ids), packed)
+    assert got[0].tolist() == ids and got[1].tolist() == whole.tolist()
+    assert sum(map(len, packed)) <= 8 * len(ids)
+
+
+@pytest.mark.parametrize("metric,threshold,most", [("l1l2", 0.03, 5.0), ("cosine", 0.25, 6.0)])
+def test_whole_lists_move_packed_and_are_not_sorted_as_rows(spark, metric, threshold, most):
+    data = np.random.default_rng(9).normal(size=(900, 64))
+    v = vecs(spark, [(i * 3, data[i]) for i in range(900)])
+    ranked = similarity.dense_similarity(v, metric=metric, min_score=threshold, n_blocks=2)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "score" not in plan.split("Exchange", 1)[1]
+    packed = similarity.packed_lists(v, metric=metric, min_score=threshold, n_blocks=2).collect()
+    n = sum(r["n"] for r in packed)
+    assert n == ranked.count() > 10_000
+    assert sum(len(x) for r in packed for x in r["packed"]) < most * n
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l1l2"])
+def test_whole_lists_of_repeated_ids_and_null_vectors(spark, metric):
+    one, two = [1.0, 0.0], [3.0, 4.0]
+    rows = [(1, one), (2, two), (2, one), (3, None), (4, [0.0, 0.0])]
+    v = spark.createDataFrame(rows, "mid int, features array<double>")
+    got = sorted(tuple(r) for r in similarity.dense_similarity(v, metric=metric, min_score=0.0, n_blocks=3).collect())
+    flat = 0.6 if metric == "cosine" else round(3 / 7, 6)
+    exp = [(1, 1, 2, 1.0), (1, 2, 2, 0.6), (2, 1, 1, 1.0), (2, 2, 2, 0.6), (2, 3, 1, flat), (2, 4, 2, flat)]
+    if metric == "cosine":                       # ties by id
+        exp = [(1, 1, 2, 1.0), (1, 2, 2, 0.6), (2, 1, 1, 1.0), (2, 2, 1, 0.6), (2, 3, 2, 0.6), (2, 4, 2, 0.6)]
+    assert got == exp
+
+
+def test_whole_lists_without_a_threshold_or_rows(spark):
+    v = vecs(spark, [(1, [1, 0]), (2, [-1, 0]), (3, [0, 0])])
+    got = sorted(tuple(r) for r in similarity.dense_similarity(v, n_blocks=2).collect())
+    assert got == [(1, 1, 3, 0.0), (1, 2, 2, -1.0), (2, 1, 3, 0.0), (2, 2, 1, -1.0), (3, 1, 1, 0.0), (3, 2, 2, 0.0)]
+    assert similarity.dense_similarity(v.where("mid > 9"), min_score=0.5).count() == 0
+    assert similarity.dense_similarity(v.where("mid = 1"), metric="l1l2", min_score=0.5).count() == 0
