@@ -110,7 +110,7 @@ def list_cut(spark: SparkSession, store: TableStore, name: str) -> tuple[int, fl
 
 
 def offline(spark: SparkSession, store: TableStore, min_score: float = config.SIM_LIST_THRESHOLD,
-            user_k: int = config.USER_RECS_K, item_k: int | None = DEFAULT_K, blocks: int = collab.BLOCKS,
+            user_k: int = config.USER_RECS_K, item_k: int | None = DEFAULT_K, blocks: int | None = None,
             by_length: bool = False) -> None:
     """ALS: ItemFactors, MovieRecs (the top ``item_k`` above ``min_score``; None: every pair, a
     table that grows with the square of the catalogue) and UserRecs (top ``user_k`` per user,
@@ -279,7 +279,7 @@ def main(argv=None) -> None:
     p.add_argument("--include-zero", action="store_true", help="content: fill short lists with zero scores")
     p.add_argument("--score-threshold", type=float, default=config.SIM_SCORE_THRESHOLD,
                    help="streaming: similarity threshold of the priority formula (strict)")
-    p.add_argument("--blocks", type=int, default=collab.BLOCKS, help="offline: ALS blocks (part of the model's definition)")
+    p.add_argument("--blocks", type=int, default=None, help="offline: ALS blocks (part of the model's definition); 10, or more with very many ratings")
     p.add_argument("--by-length", action="store_true", help="offline: recommendations from the longest item factors on, until none can be higher")
     p.add_argument("--fanout", type=int, default=recommender.FANOUT, help="streaming, compact: batches or segments merged at a time")
     a = p.parse_args(argv)
